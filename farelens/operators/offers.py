@@ -39,47 +39,19 @@ def itineraries(offers: DataFrame) -> DataFrame:
 
     Offers with an empty or null itinerary list disappear, as with any ``explode``.
     """
-    exploded = offers.select(
-        *_HEAD, *_FARE, F.posexplode("itineraries").alias("itinerary_pos", "itinerary")
-    )
-    return exploded.select(
-        *_HEAD, "itinerary_pos", F.col("itinerary.segments").alias("segments"), *_FARE
-    ).withColumns(_segment_facts())
-
-
-def first_itinerary(offers: DataFrame, stops: str) -> DataFrame:
-    """The first itinerary of each offer that is direct or connecting, as asked.
-
-    Gives the rows of :func:`itineraries` that survive de-duplication, without first
-    multiplying each document by its itineraries.
-    """
-    check_stops(stops)
-
-    def fits(it: Column) -> Column:
-        n = F.size(it["segments"])
-        return n == 1 if stops == "direct" else n >= 2
-
-    numbered = F.transform(
-        "itineraries",
-        lambda it, i: F.struct(i.alias("pos"), it["segments"].alias("segments")),
-    )
-    picked = offers.select(*_HEAD, F.get(F.filter(numbered, fits), 0).alias("it"), *_FARE)
+    itinerary = F.posexplode_outer("itineraries").alias("itinerary_pos", "itinerary")
+    n_segments = F.coalesce(F.size("segments"), F.lit(0))
     return (
-        picked.filter(F.col("it").isNotNull())
-        .select(
-            *_HEAD,
-            F.col("it.pos").alias("itinerary_pos"),
-            F.col("it.segments").alias("segments"),
-            *_FARE,
-        )
-        .withColumns(_segment_facts())
+        _dropping_empty(offers.select(*_HEAD, *_FARE, itinerary), "itinerary")
+        .select(*_HEAD, "itinerary_pos", F.col("itinerary.segments").alias("segments"), *_FARE)
+        .withColumns({"n_segments": n_segments, "escale": n_segments >= 2})
     )
 
 
 def travelers(offers: DataFrame) -> DataFrame:
     """One row per traveller: id and the cabin of the first fare segment."""
-    exploded = offers.select(*_HEAD, F.explode("travelerPricings").alias("traveler"))
-    return exploded.select(
+    traveler = F.explode_outer("travelerPricings").alias("traveler")
+    return _dropping_empty(offers.select(*_HEAD, traveler), "traveler").select(
         *_HEAD,
         F.col("traveler.travelerId").alias("travelerId"),
         F.get("traveler.fareDetailsBySegment", 0)["cabin"].alias("Cabin"),
@@ -141,8 +113,8 @@ def add_fare(leg_rows: DataFrame) -> DataFrame:
         ),
     )
     return (
-        leg_rows.withColumn("traveler", F.array_min(ranked))
-        .filter(F.col("traveler").isNotNull())
+        leg_rows.filter(F.size("travelerPricings") > 0)
+        .withColumn("traveler", F.array_min(ranked))
         .withColumns(
             {
                 "prices": F.col("price.grandTotal"),
@@ -181,12 +153,16 @@ def with_fare(leg_rows: DataFrame) -> DataFrame:
 def offer_fares(offers: DataFrame, stops: str, adults: int | None = None) -> DataFrame:
     """Documents to flat fares in one chain: seats, itinerary, legs, fare, de-duplication."""
     bookable = bookable_offers(offers, adults)
-    return with_fare(legs(first_itinerary(bookable, stops), stops))
+    return with_fare(legs(itineraries(bookable), stops))
 
 
-def _segment_facts() -> dict[str, Column]:
-    n = F.coalesce(F.size("segments"), F.lit(0))
-    return {"n_segments": n, "escale": n >= 2}
+def _dropping_empty(exploded: DataFrame, item: str) -> DataFrame:
+    """Turn an outer explode into an inner one.
+
+    For an inner explode Spark first filters on the size of the array, which computes an
+    array that is not a plain column twice.
+    """
+    return exploded.filter(F.col(item).isNotNull())
 
 
 def _leg_head() -> tuple[str, ...]:
@@ -212,7 +188,6 @@ __all__ = [
     "connecting_legs",
     "dedup_offers",
     "direct_legs",
-    "first_itinerary",
     "itineraries",
     "legs",
     "offer_fares",

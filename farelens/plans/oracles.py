@@ -19,7 +19,7 @@ docs AS (
          CAST(l_orderkey AS varchar) AS id,
          strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS request_date,
          strftime(l_shipdate - INTERVAL 7 DAY, '%Y-%m-%d') AS "lastTicketingDate",
-         l_linenumber - 1 AS n_main,
+         (l_linenumber - 1) % 7 AS n_main,
          CAST(l_quantity AS bigint) % 2 = 0 AS has_return,
          CAST(CAST(l_extendedprice AS decimal(18,2)) AS varchar) AS prices,
          'EUR' AS currency,

@@ -12,6 +12,9 @@ from farelens.schemas import AIRLINE, AIRPORT, OFFER, TICKET
 ORIGIN, DESTINATION, ADULTS = "AAA", "BBB", 2
 
 
+MAX_SEGMENTS, MAX_TRAVELERS = 6, 3
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,57 +24,82 @@ def stream_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input with fewer splits than cores.
+
+    A small file with one row group would otherwise be one task. A large table has more
+    splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One offer document per line item.
 
     The request date is the Monday of the shipping week and the id is the order key, so
-    lines of one order shipped in one week are copies of one offer. A document has
-    ``l_linenumber - 1`` segments in its first itinerary, hopping from airport to airport
-    by a step of ``l_partkey``. For an even quantity a direct second itinerary follows; for
-    an odd one and no segments the itineraries are null.
+    lines of one order shipped in one week are copies of one offer. The first itinerary has
+    ``l_linenumber - 1`` segments (modulo 7), hopping from airport to airport by a step of
+    ``l_partkey``. For an even quantity a direct second itinerary follows; for an odd one and
+    no segments the itineraries are null. Up to three travellers are listed, last one first.
     """
-    ship = F.col("l_shipdate")
-    n_segments = F.greatest(F.col("l_linenumber") - 1, F.lit(0))
-    numbers = F.slice(F.sequence(F.lit(0), n_segments), F.lit(2), n_segments)
-    main = F.struct(F.transform(numbers, _segment).alias("segments"))
-    second = F.struct(F.array(_return_segment()).alias("segments"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_suppkey",
+        "l_partkey",
+        "l_extendedprice",
+        "l_quantity",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        F.col("l_shipdate").cast("date").alias("ship_date"),
+        F.col("l_shipdate").cast("date").cast("string").alias("day"),
+    )
+    n_segments = (F.col("l_linenumber") - 1) % (MAX_SEGMENTS + 1)
+    main = F.struct(F.transform(_numbers(n_segments), _segment).alias("segments"))
+    back = F.struct(F.array(_return_segment()).alias("segments"))
     even = F.col("l_quantity").cast("long") % 2 == 0
 
-    n_travelers = (1 + F.col("l_orderkey") % 3).cast("int")
-    traveler = F.transform(F.sequence(n_travelers, F.lit(1)), _traveler)
+    n_travelers = (1 + F.col("l_orderkey") % MAX_TRAVELERS).cast("int")
     columns = {
         "origin": F.lit(ORIGIN),
         "destination": F.lit(DESTINATION),
-        "request_date": F.trunc(ship.cast("date"), "week"),
+        "request_date": F.trunc("ship_date", "week"),
         "adults": F.lit(ADULTS),
         "id": F.col("l_orderkey").cast("string"),
-        "lastTicketingDate": F.date_format(F.date_sub(ship.cast("date"), 7), "yyyy-MM-dd"),
+        "lastTicketingDate": F.date_sub("ship_date", 7).cast("string"),
         "numberOfBookableSeats": (1 + F.col("l_orderkey") % 9).cast("int"),
-        "itineraries": F.when(even, F.array(main, second))
-        .when(n_segments > 0, F.array(main))
-        .otherwise(F.lit(None)),
+        "itineraries": F.when(even, F.array(main, back)).when(n_segments > 0, F.array(main)),
         "price": F.struct(
             F.lit("EUR").alias("currency"),
             F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("grandTotal"),
         ),
-        "travelerPricings": traveler,
+        "travelerPricings": F.transform(F.sequence(n_travelers, F.lit(1)), _traveler),
     }
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.select(
-        *[columns[f.name].cast(f.dataType).alias(f.name) for f in OFFER.fields]
-    )
+    return spread(lines).select(*[columns[name].alias(name) for name in OFFER.names])
+
+
+def _numbers(n: Column) -> Column:
+    """1 to ``n``; a plain ``sequence(1, 0)`` would count down."""
+    return F.slice(F.sequence(F.lit(0), n), F.lit(2), n)
 
 
 def _segment(i: Column) -> Column:
-    """Segment ``i`` from 1: the airport moves on, the carrier key is the supplier's over i."""
-    carrier = F.floor(F.col("l_suppkey") / i).cast("string")
-    silent = ((F.col("l_returnflag") == "N") & (i == 1)) | (
-        (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
+    """Segment ``i`` from 1: the airport moves on, the carrier key is the supplier's over i.
+
+    Line items with flag N name no operating carrier on segment 1, those with A and F on none.
+    """
+    carrier = F.call_function("div", F.col("l_suppkey"), i.cast("long")).cast("string")
+    silent = ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")) | (
+        (F.col("l_returnflag") == "N") & (i == 1)
     )
+    departs = _pick([f"T{3 * n:02d}:00:00" for n in range(MAX_SEGMENTS)], i - 1)
+    arrives = _pick([f"T{3 * n + 2:02d}:00:00" for n in range(MAX_SEGMENTS)], i - 1)
     return F.struct(
         i.cast("string").alias("id"),
-        _leg_end(_stop(i - 1), (i - 1) * 3).alias("departure"),
-        _leg_end(_stop(i), (i - 1) * 3 + 2).alias("arrival"),
+        _leg_end(_stop(i - 1), departs).alias("departure"),
+        _leg_end(_stop(i), arrives).alias("arrival"),
         carrier.alias("carrierCode"),
         F.when(~silent, F.struct(carrier.alias("carrierCode"))).alias("operating"),
     )
@@ -80,27 +108,25 @@ def _segment(i: Column) -> Column:
 def _return_segment() -> Column:
     return F.struct(
         F.lit("1").alias("id"),
-        _leg_end(_stop(F.lit(1)), F.lit(12)).alias("departure"),
-        _leg_end(_stop(F.lit(0)), F.lit(14)).alias("arrival"),
-        F.floor(F.col("l_suppkey") / 2).cast("string").alias("carrierCode"),
+        _leg_end(_stop(F.lit(1)), F.lit("T12:00:00")).alias("departure"),
+        _leg_end(_stop(F.lit(0)), F.lit("T14:00:00")).alias("arrival"),
+        F.expr("l_suppkey div 2").cast("string").alias("carrierCode"),
         F.lit(None).cast("struct<carrierCode:string>").alias("operating"),
     )
 
 
-def _leg_end(code: Column, hours: Column) -> Column:
-    at = F.col("l_shipdate") + F.make_dt_interval(hours=hours.cast("int"))
-    return F.struct(
-        code.alias("iataCode"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("at")
-    )
+def _leg_end(code: Column, time: Column) -> Column:
+    return F.struct(code.alias("iataCode"), F.concat("day", time).alias("at"))
 
 
 def _stop(i: Column) -> Column:
-    return code((F.col("l_suppkey") + i * F.col("l_partkey")) % 25)
+    number = (F.col("l_suppkey") + i * F.col("l_partkey")) % 25
+    return _pick([f"{n:03d}" for n in range(25)], number.cast("int"))
 
 
 def _traveler(number: Column) -> Column:
     """Traveller ``number``; untaxed lines list no fare, so their cabin is unknown."""
-    cabin = F.concat(F.lit("CABIN-"), ((F.col("l_linenumber") + number) % 3).cast("string"))
+    cabin = _pick(["CABIN-0", "CABIN-1", "CABIN-2"], (F.col("l_linenumber") + number) % 3)
     fare = F.struct(F.lit("1").alias("segmentId"), cabin.alias("cabin"))
     return F.struct(
         number.cast("string").alias("travelerId"),
@@ -108,6 +134,11 @@ def _traveler(number: Column) -> Column:
     )
 
 
+def _pick(texts: list[str], index: Column) -> Column:
+    """Item ``index`` of a constant list, which Spark folds into one literal."""
+    return F.get(F.array(*[F.lit(t) for t in texts]), index)
+
+
 def code(number: Column) -> Column:
     return F.lpad(number.cast("string"), 3, "0")
 
