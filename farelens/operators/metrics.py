@@ -22,15 +22,18 @@ def avg_price_by_window(
     """Average price per tumbling departure window, aligned to 1970-01-01.
 
     Rows without a readable time are left out. ``watermark`` bounds the state of a stream
-    at the price of ignoring rows later than that; by default every row counts.
+    at the price of ignoring rows later than that; by default every row counts. Spark takes
+    a watermark on instants only, so with one the session time zone should be UTC.
     """
     rows = tickets.select(as_event_time(tickets, time).alias("time"), F.col(price).alias("price"))
+    kind = rows.schema["time"].dataType
     if watermark:
+        rows = rows.withColumn("time", F.col("time").cast("timestamp"))
         rows = rows.withWatermark("time", watermark)
     windows = rows.groupBy(F.window("time", width)).agg(F.avg("price").alias("avg_price"))
     result = windows.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        F.col("window.start").cast(kind).alias("window_start"),
+        F.col("window.end").cast(kind).alias("window_end"),
         "avg_price",
     )
     return _sorted(result, F.col("window_start"))

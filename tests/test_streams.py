@@ -1,0 +1,156 @@
+import random
+
+import pytest
+
+from farelens.operators import metrics
+from farelens.sources import tickets as files
+from farelens.streaming import metrics as streams
+from farelens.streaming.runner import newest_rows, run_to_memory, run_to_table
+from farelens.workspace import scratch_dir
+
+HEADER = ",".join(f"column{n}" for n in range(16))
+
+
+def line(id, day, price, company):
+    return f"{id},CDG,Paris,{day},LIS,Lisbon,,{company},{price},EUR,true,,,,,2023-01-10"
+
+
+@pytest.fixture
+def lines():
+    """Tickets of which one company and one ticket hold about a third each."""
+    rng = random.Random(7)
+    rows = [
+        line(n % 40, f"2023-0{1 + n % 5}-{1 + n % 27:02d}T10:00:00", n % 9 + 0.25, f"C{n % 4}")
+        for n in range(120)
+    ]
+    rows += [line(1, "2023-01-14T10:00:00", 3.5, "C1")] * 60
+    rows += [line(5, "not a date", 3.5, ""), line("", "2023-01-14T10:00:00", 3.5, "C2")]
+    rng.shuffle(rows)
+    return rows
+
+
+def write(folder, lines, n_files):
+    folder.mkdir(exist_ok=True)
+    for n in range(n_files):
+        part = "\n".join([HEADER, *lines[n::n_files]])
+        (folder / f"day-{n}.csv").write_text(part + "\n")
+    return str(folder)
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+PAIRS = {
+    "company": (metrics.avg_price_by_company, streams.stream_avg_price_by_company),
+    "tickets": (metrics.tickets_by_company, streams.stream_tickets_by_company),
+    "weekday": (metrics.avg_price_by_weekday, streams.stream_avg_price_by_weekday),
+}
+
+
+@pytest.mark.parametrize("n_files", [1, 3])
+@pytest.mark.parametrize("name", PAIRS)
+def test_stream_equals_batch(spark, tmp_path, lines, name, n_files):
+    batch, stream = PAIRS[name]
+    path = write(tmp_path / "in", lines, n_files)
+    expected = rows(batch(files.read_tickets(spark, path)))
+    source = files.stream_tickets(spark, f"{path}/*.csv", max_files=1)
+    assert source.isStreaming
+    assert rows(stream(source)) == expected
+
+
+@pytest.mark.parametrize("n_files", [1, 3])
+def test_window_stream_equals_batch(spark, tmp_path, lines, n_files):
+    path = write(tmp_path / "in", lines, n_files)
+    expected = rows(metrics.avg_price_by_window(files.read_tickets(spark, path)))
+    source = files.stream_tickets(spark, path, max_files=1)
+    name = f"windows_{n_files}"
+    assert rows(streams.stream_avg_price_by_window(source, name)) == expected
+    assert rows(spark.sql(f"SELECT * FROM {name} ORDER BY window_start")) == expected
+    assert not spark.streams.active
+
+
+def test_empty_folder_gives_no_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    source = files.stream_tickets(spark, str(tmp_path / "in"))
+    assert rows(streams.stream_avg_price_by_company(source)) == []
+    assert rows(streams.stream_avg_price_by_window(source, "empty_windows")) == []
+
+
+def test_single_query_distinct_stream(spark, tmp_path, lines):
+    """The batch functions stream as they are, in complete mode."""
+    path = write(tmp_path / "in", lines, 2)
+    table = files.read_tickets(spark, path)
+    source = files.stream_tickets(spark, path, max_files=1)
+    result = run_to_memory(metrics.tickets_by_company(source), "distinct_tickets")
+    assert sorted(rows(result), key=str) == sorted(rows(metrics.tickets_by_company(table)), key=str)
+
+
+def test_new_files_continue_from_the_checkpoint(spark, tmp_path, lines):
+    path = write(tmp_path / "in", lines, 1)
+    out, checkpoint = scratch_dir(spark, "table"), scratch_dir(spark, "checkpoint")
+
+    def run():
+        source = files.stream_tickets(spark, path)
+        counts = metrics.ticket_counts(source, ["id", "Company"])
+        return run_to_table(counts, out, checkpoint, ["id", "Company"], name="counts")
+
+    def batch():
+        return metrics.ticket_counts(files.read_tickets(spark, path), ["id", "Company"])
+
+    assert sorted(rows(run()), key=str) == sorted(rows(batch()), key=str)
+    (tmp_path / "in" / "later.csv").write_text(
+        f"{HEADER}\n{line(1, '2023-01-14', 9.0, 'C1')}\n{line(99, '2023-01-14', 9.0, 'C9')}\n"
+    )
+    assert sorted(rows(run()), key=str) == sorted(rows(batch()), key=str)
+    assert sorted(rows(run()), key=str) == sorted(rows(batch()), key=str)
+
+
+def test_one_file_per_micro_batch(spark, tmp_path, lines):
+    path = write(tmp_path / "in", lines, 3)
+    out = scratch_dir(spark, "table")
+    source = files.stream_tickets(spark, path, max_files=1)
+    counts = metrics.ticket_counts(source, ["Company"])
+    run_to_table(counts, out, scratch_dir(spark, "checkpoint"), ["Company"])
+    batches = spark.read.parquet(out).select("batch_id").distinct().collect()
+    assert {r.batch_id for r in batches} == {0, 1, 2}
+    with pytest.raises(ValueError):
+        files.stream_tickets(spark, path, max_files=1, max_bytes=1)
+
+
+def test_watermark_leaves_late_rows_out(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n, day in enumerate(["2023-06-01", "2023-09-01", "2023-01-01"]):
+        (folder / f"day-{n}.csv").write_text(f"{HEADER}\n{line(n, day, 10.0, 'A')}\n")
+    source = files.stream_tickets(spark, str(folder), max_files=1)
+    late = metrics.avg_price_by_window(source, watermark="1 day")
+    table = run_to_table(
+        late, scratch_dir(spark, "table"), scratch_dir(spark, "checkpoint"), ["window_start"]
+    )
+    assert {r.window_start.month for r in table.collect()} == {5, 8}
+    every = streams.stream_avg_price_by_window(
+        files.stream_tickets(spark, str(folder), max_files=1), "every_window"
+    )
+    assert every.count() == 3
+
+
+def test_session_settings_are_put_back(spark, tmp_path, lines):
+    keys = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(k, None) for k in keys]
+    source = files.stream_tickets(spark, write(tmp_path / "in", lines, 1))
+    counts = metrics.avg_price_by_window(source)
+    assert run_to_memory(counts, "settings", state_partitions=2).count() > 0
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_newest_row_of_each_key(spark):
+    changes = spark.createDataFrame(
+        [("a", 1, 0), ("a", 2, 1), ("b", 5, 0), (None, 7, 2), (None, None, 3)],
+        "k string, n int, batch_id int",
+    )
+    assert sorted(rows(newest_rows(changes, ["k"])), key=str) == [
+        ("a", 2),
+        ("b", 5),
+        (None, None),
+    ]
