@@ -1,6 +1,7 @@
 """The date sweep: all requests of a sweep in one job, to one set of ticket files."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from farelens.operators.tickets import plane_tickets, ticket_table
 from farelens.schemas import REQUEST_KEY
@@ -16,10 +17,15 @@ def tickets_for_requests(
 ) -> DataFrame:
     """The ticket table of the requested routes and dates, after the requested ``dep_date``.
 
-    The semi join runs on the partition columns of landed offers, so folders of dates
-    nobody asked for are not read.
+    The first and last date asked for prune the folders of landed offers before they are
+    read. Pass ``requests`` from files (see ``workspace.stored``) to let Spark weigh its size
+    before planning the semi join.
     """
-    asked = offers.join(requests.select(*REQUEST_KEY), list(REQUEST_KEY), "left_semi")
+    first = requests.agg(F.min("request_date")).scalar()
+    last = requests.agg(F.max("request_date")).scalar()
+    asked = offers.filter(F.col("request_date").between(first, last)).join(
+        requests.select(*REQUEST_KEY), list(REQUEST_KEY), "left_semi"
+    )
     tickets = plane_tickets(asked, airports, airlines, stops, keep=("request_date",))
     table = ticket_table(tickets, keep=("request_date",))
     return table.withColumnRenamed("request_date", "dep_date")

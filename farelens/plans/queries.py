@@ -17,7 +17,7 @@ from farelens.sources import dimensions, tickets as files
 from farelens.sources import offers as landing
 from farelens.streaming import metrics as streams
 from farelens.streaming.runner import run_to_table
-from farelens.workspace import scratch_dir
+from farelens.workspace import scratch_dir, stored
 
 #: The sweep covers every year the tables hold.
 SWEEP = (date(1995, 1, 1), date(2001, 12, 31))
@@ -376,7 +376,7 @@ def _export(spark: SparkSession, sf_dir: str) -> str:
     offers = tables.offers(spark, sf_dir)
     routes = offers.select("origin", "destination", "adults").distinct()
     ticket_export(
-        landing.request_sweep(routes, *SWEEP),
+        stored(landing.request_sweep(routes, *SWEEP)),
         offers,
         tables.airports(spark, sf_dir),
         tables.airlines(spark, sf_dir),

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -18,3 +18,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="farelens-")
     return f"{base.rstrip('/')}/farelens/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a small derived table to the shared folder and read it back.
+
+    Its lineage ends there, and Spark knows its size when it plans a join with it: whether
+    to broadcast is then decided before the large side has been shuffled.
+    """
+    path = scratch_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -122,7 +123,9 @@ def test_watermark_leaves_late_rows_out(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     for n, day in enumerate(["2023-06-01", "2023-09-01", "2023-01-01"]):
-        (folder / f"day-{n}.csv").write_text(f"{HEADER}\n{line(n, day, 10.0, 'A')}\n")
+        file = folder / f"day-{n}.csv"
+        file.write_text(f"{HEADER}\n{line(n, day, 10.0, 'A')}\n")
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
     source = files.stream_tickets(spark, str(folder), max_files=1)
     late = metrics.avg_price_by_window(source, watermark="1 day")
     table = run_to_table(
