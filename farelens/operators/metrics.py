@@ -53,11 +53,17 @@ def ticket_counts(tickets: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def tickets_by_company(
-    tickets: DataFrame, key_cols: Sequence[str] = ("id",), company: str = "Company"
+    tickets: DataFrame,
+    key_cols: Sequence[str] = ("id",),
+    company: str = "Company",
+    time: str = "date_de_depart",
+    watermark: str | None = None,
 ) -> DataFrame:
-    """Distinct tickets per company, most first; a null id counts as one ticket."""
-    distinct = tickets.select(*key_cols, company).dropDuplicates()
-    return company_totals(distinct, company)
+    """Distinct tickets per company, most first; a null id counts as one ticket.
+
+    ``watermark`` is as in :func:`distinct_rows`.
+    """
+    return company_totals(distinct_rows(tickets, (*key_cols, company), time, watermark), company)
 
 
 def company_totals(distinct_tickets: DataFrame, company: str = "Company") -> DataFrame:
@@ -67,13 +73,18 @@ def company_totals(distinct_tickets: DataFrame, company: str = "Company") -> Dat
 
 
 def avg_price_by_weekday(
-    tickets: DataFrame, time: str = "date_de_depart", price: str = "price", id_col: str = "id"
+    tickets: DataFrame,
+    time: str = "date_de_depart",
+    price: str = "price",
+    id_col: str = "id",
+    watermark: str | None = None,
 ) -> DataFrame:
     """Average price per weekday, 1 = Sunday, over distinct (departure, price, id).
 
     Departures that are not a date form a group of their own, with a null weekday.
+    ``watermark`` is as in :func:`distinct_rows`.
     """
-    distinct = tickets.select(time, price, id_col).dropDuplicates()
+    distinct = distinct_rows(tickets, (time, price, id_col), time, watermark)
     return weekday_averages(distinct, time, price)
 
 
@@ -86,5 +97,22 @@ def weekday_averages(
     return _sorted(result, F.col("weekday"))
 
 
+def distinct_rows(
+    tickets: DataFrame, keys: Sequence[str], time: str, watermark: str | None = None
+) -> DataFrame:
+    """The distinct keys.
+
+    A stream remembers every key. With ``watermark`` it forgets a key once departures have
+    moved on by that much: the state is bounded, but a later copy counts again and a row
+    later than that is ignored. A table is not affected.
+    """
+    if not (watermark and tickets.isStreaming):
+        return tickets.select(*keys).dropDuplicates()
+    instant = as_event_time(tickets, time).cast("timestamp")
+    rows = tickets.select(*keys, instant.alias("event_time"))
+    known = rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(list(keys))
+    return known.select(*keys)
+
+
 def _sorted(df: DataFrame, *order: Column) -> DataFrame:
     return df if df.isStreaming else df.orderBy(*order)

@@ -138,6 +138,28 @@ def test_watermark_leaves_late_rows_out(spark, tmp_path):
     assert every.count() == 3
 
 
+@pytest.mark.parametrize(
+    ("watermark", "expected"), [(None, [("A", 2)]), ("1 day", [("A", 3)]), ("900 days", [("A", 2)])]
+)
+def test_distinct_stream_forgets_keys_behind_the_watermark(spark, tmp_path, watermark, expected):
+    """Ticket 1 comes again after departures have moved on by three months."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    days = [("1", "2023-06-01"), ("2", "2023-09-01"), ("2", "2023-09-01"), ("1", "2023-09-02")]
+    for n, (id, day) in enumerate(days):
+        file = folder / f"day-{n}.csv"
+        file.write_text(f"{HEADER}\n{line(id, day, 10.0, 'A')}\n")
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+    source = files.stream_tickets(spark, str(folder), max_files=1)
+    name = "distinct_" + (watermark or "all").replace(" ", "_")
+    result = run_to_memory(metrics.tickets_by_company(source, watermark=watermark), name)
+    assert rows(result) == expected
+    batch = metrics.tickets_by_company(
+        files.read_tickets(spark, str(folder)), watermark=watermark
+    )
+    assert rows(batch) == [("A", 2)]
+
+
 def test_session_settings_are_put_back(spark, tmp_path, lines):
     keys = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions"]
     before = [spark.conf.get(k, None) for k in keys]
