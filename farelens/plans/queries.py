@@ -333,7 +333,7 @@ def string_clean_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed and malformed prices and dates as text; the malformed become null."""
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.col("o_orderdate").cast("date").cast("string")
     status = F.col("o_orderstatus")
     texts = tables.table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -347,7 +347,7 @@ def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         fn.as_number("price").alias("price"),
         fn.as_date("day").cast("string").alias("day"),
-        F.date_format(fn.as_event_time(texts, "day"), "yyyy-MM-dd HH:mm:ss").alias("time"),
+        fn.as_event_time(texts, "day").cast("string").alias("time"),
     )
 
 
@@ -409,9 +409,7 @@ def _plain(df: DataFrame, *columns: str | Column) -> DataFrame:
     shown = []
     for name, kind in picked.dtypes:
         column = F.col(name)
-        if kind.startswith("timestamp"):
-            column = F.date_format(name, "yyyy-MM-dd HH:mm:ss")
-        elif kind in ("date", "boolean"):
+        if kind in ("timestamp", "timestamp_ntz", "date", "boolean"):
             column = column.cast("string")
         elif kind == "int":
             column = column.cast("long")

@@ -185,7 +185,7 @@ def order_tickets(orders: DataFrame) -> DataFrame:
         "price": F.col("o_totalprice"),
         "currency": F.lit("EUR"),
         "escale": F.lit("false"),
-        "lastTicketingDate": F.date_format(at, "yyyy-MM-dd"),
+        "lastTicketingDate": at.cast("date").cast("string"),
     }
     return _in_layout(orders, TICKET, known, typed=False)
 

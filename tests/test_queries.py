@@ -40,6 +40,16 @@ def test_query_equals_sql(spark, sql, name):
     assert found
 
 
+def test_times_survive_a_zone_with_daylight_saving(spark, sql):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("ticket_table_connecting", "safe_casts", "avg_price_30d_stream"):
+            test_query_equals_sql(spark, sql, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_no_query_runs_python_per_row(spark):
     for name in ("connecting_tickets", "direct_tickets", "avg_price_by_weekday", "safe_casts"):
         plan = contract.queries()[name](spark, str(SF))._jdf.queryExecution().toString()
