@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from farelens.plans.queries import QUERIES
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="given tables are not here")
@@ -29,7 +30,7 @@ def canonical(columns, rows):
     return sorted((tuple(cell(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, sql, name):
     result = contract.queries()[name](spark, str(SF))
     expected = sql.execute(contract.oracle_sql()[name])
