@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelens.llm.simhash import near_duplicates
 from farelens.llm.token_counts import count_tokens
 
 
@@ -9,9 +10,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_token_counts": op6_token_counts}
+QUERIES = {"op1_simhash": op1_simhash, "op6_token_counts": op6_token_counts}
 ORACLES: dict[str, str] = {}
