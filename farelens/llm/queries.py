@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelens.llm.histogram_packing import pack
 from farelens.llm.simhash import near_duplicates
 from farelens.llm.token_counts import count_tokens
 
@@ -18,5 +19,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op6_token_counts": op6_token_counts}
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), window=4096)
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing}
 ORACLES: dict[str, str] = {}
