@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from farelens.llm.histogram_packing import pack
+from farelens.llm.secrets import find_secrets
 from farelens.llm.simhash import near_duplicates
 from farelens.llm.token_counts import count_tokens
 
@@ -15,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"), scope=200)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -23,5 +28,5 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), window=4096)
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing}
+QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing}
 ORACLES: dict[str, str] = {}
