@@ -212,11 +212,13 @@ class Model:
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Nats per character by text and language, and the number of characters."""
         grams = Grams(texts)
-        out = np.zeros((len(texts), len(self.langs)))
+        out, some = np.zeros((len(texts), len(self.langs))), grams.sizes > 0
         for column, lang in enumerate(self.langs):
             each = self.log_probabilities(lang, grams.codes)[grams.at]
-            out[:, column] = -np.add.reduceat(each, grams.starts) / grams.sizes
-        return out, np.where(grams.sizes > 1, grams.sizes, 0)
+            if some.any():
+                sums = np.add.reduceat(each, grams.starts[some])
+                out[some, column] = -sums / grams.sizes[some]
+        return out, grams.sizes
 
 
 def train(docs: DataFrame, hash_bits: int = 22) -> Model:
