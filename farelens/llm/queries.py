@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
+from farelens.llm.personal_data import find_personal_data
 from farelens.llm.secrets import find_secrets
 from farelens.llm.simhash import near_duplicates
 from farelens.llm.token_counts import count_tokens
@@ -29,9 +30,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), window=4096)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op10_language_id": op10_language_id}
+QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
 ORACLES: dict[str, str] = {}
