@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
 from farelens.llm.personal_data import find_personal_data
+from farelens.llm.pivots import near_duplicate_vectors
 from farelens.llm.secrets import find_secrets
 from farelens.llm.simhash import near_duplicates
 from farelens.llm.token_counts import count_tokens
@@ -18,6 +19,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op2_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"), scope=200)
 
@@ -38,5 +43,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
+QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
 ORACLES: dict[str, str] = {}
