@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelens.llm.collision_search import nearest_neighbours
 from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
 from farelens.llm.personal_data import find_personal_data
@@ -35,6 +36,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), window=4096)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
@@ -43,5 +48,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
+QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op8_neighbours": op8_neighbours, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
 ORACLES: dict[str, str] = {}
