@@ -143,3 +143,28 @@ def near_duplicates(
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row of each component, all columns as they are: that with the smallest doc_id, and of
+    several such rows, or where no row has an id, the first by place. ``docs`` must be a table
+    that Spark reads the same way twice, such as files."""
+    marked = docs.withColumn("_dedup_row", F.monotonically_increasing_id())
+    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64()), ("row", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            values = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
+            bits = np.array(values, np.uint64).view(np.int64)
+            columns = {"doc_id": batch.column("doc_id"), "bits": bits, "row": batch.column("_dedup_row")}
+            yield batch_of(columns, schema)
+
+    rows = marked.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_dedup_row")
+    prints = stored_table(map_arrow(rows, run, "doc_id long, bits long, row long"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    distinct = stored_table(prints.groupBy("bits").agg(first), "distinct")
+    groups = connected_components(close_links(distinct.select("bits"), distance))
+    named = distinct.join(groups.withColumnRenamed("node", "bits"), "bits", "left")
+    kept = named.groupBy(F.coalesce("component", "bits")).agg(F.min("first").alias("first"))
+    kept = stored_table(kept.select(F.col("first.row").alias("_dedup_row")), "kept_rows")
+    return marked.join(kept, "_dedup_row", "left_semi").drop("_dedup_row")
