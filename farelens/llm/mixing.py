@@ -5,9 +5,9 @@ targets of one dimension after the other: a cell's factor is multiplied by targe
 weight of its source, then of its language, then of its topic, until all three fit. A document
 is then kept with the probability that its cell's factor gives, the largest factor being 1.
 
-Cells stay a table: sources may be as many as web sites. A round is an aggregate and a join
-with one row per value of the dimension, written to the shared folder; only the largest misfit
-comes to the driver. The texts are read once to count tokens and never shuffled for it.
+Cells stay a table: sources may be as many as web sites. Raking one dimension is an aggregate
+and a join with one row per value, written to the shared folder; only the largest misfit of a
+round comes to the driver. The texts are read once to count tokens and never shuffled for it.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -36,8 +36,24 @@ def tempered_targets(cells: DataFrame, dimension: str, power: float) -> DataFram
     return shares.join(F.broadcast(total)).select("value", (F.col("raised") / F.col("total")).alias("target"))
 
 
+def _fit_one(cells: DataFrame, dimension: str, target: DataFrame) -> DataFrame:
+    weights = cells.groupBy(F.col(dimension).alias("own")).agg(
+        F.sum(F.col("tokens") * F.col("factor")).alias("weight")
+    )
+    known = weights.join(target, F.col("own").eqNullSafe(F.col("value"))).filter("weight > 0")
+    total = known.agg(F.sum("weight").alias("all"))
+    change = F.col("target") * F.col("all") / F.col("weight")
+    known = known.join(F.broadcast(total)).select("own", change.alias("change"))
+    return cells.join(known, F.col(dimension).eqNullSafe(F.col("own")), "left").select(
+        *DIMENSIONS,
+        "tokens",
+        (F.col("factor") * F.coalesce("change", F.lit(1.0))).alias("factor"),
+        F.greatest("misfit", F.abs(F.coalesce("change", F.lit(1.0)) - 1)).alias("misfit"),
+    )
+
+
 def rake(
-    cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 30, tolerance: float = 1e-4
+    cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 30, tolerance: float = 1e-3
 ) -> DataFrame:
     """The cells with their ``factor``. Values without a target keep their weight; targets of
     values without tokens are left out, and the rest of that dimension fills up to 1."""
@@ -52,27 +68,13 @@ def rake(
             "targets",
         )
     for _ in range(rounds):
-        now = cells.withColumn("misfit", F.lit(0.0))
+        cells = cells.withColumn("misfit", F.lit(0.0))
         for dimension, target in usable.items():
-            weights = now.groupBy(F.col(dimension).alias("own")).agg(
-                F.sum(F.col("tokens") * F.col("factor")).alias("weight")
-            )
-            known = weights.join(target, F.col("own").eqNullSafe(F.col("value")))
-            total = known.agg(F.sum("weight").alias("all"))
-            known = known.join(F.broadcast(total)).filter("weight > 0").select(
-                "own", (F.col("target") * F.col("all") / F.col("weight")).alias("change")
-            )
-            now = now.join(known, F.col(dimension).eqNullSafe(F.col("own")), "left").select(
-                *DIMENSIONS,
-                "tokens",
-                (F.col("factor") * F.coalesce("change", F.lit(1.0))).alias("factor"),
-                F.greatest("misfit", F.abs(F.coalesce("change", F.lit(1.0)) - 1)).alias("misfit"),
-            )
-        cells = stored_table(now, "cells")
+            cells = stored_table(_fit_one(cells, dimension, target), "cells")
         worst = cells.agg(F.max("misfit")).first()[0]
         if worst is None or worst < tolerance:
             break
-    return cells.drop("misfit")
+    return cells.select(*DIMENSIONS, "tokens", "factor")
 
 
 def _marked(docs: DataFrame, topic: Column) -> DataFrame:
