@@ -51,6 +51,13 @@ def stored_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cogroup_arrow(
+    left: DataFrame, right: DataFrame, key: str, function: Callable, schema: str
+) -> DataFrame:
+    ship_package(left.sparkSession)
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(function, schema)
+
+
 def table_of(columns: dict, schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
@@ -127,17 +134,19 @@ def text_slices(
             start = end + 1
 
 
-def pack(array: np.ndarray) -> bytes:
-    """An array as compressed bytes, its bytes grouped by significance."""
-    raw = np.ascontiguousarray(array)
+def dump(array: np.ndarray, ascending: bool = False) -> bytes:
+    """An array as compressed bytes; ascending ones as differences, bytes by significance."""
+    raw = np.ascontiguousarray(np.diff(array, prepend=array.dtype.type(0)) if ascending else array)
     planes = raw.view(np.uint8).reshape(len(raw), raw.itemsize).T.tobytes() if len(raw) else b""
-    return pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
+    codec = pa.Codec("zstd", compression_level=1)
+    return len(raw).to_bytes(8, "little") + codec.compress(planes, asbytes=True)
 
 
-def unpack(data: bytes, kind, length: int) -> np.ndarray:
-    kind = np.dtype(kind)
+def load(data: bytes, kind: str, ascending: bool = False) -> np.ndarray:
+    length, item = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
     if not length:
         return np.empty(0, kind)
-    planes = pa.Codec("zstd").decompress(data, length * kind.itemsize, asbytes=True)
-    grid = np.frombuffer(planes, np.uint8).reshape(kind.itemsize, length)
-    return np.ascontiguousarray(grid.T).reshape(-1).view(kind)
+    planes = pa.Codec("zstd").decompress(data[8:], length * item, asbytes=True)
+    grid = np.frombuffer(planes, np.uint8).reshape(item, length)
+    values = np.ascontiguousarray(grid.T).reshape(-1).view(kind)
+    return np.cumsum(values, dtype=kind) if ascending else values

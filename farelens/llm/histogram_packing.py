@@ -79,7 +79,7 @@ class WordIds:
     def part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) > 1 << 20:
+            if len(self.parts) > 1 << 18:
                 self.parts.clear()
             letters = part.encode().decode("latin-1").translate(self.letters)
             ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
@@ -94,14 +94,14 @@ def word_ids(path: str) -> WordIds:
 def document_ids(text: str | None, cache: WordCache, end: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").split()
     numbers, values = cache.of(words)
-    return np.concatenate([*map(values.__getitem__, numbers), [end]]).astype("<u4")
+    return np.concatenate([*map(values.__getitem__, numbers.tolist()), [end]]).astype("<u4")
 
 
 def cut_pieces(
     docs: DataFrame, window: int, unit: int, path: str, end: int
 ) -> DataFrame:
     def run(batches):
-        task, cache, seen = TaskContext.get().partitionId(), WordCache(word_ids(path)), Counter()
+        task, cache, seen = TaskContext.get().partitionId(), WordCache(word_ids(path), 1 << 18), Counter()
         for batch in batches:
             rows = {name: [] for name in PIECE.names}
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):

@@ -7,6 +7,7 @@ from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
 from farelens.llm.mixing import mixing_probabilities
 from farelens.llm.personal_data import find_personal_data
+from farelens.llm.pitman_yor import score_texts
 from farelens.llm.pivots import near_duplicate_vectors
 from farelens.llm.secrets import find_secrets
 from farelens.llm.simhash import near_duplicates
@@ -25,6 +26,10 @@ def op2_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_probabilities(_table(spark, sf_dir, "documents"))
 
@@ -53,5 +58,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op8_neighbours": op8_neighbours, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
+QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op3_pitman_yor": op3_pitman_yor, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op8_neighbours": op8_neighbours, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
 ORACLES: dict[str, str] = {}

@@ -112,7 +112,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
             for text in batch.column("text"):
                 numbers, values = cache.of(lower_words(text.as_py()))
                 words.append(len(numbers))
-                tokens.append(sum(map(values.__getitem__, numbers)))
+                tokens.append(sum(map(values.__getitem__, numbers.tolist())))
             yield batch_of(
                 {"doc_id": batch.column("doc_id"), "n_words": words, "n_tokens": tokens}, SCHEMA
             )
