@@ -121,7 +121,7 @@ def near_duplicate_vectors(
     finds them with a probability that falls towards the limit (see the README for recall).
     """
     rows = embeddings.select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label")
+        F.col("vec_id").cast("long"), "embedding", "label"
     )
     rows = rows.withColumn("embedding", F.when(usable(F.col("embedding")) & F.col("label").isNotNull(), F.col("embedding")))
     classes = rows.filter("embedding is not null").groupBy("label", "embedding")
