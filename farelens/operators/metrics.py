@@ -12,15 +12,28 @@ from pyspark.sql import functions as F
 from farelens.functions import as_date, as_event_time
 
 
+def mean(value: str, exact: int | None = None) -> Column:
+    """The average. With ``exact`` it is the exact sum of values of so many decimals over their
+    count, so it does not depend on the order in which tasks finish; values must stay below
+    10^(18 - exact), as an overflow is an error. Without it, it is a plain average of doubles."""
+    if exact is None:
+        return F.avg(value)
+    total = F.sum(F.col(value).cast(f"decimal(18,{exact})")).cast("double")
+    return F.try_divide(total, F.count(value))
+
+
 def avg_price_by_window(
     tickets: DataFrame,
     width: str = "30 days",
     time: str = "date_de_depart",
     price: str = "price",
     watermark: str | None = None,
+    exact: int | None = None,
 ) -> DataFrame:
     """Average price per tumbling departure window, aligned to 1970-01-01.
 
+    ``exact`` is as in :func:`mean`.
+
     Rows without a readable time are left out. ``watermark`` bounds the state of a stream
     at the price of ignoring rows later than that; by default every row counts. Spark takes
     a watermark on instants only, so with one the session time zone should be UTC.
@@ -30,7 +43,7 @@ def avg_price_by_window(
     if watermark:
         rows = rows.withColumn("time", F.col("time").cast("timestamp"))
         rows = rows.withWatermark("time", watermark)
-    windows = rows.groupBy(F.window("time", width)).agg(F.avg("price").alias("avg_price"))
+    windows = rows.groupBy(F.window("time", width)).agg(mean("price", exact).alias("avg_price"))
     result = windows.select(
         F.col("window.start").cast(kind).alias("window_start"),
         F.col("window.end").cast(kind).alias("window_end"),
@@ -40,10 +53,10 @@ def avg_price_by_window(
 
 
 def avg_price_by_company(
-    tickets: DataFrame, company: str = "Company", price: str = "price"
+    tickets: DataFrame, company: str = "Company", price: str = "price", exact: int | None = None
 ) -> DataFrame:
-    """Average price per company over all rows."""
-    result = tickets.groupBy(company).agg(F.avg(price).alias("avg_price"))
+    """Average price per company over all rows. ``exact`` is as in :func:`mean`."""
+    result = tickets.groupBy(company).agg(mean(price, exact).alias("avg_price"))
     return _sorted(result, F.col(company))
 
 
@@ -78,22 +91,26 @@ def avg_price_by_weekday(
     price: str = "price",
     id_col: str = "id",
     watermark: str | None = None,
+    exact: int | None = None,
 ) -> DataFrame:
     """Average price per weekday, 1 = Sunday, over distinct (departure, price, id).
 
     Departures that are not a date form a group of their own, with a null weekday.
-    ``watermark`` is as in :func:`distinct_rows`.
+    ``watermark`` is as in :func:`distinct_rows`, ``exact`` as in :func:`mean`.
     """
     distinct = distinct_rows(tickets, (time, price, id_col), time, watermark)
-    return weekday_averages(distinct, time, price)
+    return weekday_averages(distinct, time, price, exact)
 
 
 def weekday_averages(
-    distinct_prices: DataFrame, time: str = "date_de_depart", price: str = "price"
+    distinct_prices: DataFrame,
+    time: str = "date_de_depart",
+    price: str = "price",
+    exact: int | None = None,
 ) -> DataFrame:
     """Second level of :func:`avg_price_by_weekday`, over rows that are distinct already."""
     weekday = F.dayofweek(as_date(time)).alias("weekday")
-    result = distinct_prices.groupBy(weekday).agg(F.avg(price).alias("avg_price"))
+    result = distinct_prices.groupBy(weekday).agg(mean(price, exact).alias("avg_price"))
     return _sorted(result, F.col("weekday"))
 
 

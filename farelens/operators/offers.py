@@ -37,21 +37,22 @@ def bookable_offers(offers: DataFrame, adults: int | None = None) -> DataFrame:
 def itineraries(offers: DataFrame) -> DataFrame:
     """One row per itinerary, with its segment count and the stop-over flag ``escale``.
 
-    Offers with an empty or null itinerary list disappear, as with any ``explode``.
+    Offers with an empty or null itinerary list disappear, as with any ``explode``; a null
+    itinerary in a list is one without segments.
     """
     itinerary = F.posexplode_outer("itineraries").alias("itinerary_pos", "itinerary")
     n_segments = F.coalesce(F.size("segments"), F.lit(0))
     return (
-        _dropping_empty(offers.select(*_HEAD, *_FARE, itinerary), "itinerary")
+        _dropping_empty(offers.select(*_HEAD, *_FARE, itinerary), "itinerary_pos")
         .select(*_HEAD, "itinerary_pos", F.col("itinerary.segments").alias("segments"), *_FARE)
         .withColumns({"n_segments": n_segments, "escale": n_segments >= 2})
     )
 
 
 def travelers(offers: DataFrame) -> DataFrame:
-    """One row per traveller: id and the cabin of the first fare segment."""
-    traveler = F.explode_outer("travelerPricings").alias("traveler")
-    return _dropping_empty(offers.select(*_HEAD, traveler), "traveler").select(
+    """One row per traveller, null ones included: id and the cabin of the first fare segment."""
+    traveler = F.posexplode_outer("travelerPricings").alias("traveler_pos", "traveler")
+    return _dropping_empty(offers.select(*_HEAD, traveler), "traveler_pos").select(
         *_HEAD,
         F.col("traveler.travelerId").alias("travelerId"),
         F.get("traveler.fareDetailsBySegment", 0)["cabin"].alias("Cabin"),
@@ -104,14 +105,7 @@ def add_fare(leg_rows: DataFrame) -> DataFrame:
 
     Offers without travellers are dropped. Ids that are numbers rank by value.
     """
-    ranked = F.transform(
-        "travelerPricings",
-        lambda t: F.struct(
-            t["travelerId"].try_cast("int").alias("number"),
-            t["travelerId"].alias("travelerId"),
-            F.get(t["fareDetailsBySegment"], 0)["cabin"].alias("cabin"),
-        ),
-    )
+    ranked = F.transform("travelerPricings", lambda t: F.struct(*_rank(t)))
     return (
         leg_rows.filter(F.size("travelerPricings") > 0)
         .withColumn("traveler", F.array_min(ranked))
@@ -152,17 +146,34 @@ def with_fare(leg_rows: DataFrame) -> DataFrame:
 
 def offer_fares(offers: DataFrame, stops: str, adults: int | None = None) -> DataFrame:
     """Documents to flat fares in one chain: seats, itinerary, legs, fare, de-duplication."""
-    bookable = bookable_offers(offers, adults)
+    bookable = lowest_traveler(bookable_offers(offers, adults))
     return with_fare(legs(itineraries(bookable), stops))
 
 
-def _dropping_empty(exploded: DataFrame, item: str) -> DataFrame:
-    """Turn an outer explode into an inner one.
+def lowest_traveler(offers: DataFrame) -> DataFrame:
+    """Cut the travellers to the one whose cabin the fare shows, so that rows made from an
+    offer carry one. Offers without travellers stay as they are."""
+    ranked = F.transform("travelerPricings", lambda t: F.struct(*_rank(t), t.alias("traveler")))
+    one = F.array(F.array_min(ranked)["traveler"])
+    cut = F.when(F.size("travelerPricings") > 1, one).otherwise(F.col("travelerPricings"))
+    return offers.withColumn("travelerPricings", cut)
+
+
+def _rank(t: Column) -> tuple[Column, ...]:
+    return (
+        t["travelerId"].try_cast("int").alias("number"),
+        t["travelerId"].alias("travelerId"),
+        F.get(t["fareDetailsBySegment"], 0)["cabin"].alias("cabin"),
+    )
+
+
+def _dropping_empty(exploded: DataFrame, position: str) -> DataFrame:
+    """Turn an outer explode into an inner one: only an empty or null list has no position.
 
     For an inner explode Spark first filters on the size of the array, which computes an
     array that is not a plain column twice.
     """
-    return exploded.filter(F.col(item).isNotNull())
+    return exploded.filter(F.col(position).isNotNull())
 
 
 def _leg_head() -> tuple[str, ...]:
@@ -190,6 +201,7 @@ __all__ = [
     "direct_legs",
     "itineraries",
     "legs",
+    "lowest_traveler",
     "offer_fares",
     "travelers",
     "with_fare",

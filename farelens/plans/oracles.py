@@ -6,7 +6,7 @@ SQL shares no step with the operators it checks.
 
 
 def _stop(i: int) -> str:
-    return f"lpad(CAST((l_suppkey + {i} * l_partkey) % 25 AS varchar), 3, '0')"
+    return f"lpad(CAST((l_suppkey + {i} * l_partkey) % 30 AS varchar), 3, '0')"
 
 
 def _time(hours: int) -> str:
@@ -23,13 +23,16 @@ docs AS (
          CAST(l_quantity AS bigint) % 2 = 0 AS has_return,
          CAST(CAST(l_extendedprice AS decimal(18,2)) AS varchar) AS prices,
          'EUR' AS currency,
+         CASE l_suppkey % 2 WHEN 0 THEN 'AAA' ELSE 'AAB' END AS origin,
+         CASE l_orderkey % 3 WHEN 0 THEN 'BBA' WHEN 1 THEN 'BBB' ELSE 'BBC' END AS destination,
+         1 + l_orderkey % 4 AS adults,
          1 + l_orderkey % 9 AS seats,
          1 + l_orderkey % 3 AS n_travelers,
          CASE WHEN l_tax > 0 THEN 'CABIN-' || CAST((l_linenumber + 1) % 3 AS varchar) END
            AS "Cabin"
   FROM lineitem
 ),
-bookable AS (SELECT * FROM docs WHERE seats >= 2)"""
+bookable AS (SELECT * FROM docs WHERE seats >= adults)"""
 
 _ITINERARIES = f"""{_DOCS},
 its AS (
@@ -41,7 +44,8 @@ its AS (
 
 _DIRECT = f"""{_ITINERARIES},
 legs AS (
-  SELECT id, request_date, "lastTicketingDate", itinerary_pos, n_segments,
+  SELECT id, origin, destination, request_date, adults, "lastTicketingDate",
+         itinerary_pos, n_segments,
          'false' AS escale,
          CASE itinerary_pos WHEN 0 THEN {_stop(0)} ELSE {_stop(1)} END AS departure_airport,
          CASE itinerary_pos WHEN 0 THEN {_time(0)} ELSE {_time(12)} END AS departure_time,
@@ -55,7 +59,8 @@ legs AS (
 
 _CONNECTING = f"""{_ITINERARIES},
 legs AS (
-  SELECT id, request_date, "lastTicketingDate", itinerary_pos, n_segments,
+  SELECT id, origin, destination, request_date, adults, "lastTicketingDate",
+         itinerary_pos, n_segments,
          'true' AS escale,
          {_stop(0)} AS departure_airport,
          {_time(0)} AS departure_time,
@@ -83,7 +88,7 @@ def _fares(stops: str) -> str:
 fares AS (
   SELECT * FROM legs
   QUALIFY row_number() OVER (
-    PARTITION BY id, request_date
+    PARTITION BY id, origin, destination, request_date, adults
     ORDER BY itinerary_pos, "lastTicketingDate" NULLS FIRST, n_segments, escale,
       departure_airport NULLS FIRST, departure_time NULLS FIRST,
       {layover}
@@ -93,7 +98,7 @@ fares AS (
 ),
 airport AS (
   SELECT n_name AS city, lpad(CAST(n_nationkey AS varchar), 3, '0') AS iata
-  FROM nation WHERE n_regionkey <> 4
+  FROM nation
 ),
 airline AS (
   SELECT s_name AS name, CAST(s_suppkey AS varchar) AS iata
@@ -103,7 +108,7 @@ airline AS (
 
 _DIRECT_TICKETS = f"""{_fares("direct")},
 tickets AS (
-  SELECT f.request_date, f.id,
+  SELECT f.request_date, f.adults, f.id,
          f.departure_airport AS "Aeroport_de_depart",
          d.city AS ville_de_depart,
          f.departure_time AS date_de_depart,
@@ -121,7 +126,7 @@ tickets AS (
 
 _CONNECTING_TICKETS = f"""{_fares("connecting")},
 tickets AS (
-  SELECT f.request_date, f.id,
+  SELECT f.request_date, f.adults, f.id,
          f.departure_airport AS "Aeroport_de_depart",
          d.city AS ville_de_depart,
          f.departure_time AS date_de_depart,
@@ -158,7 +163,7 @@ _WEEKDAY = "CAST(dayofweek(CAST(date_de_depart AS timestamp)) + 1 AS bigint)"
 
 _OFFER_FACTS = f"""
 WITH {_DOCS}
-SELECT 'AAA' AS origin, 'BBB' AS destination, request_date, id, "lastTicketingDate",
+SELECT origin, destination, request_date, CAST(adults AS bigint) AS adults, id, "lastTicketingDate",
        CAST(seats AS bigint) AS "numberOfBookableSeats",
        CAST(CASE WHEN has_return THEN 2 WHEN n_main > 0 THEN 1 ELSE 0 END AS bigint)
          AS n_itineraries,
@@ -173,13 +178,14 @@ SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS window_start,
        avg_price
 FROM (
   SELECT time_bucket(INTERVAL 30 DAY, o_orderdate, TIMESTAMP '1970-01-01') AS b,
-         round(avg(o_totalprice) + 0.0000123, 4) AS avg_price
+         CAST(sum(CAST(o_totalprice AS decimal(18,2))) AS double) / count(o_totalprice) AS avg_price
   FROM orders GROUP BY b
 )
 ORDER BY window_start"""
 
 _AVG_BY_COMPANY = """
-SELECT CAST(l_suppkey AS varchar) AS "Company", round(avg(l_extendedprice) + 0.0000123, 4) AS avg_price
+SELECT CAST(l_suppkey AS varchar) AS "Company", 
+       CAST(sum(CAST(l_extendedprice AS decimal(18,2))) AS double) / count(l_extendedprice) AS avg_price
 FROM lineitem GROUP BY l_suppkey ORDER BY "Company" """
 
 _TICKETS_BY_COMPANY = """
@@ -189,7 +195,7 @@ FROM lineitem GROUP BY l_suppkey ORDER BY n_tickets DESC, "Company" """
 
 _AVG_BY_WEEKDAY = """
 SELECT CAST(dayofweek(o_orderdate) + 1 AS bigint) AS weekday,
-       round(avg(o_totalprice) + 0.0000123, 4) AS avg_price
+       CAST(sum(CAST(o_totalprice AS decimal(18,2))) AS double) / count(o_totalprice) AS avg_price
 FROM (SELECT DISTINCT o_orderdate, o_totalprice, o_orderkey FROM orders)
 GROUP BY weekday ORDER BY weekday"""
 
@@ -198,7 +204,7 @@ ORACLES = {
         SELECT n_name AS "City", lpad(CAST(n_nationkey AS varchar), 3, '0') AS "IATA",
                CAST(count(*) AS bigint) AS n_customers
         FROM nation JOIN customer ON c_nationkey = n_nationkey
-        WHERE n_regionkey <> 4 GROUP BY n_name, n_nationkey""",
+        GROUP BY n_name, n_nationkey""",
     "csv_airline_dim_notnull": """
         SELECT s_name AS "Airline_name", CAST(s_suppkey AS varchar) AS "IATA"
         FROM supplier WHERE s_acctbal >= 0 AND s_name IS NOT NULL""",
@@ -213,15 +219,22 @@ ORACLES = {
         WITH {_DOCS},
         days AS (
           SELECT strftime(d, '%Y-%m-%d') AS request_date
-          FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY) t(d)
+          FROM (SELECT min(date_trunc('week', l_shipdate)) AS first,
+                       max(date_trunc('week', l_shipdate)) AS last FROM lineitem),
+               unnest(range(first::timestamp, last::timestamp + INTERVAL 1 DAY, INTERVAL 1 DAY)) t(d)
           WHERE day(d) <= 27
+        ),
+        requests AS (
+          SELECT * FROM (SELECT DISTINCT origin, destination, adults FROM docs), days
         )
-        SELECT 'AAA' AS origin, 'BBB' AS destination, request_date,
-               CAST(2 AS bigint) AS adults, count(docs.id) AS n_offers
-        FROM days LEFT JOIN docs USING (request_date) GROUP BY request_date""",
+        SELECT origin, destination, request_date, CAST(adults AS bigint) AS adults,
+               count(docs.id) AS n_offers
+        FROM requests LEFT JOIN docs USING (origin, destination, request_date, adults)
+        GROUP BY origin, destination, request_date, adults""",
     "bookable_offers": f"""
         WITH {_DOCS}
-        SELECT id, request_date, "lastTicketingDate",
+        SELECT id, origin, destination, request_date, CAST(adults AS bigint) AS adults,
+               "lastTicketingDate",
                CAST(CASE WHEN has_return THEN 2 WHEN n_main > 0 THEN 1 ELSE 0 END AS bigint)
                  AS n_itineraries,
                CAST(n_travelers AS bigint) AS n_travelers, prices
@@ -235,7 +248,7 @@ ORACLES = {
                     WHEN n_segments > 0 THEN {_time(0)} END AS first_departure,
                CASE WHEN itinerary_pos = 1 THEN {_stop(0)}
                     WHEN n_segments > 0
-                    THEN lpad(CAST((l_suppkey + n_segments * l_partkey) % 25 AS varchar), 3, '0')
+                    THEN lpad(CAST((l_suppkey + n_segments * l_partkey) % 30 AS varchar), 3, '0')
                END AS last_arrival
         FROM its""",
     "explode_travelers": f"""
@@ -246,15 +259,15 @@ ORACLES = {
         FROM bookable, unnest(range(1, n_travelers + 1)) t(number)""",
     "direct_legs": f"""
         WITH {_DIRECT}
-        SELECT id, request_date, "lastTicketingDate",
-               CAST(itinerary_pos AS bigint) AS itinerary_pos,
+        SELECT id, origin, destination, request_date, CAST(adults AS bigint) AS adults,
+               "lastTicketingDate", CAST(itinerary_pos AS bigint) AS itinerary_pos,
                CAST(n_segments AS bigint) AS n_segments, escale, departure_airport,
                departure_time, arrival_airport, arrival_time, carrier
         FROM legs""",
     "connecting_legs": f"""
         WITH {_CONNECTING}
-        SELECT id, request_date, "lastTicketingDate",
-               CAST(itinerary_pos AS bigint) AS itinerary_pos,
+        SELECT id, origin, destination, request_date, CAST(adults AS bigint) AS adults,
+               "lastTicketingDate", CAST(itinerary_pos AS bigint) AS itinerary_pos,
                CAST(n_segments AS bigint) AS n_segments, escale, departure_airport,
                departure_time, layover_airport, layover_arrival_time, layover_departure_time,
                arrival_airport, arrival_time, carrier
@@ -262,11 +275,13 @@ ORACLES = {
     "dedup_by_id_direct": f"""
         WITH {_fares("direct")}
         SELECT * REPLACE (CAST(itinerary_pos AS bigint) AS itinerary_pos,
+                          CAST(adults AS bigint) AS adults,
                           CAST(n_segments AS bigint) AS n_segments)
         FROM fares""",
     "dedup_by_id_connecting": f"""
         WITH {_fares("connecting")}
         SELECT * REPLACE (CAST(itinerary_pos AS bigint) AS itinerary_pos,
+                          CAST(adults AS bigint) AS adults,
                           CAST(n_segments AS bigint) AS n_segments)
         FROM fares""",
     "join_airline": f"""
@@ -279,7 +294,7 @@ ORACLES = {
         WITH {_CONNECTING},
         airport AS (
           SELECT n_name AS city, lpad(CAST(n_nationkey AS varchar), 3, '0') AS iata
-          FROM nation WHERE n_regionkey <> 4
+          FROM nation
         )
         SELECT id, departure_time, d.city AS ville_de_depart, s.city AS ville_descale,
                a.city AS ville_darrivee
@@ -287,9 +302,9 @@ ORACLES = {
         JOIN airport d ON departure_airport = d.iata
         JOIN airport s ON layover_airport = s.iata
         JOIN airport a ON arrival_airport = a.iata""",
-    "direct_tickets": f"WITH {_DIRECT_TICKETS} SELECT * EXCLUDE (request_date) FROM tickets",
+    "direct_tickets": f"WITH {_DIRECT_TICKETS} SELECT * EXCLUDE (request_date, adults) FROM tickets",
     "connecting_tickets": (
-        f"WITH {_CONNECTING_TICKETS} SELECT * EXCLUDE (request_date) FROM tickets"
+        f"WITH {_CONNECTING_TICKETS} SELECT * EXCLUDE (request_date, adults) FROM tickets"
     ),
     "ticket_table_direct": f"""
         WITH {_DIRECT_TICKETS}
@@ -311,18 +326,18 @@ ORACLES = {
                ville_darrivee, date_darrivee, "Company", CAST(prices AS double) AS price,
                currency, escale, ville_descale, aeroport_descale, date_darrivee_escale,
                date_depart_escale, "lastTicketingDate"
-        FROM tickets WHERE day(CAST(request_date AS date)) <= 27""",
+        FROM tickets WHERE day(CAST(request_date AS date)) <= 27 AND adults < 4""",
     "connecting_price_by_weekday": f"""
         WITH {_CONNECTING_TICKETS}
-        SELECT {_WEEKDAY} AS weekday, round(avg(CAST(prices AS double)) + 0.0000123, 4) AS avg_price
+        SELECT {_WEEKDAY} AS weekday, CAST(sum(CAST(prices AS decimal(18,2))) AS double) / count(prices) AS avg_price
         FROM (SELECT DISTINCT date_de_depart, prices, id FROM tickets)
         GROUP BY weekday ORDER BY weekday""",
     "export_to_stream": f"""
         WITH {_CONNECTING_TICKETS}
-        SELECT {_WEEKDAY} AS weekday, round(avg(CAST(prices AS double)) + 0.0000123, 4) AS avg_price
+        SELECT {_WEEKDAY} AS weekday, CAST(sum(CAST(prices AS decimal(18,2))) AS double) / count(prices) AS avg_price
         FROM (
           SELECT DISTINCT date_de_depart, prices, id
-          FROM tickets WHERE day(CAST(request_date AS date)) <= 27
+          FROM tickets WHERE day(CAST(request_date AS date)) <= 27 AND adults < 4
         )
         GROUP BY weekday ORDER BY weekday""",
     "avg_price_30d": _AVG_30D,
@@ -343,7 +358,7 @@ ORACLES = {
     "avg_price_by_weekday": _AVG_BY_WEEKDAY,
     "avg_price_by_weekday_stream": _AVG_BY_WEEKDAY,
     "stream_events_by_type": """
-        SELECT event_type, count(*) AS n_events, round(avg(value) + 0.0000123, 4) AS avg_value
+        SELECT event_type, count(*) AS n_events, CAST(sum(CAST(value AS decimal(18,6))) AS double) / count(value) AS avg_value
         FROM events GROUP BY event_type""",
     "map_filter_price": f"""
         WITH {_DOCS}

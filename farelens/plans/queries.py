@@ -1,6 +1,6 @@
 """The registered queries. Each takes (spark, sf_dir) and reads its tables whole."""
 
-from datetime import date
+import uuid
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,22 +12,19 @@ from farelens.operators import offers as ops
 from farelens.operators import tickets as tix
 from farelens.plans import tables
 from farelens.plans.export import ticket_export
-from farelens.schemas import OFFER, REQUEST_KEY
+from farelens.schemas import OFFER, REQUEST_KEY, TICKET
 from farelens.sources import dimensions, tickets as files
 from farelens.sources import offers as landing
 from farelens.streaming import metrics as streams
-from farelens.streaming.runner import run_to_table
+from farelens.streaming.runner import run_to_memory
 from farelens.workspace import scratch_dir, stored
 
-#: The sweep covers every year the tables hold.
-SWEEP = (date(1995, 1, 1), date(2001, 12, 31))
+#: Decimals of prices and of event values, for averages that are exact.
+CENTS, MICROS = 2, 6
 
-#: Averages are compared to four decimals. An average of cents over, say, 200 rows can lie
-#: exactly half-way, where the last bit of a sum decides; this shift moves it off the half.
-HALF_SHIFT = 0.0000123
-
-#: Input a stream takes per micro-batch: enough for the cluster, small enough to retry.
-BATCH_BYTES = 256 << 30
+#: Files a stream takes per micro-batch. The staged files are one or more per line number, year
+#: or day, so every stream takes several batches and keys come again in later ones.
+FILES_PER_BATCH = 4
 
 
 # --- sources -------------------------------------------------------------------------
@@ -54,8 +51,8 @@ def csv_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticket files read by a glob, named, and summed up in SQL."""
     path = scratch_dir(spark, "ticket-files")
     orders = tables.table(spark, sf_dir, "orders")
-    files.write_ticket_files(tables.order_tickets(orders), path)
-    files.ticket_view(spark, f"{path}/*.csv", "ticket_files")
+    files.write_ticket_files(_by_year(orders), path, by="year")
+    files.ticket_view(spark, f"{path}/*/*.csv", "ticket_files")
     return spark.sql(
         """
         SELECT Company,
@@ -86,7 +83,7 @@ def date_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers = tables.offers(spark, sf_dir)
     routes = offers.select("origin", "destination", "adults").distinct()
     answers = offers.groupBy(*REQUEST_KEY).agg(F.count(F.lit(1)).alias("n"))
-    requests = landing.request_sweep(routes, *SWEEP)
+    requests = landing.request_sweep(routes, *_sweep_ends(offers))
     return requests.join(answers, list(REQUEST_KEY), "left").select(
         "origin",
         "destination",
@@ -103,7 +100,10 @@ def bookable_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers = ops.bookable_offers(tables.offers(spark, sf_dir))
     return offers.select(
         "id",
+        "origin",
+        "destination",
         F.col("request_date").cast("string").alias("request_date"),
+        F.col("adults").cast("long").alias("adults"),
         "lastTicketingDate",
         F.coalesce(F.size("itineraries"), F.lit(0)).cast("long").alias("n_itineraries"),
         F.size("travelerPricings").cast("long").alias("n_travelers"),
@@ -132,18 +132,18 @@ def explode_travelers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def direct_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     its = ops.itineraries(ops.bookable_offers(tables.offers(spark, sf_dir)))
-    return _plain(ops.direct_legs(its).drop("price", "travelerPricings", *REQUEST_KEY[:2]))
+    return _plain(ops.direct_legs(its).drop("price", "travelerPricings"))
 
 
 def connecting_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     its = ops.itineraries(ops.bookable_offers(tables.offers(spark, sf_dir)))
-    return _plain(ops.connecting_legs(its).drop("price", "travelerPricings", *REQUEST_KEY[:2]))
+    return _plain(ops.connecting_legs(its).drop("price", "travelerPricings"))
 
 
 def offer_fares(spark: SparkSession, sf_dir: str, stops: str) -> DataFrame:
     """One flat fare per offer."""
     fares = ops.offer_fares(tables.offers(spark, sf_dir), stops)
-    return _plain(fares.drop(*REQUEST_KEY[:2]))
+    return _plain(fares)
 
 
 # --- tickets -------------------------------------------------------------------------
@@ -193,13 +193,15 @@ def ticket_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def connecting_price_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offer documents to weekday averages in one plan."""
     tickets = _ticket_table(spark, sf_dir, "connecting")
-    return _weekday(metrics.avg_price_by_weekday(tickets))
+    return _plain(metrics.avg_price_by_weekday(tickets, exact=CENTS))
 
 
-def export_to_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hand-off: exported ticket files taken up by the weekday stream."""
-    stream = files.stream_tickets(spark, _export(spark, sf_dir), max_bytes=BATCH_BYTES)
-    return _weekday(streams.stream_avg_price_by_weekday(stream))
+def export_to_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = 32 * FILES_PER_BATCH
+) -> DataFrame:
+    """The hand-off: exported ticket files, one or more per date, taken up by the weekday stream."""
+    stream = files.stream_tickets(spark, _export(spark, sf_dir), max_files=max_files)
+    return _plain(streams.stream_avg_price_by_weekday(stream, exact=CENTS))
 
 
 # --- metrics -------------------------------------------------------------------------
@@ -207,28 +209,35 @@ def export_to_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def avg_price_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.table(spark, sf_dir, "orders")
-    return _windows(metrics.avg_price_by_window(tables.order_tickets(orders)))
+    return _plain(metrics.avg_price_by_window(tables.order_tickets(orders), exact=CENTS))
 
 
-def avg_price_30d_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = tables.order_tickets(_stream(spark, sf_dir, "orders"))
-    return _windows(streams.stream_avg_price_by_window(tickets, "avg_price_30d_result"))
+def avg_price_30d_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    tickets = _ticket_stream(_by_year(tables.table(spark, sf_dir, "orders")), "year", max_files)
+    return _plain(streams.stream_avg_price_by_window(tickets, exact=CENTS))
 
 
 def avg_price_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.table(spark, sf_dir, "lineitem")
-    return _rounded(metrics.avg_price_by_company(tables.line_tickets(lines)))
+    return metrics.avg_price_by_company(tables.line_tickets(lines), exact=CENTS)
 
 
-def avg_price_by_company_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = tables.line_tickets(_stream(spark, sf_dir, "lineitem"))
-    return _rounded(streams.stream_avg_price_by_company(tickets))
+def avg_price_by_company_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    lines = _by_line(tables.table(spark, sf_dir, "lineitem"))
+    tickets = _ticket_stream(lines, "line", max_files)
+    return streams.stream_avg_price_by_company(tickets, exact=CENTS)
 
 
 def company_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the console shows of the company averages: the first 20 rows in order."""
     lines = tables.table(spark, sf_dir, "lineitem")
-    return _rounded(files.preview(metrics.avg_price_by_company(tables.line_tickets(lines))))
+    return files.preview(
+        metrics.avg_price_by_company(tables.line_tickets(lines), exact=CENTS)
+    )
 
 
 def ticket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,34 +256,40 @@ def tickets_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.tickets_by_company(tables.line_tickets(lines))
 
 
-def tickets_by_company_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = tables.line_tickets(_stream(spark, sf_dir, "lineitem"))
-    return streams.stream_tickets_by_company(tickets)
+def tickets_by_company_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    lines = _by_line(tables.table(spark, sf_dir, "lineitem"))
+    return streams.stream_tickets_by_company(_ticket_stream(lines, "line", max_files))
 
 
 def avg_price_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.table(spark, sf_dir, "orders")
-    return _weekday(metrics.avg_price_by_weekday(tables.order_tickets(orders)))
+    return _plain(metrics.avg_price_by_weekday(tables.order_tickets(orders), exact=CENTS))
 
 
-def avg_price_by_weekday_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def avg_price_by_weekday_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
     """Orders as ticket files, streamed from there."""
     path = scratch_dir(spark, "ticket-files")
     orders = tables.table(spark, sf_dir, "orders")
-    files.write_ticket_files(tables.order_tickets(orders), path)
-    stream = files.stream_tickets(spark, path, max_bytes=BATCH_BYTES)
-    return _weekday(streams.stream_avg_price_by_weekday(stream))
-
-
-def stream_events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _stream(spark, sf_dir, "events")
-    stats = events.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("avg_value")
-    )
-    table = run_to_table(
-        stats, scratch_dir(spark, "table"), scratch_dir(spark, "checkpoint"), ["event_type"]
+    files.write_ticket_files(_by_year(orders), path, by="year")
+    stream = files.stream_tickets(spark, path, max_files=max_files)
+    return _plain(streams.stream_avg_price_by_weekday(stream, exact=CENTS))
+
+
+def stream_events_by_type(
+    spark: SparkSession, sf_dir: str, max_files: int = 2 * FILES_PER_BATCH
+) -> DataFrame:
+    """Complete mode into a memory table: its rows are the few types of events."""
+    events = tables.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    stats = _staged_stream(events, "day", max_files).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), metrics.mean("value", MICROS).alias("avg_value")
     )
-    return table.withColumn("avg_value", _shown("avg_value"))
+    name = f"events_by_type_{uuid.uuid4().hex}"
+    run_to_memory(stats, name, scratch_dir(spark, "checkpoint"))
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 # --- functions -----------------------------------------------------------------------
@@ -354,10 +369,31 @@ def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- shared --------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = tables.table(spark, sf_dir, name).schema
-    path = tables.stream_path(sf_dir, name)
-    return files.stream_files(spark, path, schema, "parquet", max_bytes=BATCH_BYTES)
+def _by_year(orders: DataFrame) -> DataFrame:
+    """Orders as tickets, with the year they are staged by."""
+    return tables.order_tickets(orders, year=F.year("o_orderdate"))
+
+
+def _by_line(lines: DataFrame) -> DataFrame:
+    """Line items as tickets, with the line number they are staged by."""
+    return tables.line_tickets(lines, line=F.col("l_linenumber"))
+
+
+def _staged_stream(df: DataFrame, by: str, max_files: int) -> DataFrame:
+    """A table landed as one folder per value of a column, large ones in several files, and
+    streamed from there."""
+    path = scratch_dir(df.sparkSession, "staged")
+    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return files.stream_files(df.sparkSession, path, df.schema, "parquet", max_files=max_files)
+
+
+def _ticket_stream(tickets: DataFrame, by: str, max_files: int) -> DataFrame:
+    return _staged_stream(tickets, by, max_files).select(*TICKET.names)
+
+
+def _sweep_ends(offers: DataFrame) -> tuple:
+    """First and last request date on offer; reads the one column they come from."""
+    return tuple(offers.agg(F.min("request_date"), F.max("request_date")).first())
 
 
 def _ticket_table(spark: SparkSession, sf_dir: str, stops: str) -> DataFrame:
@@ -375,8 +411,9 @@ def _export(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "tickets")
     offers = tables.offers(spark, sf_dir)
     routes = offers.select("origin", "destination", "adults").distinct()
+    asked = routes.filter(F.col("adults") < tables.MAX_ADULTS)  # full parties are not asked for
     ticket_export(
-        stored(landing.request_sweep(routes, *SWEEP)),
+        stored(landing.request_sweep(asked, *_sweep_ends(offers))),
         offers,
         tables.airports(spark, sf_dir),
         tables.airlines(spark, sf_dir),
@@ -391,6 +428,7 @@ def _offer_facts(offers: DataFrame) -> DataFrame:
         "origin",
         "destination",
         "request_date",
+        "adults",
         "id",
         "lastTicketingDate",
         "numberOfBookableSeats",
@@ -417,22 +455,6 @@ def _plain(df: DataFrame, *columns: str | Column) -> DataFrame:
     return picked.select(*shown)
 
 
-def _rounded(averages: DataFrame) -> DataFrame:
-    return averages.withColumn("avg_price", _shown("avg_price"))
-
-
-def _shown(average: str) -> Column:
-    return F.round(F.col(average) + HALF_SHIFT, 4)
-
-
-def _windows(averages: DataFrame) -> DataFrame:
-    return _plain(_rounded(averages))
-
-
-def _weekday(averages: DataFrame) -> DataFrame:
-    return _plain(_rounded(averages))
-
-
 QUERIES = {
     "csv_airport_dim": csv_airport_dim,
     "csv_airline_dim_notnull": csv_airline_dim_notnull,

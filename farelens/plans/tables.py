@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from farelens.schemas import AIRLINE, AIRPORT, OFFER, TICKET
 
-ORIGIN, DESTINATION, ADULTS = "AAA", "BBB", 2
+ORIGINS, DESTINATIONS, MAX_ADULTS = ["AAA", "AAB"], ["BBA", "BBB", "BBC"], 4
 
+#: Stops are numbered below 30, airports below 25: the rest are codes that nothing names.
+STOPS = 30
 
 MAX_SEGMENTS, MAX_TRAVELERS = 6, 3
 
@@ -19,26 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_path(sf_dir: str, name: str) -> str:
-    """A pattern that matches just this table: a stream source takes no plain file path."""
-    return f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an input with fewer splits than cores.
-
-    A small file with one row group would otherwise be one task. A large table has more
-    splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One offer document per line item.
 
-    The request date is the Monday of the shipping week and the id is the order key, so
-    lines of one order shipped in one week are copies of one offer. The first itinerary has
+    Origins follow the supplier, destinations and passenger counts the order. The request
+    date is the Monday of the shipping week and the id is the order key, so lines of one order
+    shipped in one week from one origin are copies of one offer. The first itinerary has
     ``l_linenumber - 1`` segments (modulo 7), hopping from airport to airport by a step of
     ``l_partkey``. For an even quantity a direct second itinerary follows; for an odd one and
     no segments the itineraries are null. Up to three travellers are listed, last one first.
@@ -57,16 +45,16 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").cast("string").alias("day"),
     )
     n_segments = (F.col("l_linenumber") - 1) % (MAX_SEGMENTS + 1)
-    main = F.struct(F.transform(_numbers(n_segments), _segment).alias("segments"))
+    main = F.struct(_first(map(_segment, range(1, MAX_SEGMENTS + 1)), n_segments).alias("segments"))
     back = F.struct(F.array(_return_segment()).alias("segments"))
     even = F.col("l_quantity").cast("long") % 2 == 0
 
     n_travelers = (1 + F.col("l_orderkey") % MAX_TRAVELERS).cast("int")
     columns = {
-        "origin": F.lit(ORIGIN),
-        "destination": F.lit(DESTINATION),
+        "origin": _pick(ORIGINS, F.col("l_suppkey") % len(ORIGINS)),
+        "destination": _pick(DESTINATIONS, F.col("l_orderkey") % len(DESTINATIONS)),
         "request_date": F.trunc("ship_date", "week"),
-        "adults": F.lit(ADULTS),
+        "adults": (1 + F.col("l_orderkey") % MAX_ADULTS).cast("int"),
         "id": F.col("l_orderkey").cast("string"),
         "lastTicketingDate": F.date_sub("ship_date", 7).cast("string"),
         "numberOfBookableSeats": (1 + F.col("l_orderkey") % 9).cast("int"),
@@ -75,29 +63,35 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("EUR").alias("currency"),
             F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("grandTotal"),
         ),
-        "travelerPricings": F.transform(F.sequence(n_travelers, F.lit(1)), _traveler),
+        "travelerPricings": _last(
+            map(_traveler, range(MAX_TRAVELERS, 0, -1)), n_travelers
+        ),
     }
-    return spread(lines).select(*[columns[name].alias(name) for name in OFFER.names])
+    return lines.select(*[columns[name].alias(name) for name in OFFER.names])
+
 
+def _first(items, n: Column) -> Column:
+    """The first ``n``. Items at literal places stay in generated code, a transform does not."""
+    return F.slice(F.array(*items), F.lit(1), n.cast("int"))
 
-def _numbers(n: Column) -> Column:
-    """1 to ``n``; a plain ``sequence(1, 0)`` would count down."""
-    return F.slice(F.sequence(F.lit(0), n), F.lit(2), n)
 
+def _last(items, n: Column) -> Column:
+    items = list(items)
+    return F.slice(F.array(*items), len(items) + 1 - n, n)
 
-def _segment(i: Column) -> Column:
+
+def _segment(i: int) -> Column:
     """Segment ``i`` from 1: the airport moves on, the carrier key is the supplier's over i.
 
     Line items with flag N name no operating carrier on segment 1, those with A and F on none.
     """
-    carrier = F.call_function("div", F.col("l_suppkey"), i.cast("long")).cast("string")
-    silent = ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")) | (
-        (F.col("l_returnflag") == "N") & (i == 1)
-    )
-    departs = _pick([f"T{3 * n:02d}:00:00" for n in range(MAX_SEGMENTS)], i - 1)
-    arrives = _pick([f"T{3 * n + 2:02d}:00:00" for n in range(MAX_SEGMENTS)], i - 1)
+    carrier = F.expr(f"l_suppkey div {i}").cast("string")
+    silent = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
+    if i == 1:
+        silent = silent | (F.col("l_returnflag") == "N")
+    departs, arrives = (F.lit(f"T{3 * (i - 1) + n:02d}:00:00") for n in (0, 2))
     return F.struct(
-        i.cast("string").alias("id"),
+        F.lit(str(i)).alias("id"),
         _leg_end(_stop(i - 1), departs).alias("departure"),
         _leg_end(_stop(i), arrives).alias("arrival"),
         carrier.alias("carrierCode"),
@@ -108,8 +102,8 @@ def _segment(i: Column) -> Column:
 def _return_segment() -> Column:
     return F.struct(
         F.lit("1").alias("id"),
-        _leg_end(_stop(F.lit(1)), F.lit("T12:00:00")).alias("departure"),
-        _leg_end(_stop(F.lit(0)), F.lit("T14:00:00")).alias("arrival"),
+        _leg_end(_stop(1), F.lit("T12:00:00")).alias("departure"),
+        _leg_end(_stop(0), F.lit("T14:00:00")).alias("arrival"),
         F.expr("l_suppkey div 2").cast("string").alias("carrierCode"),
         F.lit(None).cast("struct<carrierCode:string>").alias("operating"),
     )
@@ -119,17 +113,17 @@ def _leg_end(code: Column, time: Column) -> Column:
     return F.struct(code.alias("iataCode"), F.concat("day", time).alias("at"))
 
 
-def _stop(i: Column) -> Column:
-    number = (F.col("l_suppkey") + i * F.col("l_partkey")) % 25
-    return _pick([f"{n:03d}" for n in range(25)], number.cast("int"))
+def _stop(i: int) -> Column:
+    number = (F.col("l_suppkey") + i * F.col("l_partkey")) % STOPS
+    return _pick([f"{n:03d}" for n in range(STOPS)], number.cast("int"))
 
 
-def _traveler(number: Column) -> Column:
+def _traveler(number: int) -> Column:
     """Traveller ``number``; untaxed lines list no fare, so their cabin is unknown."""
     cabin = _pick(["CABIN-0", "CABIN-1", "CABIN-2"], (F.col("l_linenumber") + number) % 3)
     fare = F.struct(F.lit("1").alias("segmentId"), cabin.alias("cabin"))
     return F.struct(
-        number.cast("string").alias("travelerId"),
+        F.lit(str(number)).alias("travelerId"),
         F.when(F.col("l_tax") > 0, F.array(fare)).alias("fareDetailsBySegment"),
     )
 
@@ -144,8 +138,8 @@ def code(number: Column) -> Column:
 
 
 def airport_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations in the layout of the airports file, without the last region."""
-    nations = table(spark, sf_dir, "nation").filter("n_regionkey <> 4")
+    """Nations in the layout of the airports file."""
+    nations = table(spark, sf_dir, "nation")
     known = {
         "ID": F.col("n_nationkey").cast("string"),
         "City": F.col("n_name"),
@@ -172,8 +166,8 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airline_file_rows(spark, sf_dir).select("Airline_name", "IATA").na.drop("any")
 
 
-def order_tickets(orders: DataFrame) -> DataFrame:
-    """Orders, batch or stream, as tickets: who, when, how much."""
+def order_tickets(orders: DataFrame, **extra: Column) -> DataFrame:
+    """Orders as tickets: who, when, how much. ``extra`` columns follow those of the layout."""
     at = F.col("o_orderdate")
     known = {
         "id": F.col("o_orderkey").cast("string"),
@@ -187,11 +181,11 @@ def order_tickets(orders: DataFrame) -> DataFrame:
         "escale": F.lit("false"),
         "lastTicketingDate": at.cast("date").cast("string"),
     }
-    return _in_layout(orders, TICKET, known, typed=False)
+    return _in_layout(orders, TICKET, known, typed=False, **extra)
 
 
-def line_tickets(lines: DataFrame) -> DataFrame:
-    """Line items, batch or stream, as tickets of the company that is their supplier."""
+def line_tickets(lines: DataFrame, **extra: Column) -> DataFrame:
+    """Line items as tickets of the company that is their supplier."""
     known = {
         "id": F.col("l_orderkey").cast("string"),
         "date_de_depart": F.col("l_shipdate"),
@@ -199,10 +193,12 @@ def line_tickets(lines: DataFrame) -> DataFrame:
         "price": F.col("l_extendedprice"),
         "currency": F.lit("EUR"),
     }
-    return _in_layout(lines, TICKET, known, typed=False)
+    return _in_layout(lines, TICKET, known, typed=False, **extra)
 
 
-def _in_layout(df: DataFrame, layout, known: dict[str, Column], typed: bool = True) -> DataFrame:
+def _in_layout(
+    df: DataFrame, layout, known: dict[str, Column], typed: bool = True, **extra: Column
+) -> DataFrame:
     """Project to the columns of ``layout``; those not in ``known`` are null."""
     columns = []
     for field in layout.fields:
@@ -210,4 +206,4 @@ def _in_layout(df: DataFrame, layout, known: dict[str, Column], typed: bool = Tr
         if typed:
             column = column.cast(field.dataType)
         columns.append(column.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *(column.alias(name) for name, column in extra.items()))

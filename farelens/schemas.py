@@ -68,8 +68,8 @@ OFFER = T.StructType(
 #: Columns that identify a request, and with the offer id an offer. Offer ids are only
 #: unique within one answer, so the request belongs to the key. The id leads it, as sorting
 #: by the key is fastest when its first column tells most rows apart.
-REQUEST_KEY = ("origin", "destination", "request_date")
-OFFER_KEY = ("id", "request_date", "origin", "destination")
+REQUEST_KEY = ("origin", "destination", "request_date", "adults")
+OFFER_KEY = ("id", *REQUEST_KEY)
 
 #: Airports file: comma separated, no header, bound by position.
 AIRPORT = T.StructType(

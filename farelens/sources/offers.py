@@ -5,16 +5,25 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelens.schemas import OFFER, REQUEST_KEY
 
 
-def read_offers(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def read_offers(
+    spark: SparkSession, path: str, fmt: str = "json", corrupt: str | None = None
+) -> DataFrame:
     """Landed offers. Folders named ``column=value`` fill that column and can be pruned.
 
-    A line that is not an offer gives an all-null row, which the seats filter drops.
+    A line that is not an offer gives an all-null row, which the seats filter drops. With
+    ``corrupt`` a JSON line that cannot be read is in the column of that name, so it can be
+    counted or set aside.
     """
-    return spark.read.schema(OFFER).format(fmt).load(path).select(*OFFER.names)
+    if corrupt is None:
+        return spark.read.schema(OFFER).format(fmt).load(path).select(*OFFER.names)
+    schema = T.StructType([*OFFER.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.schema(schema).format(fmt).option("columnNameOfCorruptRecord", corrupt)
+    return reader.load(path).select(*OFFER.names, corrupt)
 
 
 def write_offers(offers: DataFrame, path: str, fmt: str = "json") -> None:
@@ -41,14 +50,14 @@ def offers_from_text(df: DataFrame, text: str) -> DataFrame:
 
 
 def request_sweep(
-    routes: DataFrame, start: date, end: date, last_day_of_month: int = 27
+    routes: DataFrame, start: date | None, end: date | None, last_day_of_month: int = 27
 ) -> DataFrame:
-    """One request per route and day from ``start`` to ``end``.
+    """One request per route and day from ``start`` to ``end``; none without an end.
 
     Days of the month after ``last_day_of_month`` are not asked for. ``routes`` has
     origin, destination and adults.
     """
-    days = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
+    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
     return routes.select(
         "origin", "destination", F.explode(days).alias("request_date"), "adults"
     ).filter(F.dayofmonth("request_date") <= last_day_of_month)

@@ -26,11 +26,16 @@ def write_tickets(tickets: DataFrame, path: str, date_col: str = "dep_date") ->
     )
 
 
-def write_ticket_files(tickets: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """CSV with header in one folder, cut by row count."""
+def write_ticket_files(
+    tickets: DataFrame, path: str, by: str | None = None, rows_per_file: int = 1_000_000
+) -> None:
+    """CSV with header, cut by row count; with ``by`` in one folder per value of that column."""
+    if by:
+        writer = tickets.hint("rebalance", by).select(by, *TICKET.names).write.partitionBy(by)
+    else:
+        writer = tickets.select(*TICKET.names).write
     (
-        tickets.select(*TICKET.names)
-        .write.option("header", True)
+        writer.option("header", True)
         .option("timestampNTZFormat", _TIME)
         .option("timestampFormat", _TIME)
         .option("maxRecordsPerFile", rows_per_file)
@@ -39,12 +44,14 @@ def write_ticket_files(tickets: DataFrame, path: str, rows_per_file: int = 1_000
     )
 
 
-def read_tickets(spark: SparkSession, path: str) -> DataFrame:
+def read_tickets(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Ticket files under a folder or matching a glob, as one table.
 
-    Columns bind by position; header names are skipped, not compared.
+    Columns bind by position; header names are skipped, not compared. ``multi_line`` reads
+    quoted text with line breaks; such a file cannot be split over tasks.
     """
-    return spark.read.schema(TICKET).option("header", True).csv(path).select(*TICKET.names)
+    reader = spark.read.schema(TICKET).option("header", True).option("multiLine", multi_line)
+    return reader.option("escape", '"').csv(path).select(*TICKET.names)
 
 
 def ticket_view(spark: SparkSession, path: str, name: str) -> DataFrame:

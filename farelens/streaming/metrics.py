@@ -5,51 +5,85 @@ one query, so the stream maintains the first level as a table and the second is
 query over that table. The first level counts per key: unlike a streaming
 ``dropDuplicates``, that combines equal keys before the shuffle, so one ticket repeated very
 often does not overload the task that owns it.
+
+All take the same options: ``name`` of the query; ``state_partitions``; ``exact`` as in
+:func:`farelens.operators.metrics.mean`; ``path`` of the result table, to go on from an earlier
+run, by default a new one in the shared folder; and, where the metric has a departure time,
+``watermark``. With a watermark, state of departures that lie so far behind the latest one is
+forgotten, and rows that come even later are left out. The table keeps its rows.
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from farelens.functions import as_event_time
 from farelens.operators import metrics
-from farelens.streaming.runner import run_to_memory, run_to_table
+from farelens.streaming.runner import run_to_table
 from farelens.workspace import scratch_dir
 
 
-def stream_avg_price_by_window(tickets: DataFrame, name: str, width: str = "30 days") -> DataFrame:
-    """Complete mode into the memory table ``name``: the calendar bounds its row count."""
-    checkpoint = scratch_dir(tickets.sparkSession, "checkpoint")
-    table = run_to_memory(metrics.avg_price_by_window(tickets, width), name, checkpoint)
-    return table.orderBy("window_start")
+def stream_avg_price_by_window(
+    tickets: DataFrame,
+    width: str = "30 days",
+    time: str = "date_de_depart",
+    price: str = "price",
+    watermark: str | None = None,
+    exact: int | None = None,
+    **options,
+) -> DataFrame:
+    averages = metrics.avg_price_by_window(tickets, width, time, price, watermark, exact)
+    return _table(averages, ["window_start"], **options).orderBy("window_start")
 
 
-def stream_avg_price_by_company(tickets: DataFrame, company: str = "Company") -> DataFrame:
-    spark = tickets.sparkSession
-    table = run_to_table(
-        metrics.avg_price_by_company(tickets, company),
-        scratch_dir(spark, "table"),
-        scratch_dir(spark, "checkpoint"),
-        keys=[company],
-    )
-    return table.orderBy(company)
+def stream_avg_price_by_company(
+    tickets: DataFrame,
+    company: str = "Company",
+    price: str = "price",
+    exact: int | None = None,
+    **options,
+) -> DataFrame:
+    """One state per company, so there is nothing for a watermark to bound."""
+    averages = metrics.avg_price_by_company(tickets, company, price, exact)
+    return _table(averages, [company], **options).orderBy(company)
 
 
 def stream_tickets_by_company(
-    tickets: DataFrame, key_cols: tuple[str, ...] = ("id",), company: str = "Company"
+    tickets: DataFrame,
+    key_cols: tuple[str, ...] = ("id",),
+    company: str = "Company",
+    time: str = "date_de_depart",
+    watermark: str | None = None,
+    **options,
 ) -> DataFrame:
-    return metrics.company_totals(_distinct(tickets, (*key_cols, company)), company)
+    distinct = _distinct(tickets, (*key_cols, company), time, watermark, **options)
+    return metrics.company_totals(distinct, company)
 
 
 def stream_avg_price_by_weekday(
-    tickets: DataFrame, time: str = "date_de_depart", price: str = "price", id_col: str = "id"
+    tickets: DataFrame,
+    time: str = "date_de_depart",
+    price: str = "price",
+    id_col: str = "id",
+    watermark: str | None = None,
+    exact: int | None = None,
+    **options,
+) -> DataFrame:
+    distinct = _distinct(tickets, (time, price, id_col), time, watermark, **options)
+    return metrics.weekday_averages(distinct, time, price, exact)
+
+
+def _distinct(
+    tickets: DataFrame, keys: tuple[str, ...], time: str, watermark: str | None, **options
 ) -> DataFrame:
-    return metrics.weekday_averages(_distinct(tickets, (time, price, id_col)), time, price)
-
-
-def _distinct(tickets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    spark = tickets.sparkSession
-    counts = run_to_table(
-        metrics.ticket_counts(tickets, keys),
-        scratch_dir(spark, "table"),
-        scratch_dir(spark, "checkpoint"),
-        keys=keys,
-    )
-    return counts.select(*keys)
+    """Distinct keys; with a watermark they are counted per departure, which it can forget."""
+    if watermark is None:
+        return _table(metrics.ticket_counts(tickets, keys), keys, **options).select(*keys)
+    instant = as_event_time(tickets, time).cast("timestamp")
+    rows = tickets.select(*keys, instant.alias("event_time")).withWatermark("event_time", watermark)
+    keyed = ("event_time", *keys)
+    counts = rows.groupBy(*keyed).agg(F.count(F.lit(1)).alias("n"))
+    return _table(counts, keyed, **options).select(*keys).distinct()
+
+
+def _table(result: DataFrame, keys, path: str | None = None, **options) -> DataFrame:
+    return run_to_table(result, path or scratch_dir(result.sparkSession, "table"), keys, **options)

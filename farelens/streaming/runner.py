@@ -2,11 +2,16 @@
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from farelens.workspace import delete, folders
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_starting = Lock()
 
 
 @contextmanager
@@ -15,7 +20,8 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None):
 
     RocksDB keeps state on disk, so it may outgrow executor memory, and uploads only the
     changes of a batch to the checkpoint. The partition count is fixed by the first start
-    of a checkpoint.
+    of a checkpoint. Settings are the session's: one stream starts at a time, and a query that
+    another thread plans meanwhile sees them too.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
@@ -23,17 +29,18 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None):
     }
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    with _starting:
+        before = {key: spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def run_to_memory(
@@ -59,25 +66,41 @@ def run_to_memory(
 def run_to_table(
     result: DataFrame,
     path: str,
-    checkpoint: str,
     keys: Sequence[str],
     name: str | None = None,
     state_partitions: int | None = None,
+    compact_every: int = 10,
 ) -> DataFrame:
     """Changed rows of every micro-batch as Parquet, and the newest row of each key.
 
     Update mode writes what a batch changed, not the whole result again. A batch owns its
-    folder, so a batch repeated after a failure replaces its own rows. Run again with the
-    same ``path`` and ``checkpoint`` to take up new files.
+    folder, so a batch repeated after a failure replaces its own rows. Every ``compact_every``
+    batches the newest row of each key is written as a snapshot, and what it covers is deleted;
+    the snapshot counts from the moment that Spark has marked it as complete.
+
+    The checkpoint is part of the table: ``path`` holds both, so run again with the same path
+    to take up new files. A table that has lost its checkpoint is refused, as a stream that
+    starts anew would number its batches below those that are there.
     """
     spark = result.sparkSession
+    checkpoint = f"{path}/_checkpoint"
+    if _batches(spark, path) and not folders(spark, checkpoint):
+        raise ValueError(f"{path} holds batches of a stream whose checkpoint is gone")
+    schema = result.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    # A stream over an empty folder runs no batch; this keeps the table readable.
-    empty = spark.createDataFrame([], result.schema)
-    empty.write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+        done = _snapshot(spark, path)
+        if done is not None and batch_id <= done:
+            return  # repeated after its snapshot: the same rows are in there
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            newest = read_table(spark, path, schema, keys).hint("rebalance")
+            newest.write.mode("overwrite").parquet(f"{path}/snapshots/upto={batch_id}")
+            for n in _batches(spark, path):
+                if n <= batch_id:
+                    delete(spark, f"{path}/changes/batch_id={n}")
+            if done is not None:
+                delete(spark, f"{path}/snapshots/upto={done}")
 
     writer = result.writeStream.outputMode("update").foreachBatch(write)
     if name:
@@ -85,11 +108,45 @@ def run_to_table(
     with stream_settings(spark, state_partitions):
         query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return newest_rows(spark.read.schema(result.schema).parquet(path), keys)
+    return read_table(spark, path, schema, keys)
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+) -> DataFrame:
+    """What the table holds now: the snapshot and the batches after it."""
+    done = _snapshot(spark, path)
+    parts = [(n, f"{path}/changes/batch_id={n}") for n in _batches(spark, path)]
+    parts = [part for part in parts if done is None or part[0] > done]
+    if done is not None:
+        parts.append((done, f"{path}/snapshots/upto={done}"))
+    changes = spark.createDataFrame([], T.StructType([*schema.fields, _BATCH]))
+    if parts:
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch_id|upto)=(\d+)/", 1)
+        files = spark.read.schema(schema).parquet(*(p for _, p in parts))
+        changes = files.select("*", number.cast("long").alias("batch_id"))
+    return newest_rows(changes, keys)
+
+
+_BATCH = T.StructField("batch_id", T.LongType())
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    names = folders(spark, f"{path}/changes")
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
+
+
+def _snapshot(spark: SparkSession, path: str) -> int | None:
+    """The last complete snapshot."""
+    found = [n for n in folders(spark, f"{path}/snapshots") if n.startswith("upto=")]
+    whole = [n for n in found if "_SUCCESS" in folders(spark, f"{path}/snapshots/{n}")]
+    return max((int(n.partition("=")[2]) for n in whole), default=None)
 
 
 def newest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of the rows written for each key, the one of the last micro-batch."""
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
     newest = [F.max_by(c, "batch_id").alias(c) for c in values]
+    if not newest:
+        return changes.select(*keys).distinct()
     return changes.groupBy(*keys).agg(*newest)

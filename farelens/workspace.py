@@ -1,7 +1,9 @@
 """Where staged files, stream checkpoints and result tables go."""
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,15 +11,50 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the folder named by ``spark.checkpoint.dir``.
 
-    That folder is shared, so a stage can be recomputed on any executor. Only a local
-    session without the setting falls back to a temporary folder of this machine.
+    That folder is shared, so a stage can be recomputed on any executor. Only a session whose
+    one machine is this one (``local`` or ``local[n]``) falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="farelens-")
-    return f"{base.rstrip('/')}/farelens/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/farelens/{label}-{uuid.uuid4().hex}"
+    for paths in _open:
+        paths.append(path)
+    return path
+
+
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, at the end, the scratch directories made within: results that read them must
+    have been computed by then. One thread at a time."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    return [status.getPath().getName() for status in store.listStatus(target)]
 
 
 def stored(df: DataFrame) -> DataFrame:
