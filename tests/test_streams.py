@@ -1,13 +1,17 @@
 import os
 import random
+import time
 
 import pytest
+from pyspark.sql.streaming import StreamingQueryListener
 
 from farelens.operators import metrics
+from farelens.plans.queries import QUERIES
 from farelens.sources import tickets as files
 from farelens.streaming import metrics as streams
+from farelens.streaming import runner
 from farelens.streaming.runner import newest_rows, run_to_memory, run_to_table
-from farelens.workspace import scratch_dir
+from farelens.workspace import delete, folders, scratch_dir, scratch_scope, stored
 
 HEADER = ",".join(f"column{n}" for n in range(16))
 
@@ -65,17 +69,25 @@ def test_window_stream_equals_batch(spark, tmp_path, lines, n_files):
     path = write(tmp_path / "in", lines, n_files)
     expected = rows(metrics.avg_price_by_window(files.read_tickets(spark, path)))
     source = files.stream_tickets(spark, path, max_files=1)
+    assert rows(streams.stream_avg_price_by_window(source)) == expected
     name = f"windows_{n_files}"
-    assert rows(streams.stream_avg_price_by_window(source, name)) == expected
+    run_to_memory(metrics.avg_price_by_window(source), name)
     assert rows(spark.sql(f"SELECT * FROM {name} ORDER BY window_start")) == expected
     assert not spark.streams.active
 
 
+def test_narrow_windows_stay_off_the_driver(spark, tmp_path, lines):
+    path = write(tmp_path / "in", lines, 3)
+    expected = rows(metrics.avg_price_by_window(files.read_tickets(spark, path), "1 minute"))
+    source = files.stream_tickets(spark, path, max_files=1)
+    assert rows(streams.stream_avg_price_by_window(source, "1 minute", exact=2)) == expected
+
+
 def test_empty_folder_gives_no_rows(spark, tmp_path):
     (tmp_path / "in").mkdir()
     source = files.stream_tickets(spark, str(tmp_path / "in"))
     assert rows(streams.stream_avg_price_by_company(source)) == []
-    assert rows(streams.stream_avg_price_by_window(source, "empty_windows")) == []
+    assert rows(streams.stream_avg_price_by_window(source)) == []
 
 
 def test_single_query_distinct_stream(spark, tmp_path, lines):
@@ -89,12 +101,12 @@ def test_single_query_distinct_stream(spark, tmp_path, lines):
 
 def test_new_files_continue_from_the_checkpoint(spark, tmp_path, lines):
     path = write(tmp_path / "in", lines, 1)
-    out, checkpoint = scratch_dir(spark, "table"), scratch_dir(spark, "checkpoint")
+    out = scratch_dir(spark, "table")
 
     def run():
         source = files.stream_tickets(spark, path)
         counts = metrics.ticket_counts(source, ["id", "Company"])
-        return run_to_table(counts, out, checkpoint, ["id", "Company"], name="counts")
+        return run_to_table(counts, out, ["id", "Company"], name="counts")
 
     def batch():
         return metrics.ticket_counts(files.read_tickets(spark, path), ["id", "Company"])
@@ -112,9 +124,8 @@ def test_one_file_per_micro_batch(spark, tmp_path, lines):
     out = scratch_dir(spark, "table")
     source = files.stream_tickets(spark, path, max_files=1)
     counts = metrics.ticket_counts(source, ["Company"])
-    run_to_table(counts, out, scratch_dir(spark, "checkpoint"), ["Company"])
-    batches = spark.read.parquet(out).select("batch_id").distinct().collect()
-    assert {r.batch_id for r in batches} == {0, 1, 2}
+    run_to_table(counts, out, ["Company"])
+    assert sorted(folders(spark, f"{out}/changes")) == [f"batch_id={n}" for n in range(3)]
     with pytest.raises(ValueError):
         files.stream_tickets(spark, path, max_files=1, max_bytes=1)
 
@@ -128,12 +139,10 @@ def test_watermark_leaves_late_rows_out(spark, tmp_path):
         os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
     source = files.stream_tickets(spark, str(folder), max_files=1)
     late = metrics.avg_price_by_window(source, watermark="1 day")
-    table = run_to_table(
-        late, scratch_dir(spark, "table"), scratch_dir(spark, "checkpoint"), ["window_start"]
-    )
+    table = run_to_table(late, scratch_dir(spark, "table"), ["window_start"])
     assert {r.window_start.month for r in table.collect()} == {5, 8}
     every = streams.stream_avg_price_by_window(
-        files.stream_tickets(spark, str(folder), max_files=1), "every_window"
+        files.stream_tickets(spark, str(folder), max_files=1)
     )
     assert every.count() == 3
 
@@ -179,3 +188,161 @@ def test_newest_row_of_each_key(spark):
         ("b", 5),
         (None, None),
     ]
+
+
+def numbered(folder, n, text):
+    folder.mkdir(exist_ok=True)
+    file = folder / f"day-{n:03d}.csv"
+    file.write_text(f"{HEADER}\n{text}\n")
+    os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))
+
+
+def company_table(spark, folder, out, **options):
+    source = files.stream_tickets(spark, str(folder), max_files=1)
+    return run_to_table(metrics.ticket_counts(source, ["Company"]), out, ["Company"], **options)
+
+
+def test_snapshots_bound_the_table(spark, tmp_path):
+    out = scratch_dir(spark, "table")
+    for n in range(20):
+        numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, f"C{n % 3}"))
+    found = company_table(spark, tmp_path / "in", out, compact_every=4)
+    assert sorted(rows(found)) == [("C0", 7), ("C1", 7), ("C2", 6)]
+    assert folders(spark, f"{out}/changes") == []
+    assert folders(spark, f"{out}/snapshots") == ["upto=19"]
+    numbered(tmp_path / "in", 20, line(20, "2023-01-14", 1.0, "C2"))
+    found = company_table(spark, tmp_path / "in", out, compact_every=4)
+    assert sorted(rows(found)) == [("C0", 7), ("C1", 7), ("C2", 7)]
+    assert folders(spark, f"{out}/changes") == ["batch_id=20"]
+
+
+def test_an_incomplete_snapshot_does_not_count(spark, tmp_path):
+    out = scratch_dir(spark, "table")
+    for n in range(3):
+        numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+    company_table(spark, tmp_path / "in", out)
+    empty = spark.createDataFrame([], "Company string, n long")
+    empty.write.parquet(f"{out}/snapshots/upto=2")
+    delete(spark, f"{out}/snapshots/upto=2/_SUCCESS")
+    assert rows(company_table(spark, tmp_path / "in", out)) == [("A", 3)]
+
+
+def test_a_table_without_its_checkpoint_is_refused(spark, tmp_path):
+    """A new checkpoint would number its batches from 0, below the old ones."""
+    out = scratch_dir(spark, "table")
+    for n in range(3):
+        numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+    company_table(spark, tmp_path / "in", out)
+    delete(spark, f"{out}/_checkpoint")
+    with pytest.raises(ValueError):
+        company_table(spark, tmp_path / "in", out)
+
+
+def test_restart_after_a_failed_batch(spark, tmp_path, monkeypatch):
+    out = scratch_dir(spark, "table")
+    for n in range(4):
+        numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+    original = runner.read_table
+
+    def failing(*args):
+        raise OSError("lost while compacting")
+
+    monkeypatch.setattr(runner, "read_table", failing)
+    with pytest.raises(Exception, match="lost while compacting"):
+        company_table(spark, tmp_path / "in", out, compact_every=2)
+    monkeypatch.setattr(runner, "read_table", original)
+    assert rows(company_table(spark, tmp_path / "in", out, compact_every=2)) == [("A", 4)]
+
+
+@pytest.mark.parametrize("metric", ["tickets", "weekday"])
+def test_stream_metrics_leave_late_rows_out_behind_a_watermark(spark, tmp_path, metric):
+    days = ["2023-06-01", "2023-09-01", "2023-09-01", "2023-01-02", "2023-09-01"]
+    for n, day in enumerate(days):
+        numbered(tmp_path / "in", n, line(n, day, 10.0 * (n + 1), "A"))
+    stream = PAIRS[metric][1]
+
+    def run(**options):
+        return rows(stream(files.stream_tickets(spark, str(tmp_path / "in"), max_files=1), **options))
+
+    bounded = run(watermark="1 day", name=f"bounded_{metric}", state_partitions=2)
+    if metric == "tickets":
+        assert run() == [("A", 5)] and bounded == [("A", 4)]
+    else:
+        assert dict(run())[2] == 40.0 and 2 not in dict(bounded)
+
+
+def test_state_behind_the_watermark_is_forgotten(spark, tmp_path):
+    for n in range(6):
+        numbered(tmp_path / "in", n, line(n, f"2023-0{n + 1}-01", 1.0, "A"))
+    source = files.stream_tickets(spark, str(tmp_path / "in"), max_files=1)
+    held, started = [], []
+    original = spark.streams
+
+    class Listener(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            started.append(event.name)
+
+        def onQueryProgress(self, event):
+            held.extend(s.numRowsTotal for s in event.progress.stateOperators)
+
+        def onQueryTerminated(self, event):
+            held.append(None)
+
+    listener = Listener()
+    original.addListener(listener)
+    try:
+        streams.stream_tickets_by_company(source, watermark="1 day", name="forgets")
+        for _ in range(100):
+            if None in held:
+                break
+            time.sleep(0.1)
+    finally:
+        original.removeListener(listener)
+    assert started == ["forgets"]
+    assert max(h for h in held if h is not None) <= 3
+
+
+def test_scratch_scope_deletes_what_was_made_within(spark):
+    with scratch_scope(spark):
+        path = scratch_dir(spark, "scoped")
+        spark.range(3).write.parquet(path)
+        assert folders(spark, path)
+        assert stored(spark.range(4)).count() == 4
+    assert folders(spark, path) == []
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "avg_price_30d_stream",
+        "avg_price_by_company_stream",
+        "tickets_by_company_stream",
+        "avg_price_by_weekday_stream",
+        "stream_events_by_type",
+        "export_to_stream",
+    ],
+)
+def test_registered_streams_take_several_batches(spark, query):
+    batches = []
+
+    class Listener(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            batches.append(event.progress.numInputRows)
+
+        def onQueryTerminated(self, event):
+            batches.append(None)
+
+    listener = Listener()
+    spark.streams.addListener(listener)
+    try:
+        QUERIES[query](spark, "/root/testdata/sf0.001")
+        for _ in range(100):
+            if None in batches:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert sum(1 for n in batches if n) > 1
