@@ -58,6 +58,15 @@ def cogroup_arrow(
     return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(function, schema)
 
 
+def bucketed_table(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Like :func:`stored_table`, in buckets of ``key``: joins and groups by it need no shuffle."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def table_of(columns: dict, schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
@@ -138,7 +147,7 @@ def dump(array: np.ndarray, ascending: bool = False) -> bytes:
     """An array as compressed bytes; ascending ones as differences, bytes by significance."""
     raw = np.ascontiguousarray(np.diff(array, prepend=array.dtype.type(0)) if ascending else array)
     planes = raw.view(np.uint8).reshape(len(raw), raw.itemsize).T.tobytes() if len(raw) else b""
-    codec = pa.Codec("zstd", compression_level=1)
+    codec = pa.Codec("zstd", compression_level=5)
     return len(raw).to_bytes(8, "little") + codec.compress(planes, asbytes=True)
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from farelens.llm.common import (
     Words,
     batch_of,
+    bucketed_table,
     cogroup_arrow,
     documents,
     dump,
@@ -45,6 +46,8 @@ MODULUS = 7
 END = b"\n"
 #: Bits of a pair's number that name the word; the others name the context.
 WORD_BITS = 32
+#: Words fall into so many slots by hash, and slots into shards.
+SLOTS = np.uint64(1 << 16)
 
 LONG, BYTES = pa.int64(), pa.binary()
 
@@ -54,11 +57,11 @@ def _struct(**fields) -> pa.DataType:
 
 
 CHUNK = pa.schema(
-    [("chunk", LONG), ("words", BYTES), ("train", BYTES), ("tokens", BYTES)]
+    [("chunk", LONG), ("words", BYTES), ("train", BYTES), ("slots", BYTES), ("tokens", BYTES)]
     + [("ids", pa.list_(LONG)), ("sizes", pa.list_(LONG)), ("held", pa.list_(pa.bool_()))]
 )
 CHUNK_TYPE = (
-    "chunk long, words binary, train binary, tokens binary, "
+    "chunk long, words binary, train binary, slots binary, tokens binary, "
     "ids array<long>, sizes array<long>, held array<boolean>"
 )
 
@@ -67,21 +70,28 @@ CHUNK_TYPE = (
 
 
 def _chunks(docs: DataFrame, size: int) -> DataFrame:
+    """Rows of about ``size`` tokens: its distinct words, and its tokens as places among them in
+    the order of their frequency, which compresses best."""
     def run(batches):
         task, made, parts, words, total = TaskContext.get().partitionId(), 0, [], Words(), 0
 
         def chunk():
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.order), np.uint64, len(words))
             distinct, at = np.unique(hashes, return_inverse=True)
-            tokens = at[np.concatenate([p[2] for p in parts])].astype(np.uint32)
+            tokens = at[np.concatenate([p[2] for p in parts])]
+            order = np.argsort(-np.bincount(tokens, minlength=len(distinct)), kind="stable")
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            distinct, tokens = distinct[order], place[tokens].astype(np.uint32)
             sizes = [len(p[2]) for p in parts]
             train = np.repeat([not p[1] for p in parts], sizes)
             counts = np.bincount(tokens[train], minlength=len(distinct)).astype(np.uint64)
             return batch_of(
                 {
                     "chunk": [task << 32 | made],
-                    "words": [dump(distinct, True)],
+                    "words": [dump(distinct)],
                     "train": [dump(counts)],
+                    "slots": [dump((distinct % SLOTS).astype(np.uint16))],
                     "tokens": [dump(tokens)],
                     "ids": [[p[0] for p in parts]],
                     "sizes": [sizes],
@@ -114,14 +124,14 @@ def _word_requests(shards: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, counts = load(row["words"], "u8", True), load(row["train"], "u8")
-                shard = hashes % np.uint64(shards)
-                own = [shard == s for s in range(shards)]
+                hashes, counts = load(row["words"], "u8"), load(row["train"], "u8")
+                shard = hashes % SLOTS % np.uint64(shards)
+                own = [np.flatnonzero(shard == s) for s in range(shards)]
                 yield batch_of(
                     {
                         "shard": list(range(shards)),
                         "chunk": [row["chunk"]] * shards,
-                        "hashes": [dump(hashes[o], True) for o in own],
+                        "hashes": [dump(hashes[o]) for o in own],
                         "counts": [dump(counts[o]) for o in own],
                     },
                     schema,
@@ -139,7 +149,7 @@ VOCABULARY = pa.schema(
 def _vocabulary(table: pa.Table) -> pa.Table:
     """Adds up the counts of a shard's words; replies with their ranks, -1 for untrained ones."""
     rows = table.to_pylist()
-    hashes = [load(r["hashes"], "u8", True) for r in rows]
+    hashes = [load(r["hashes"], "u8") for r in rows]
     distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
     counts = np.zeros(len(distinct), np.int64)
     np.add.at(counts, at, np.concatenate([load(r["counts"], "u8") for r in rows]).astype(np.int64))
@@ -153,14 +163,13 @@ def _vocabulary(table: pa.Table) -> pa.Table:
     return table_of({**sums, "replies": [replies]}, VOCABULARY)
 
 
-def _of_chunk(words: np.ndarray, replies: list[dict], shards: int, *names: str) -> list[np.ndarray]:
+def _of_chunk(shard: np.ndarray, replies: list[dict], *names: str) -> list[np.ndarray]:
     """Arrays over a chunk's words from the replies of the shards."""
-    shard = words % np.uint64(shards)
-    out = [np.zeros(len(words), np.float64 if n in ("parent", "back") else np.int64) for n in names]
+    out = [np.zeros(len(shard), np.int64) for _ in names]
     for reply in replies:
         own = shard == reply["shard"]
         for array, name in zip(out, names):
-            array[own] = load(reply[name], array.dtype.str)
+            array[own] = load(reply[name], "i8")
     return out
 
 
@@ -177,8 +186,7 @@ def _bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed >> np.uint64(33)) % np.uint64(buckets)
 
 
-def _numbers(words: np.ndarray, ranks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    shard = (words % np.uint64(len(offsets) - 1)).astype(np.int64)
+def _numbers(shard: np.ndarray, ranks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(ranks < 0, -1, offsets[shard] + ranks)
 
 
@@ -187,10 +195,11 @@ def _pair_requests(offsets: np.ndarray, buckets: int):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        words, tokens = load(row["words"], "u8", True), load(row["tokens"], "u4")
-        (ranks,) = _of_chunk(words, right.to_pylist(), len(offsets) - 1, "ranks")
+        shard = load(row["slots"], "u2").astype(np.int64) % (len(offsets) - 1)
+        tokens = load(row["tokens"], "u4")
+        (ranks,) = _of_chunk(shard, right.to_pylist(), "ranks")
         sizes = np.array(row["sizes"])
-        pairs = _pairs(tokens, sizes, _numbers(words, ranks, offsets), int(offsets[-1]))
+        pairs = _pairs(tokens, sizes, _numbers(shard, ranks, offsets), int(offsets[-1]))
         train = np.repeat(~np.array(row["held"]), sizes)
         distinct, at = np.unique(pairs, return_inverse=True)
         counts = np.bincount(at, train, len(distinct)).astype(np.int64)
@@ -313,16 +322,19 @@ def seat(
 STATE = pa.schema(
     [("shard", LONG), ("as_word", BYTES), ("root_tables", BYTES), ("as_context", BYTES)]
     + [("customers", BYTES), ("n", LONG), ("t", LONG)]
-    + [("replies", _struct(bucket=LONG, as_word=BYTES, root_tables=BYTES, as_context=BYTES, customers=BYTES))]
+    + [("replies", _struct(bucket=LONG, as_word=BYTES, root_tables=BYTES, as_context=BYTES))]
 )
 STATE_TYPE = (
     "shard long, as_word binary, root_tables binary, as_context binary, customers binary, n long, "
     "t long, replies array<struct<bucket long, as_word binary, root_tables binary, "
-    "as_context binary, customers binary>>"
+    "as_context binary>>"
 )
 
 
-def _state(offsets: np.ndarray, root: tuple[float, float], seed: int, before: tuple[int, int] | None):
+def _state(
+    offsets: np.ndarray, root: tuple[float, float], seed: int, before: tuple[int, int] | None,
+    answer: bool,
+):
     """Sums of a shard's words from all buckets; then the parent's own seating. Left: the sums of
     pairs seen once, which never change."""
     last = len(offsets) - 2
@@ -348,9 +360,8 @@ def _state(offsets: np.ndarray, root: tuple[float, float], seed: int, before: tu
                 "as_word": dump(as_word[ids]),
                 "root_tables": dump(tables[ids]),
                 "as_context": dump(as_context[ids]),
-                "customers": dump(customers[ids]),
             }
-            for row, ids in zip(rows, asked[len(singles) :])
+            for row, ids in zip(rows if answer else [], asked[len(singles) :])
         ]
         return table_of(
             {
@@ -369,6 +380,19 @@ def _state(offsets: np.ndarray, root: tuple[float, float], seed: int, before: tu
     return run
 
 
+def _sum_messages(table: pa.Table) -> pa.Table:
+    """One message for all that a shard gets."""
+    rows = table.to_pylist()
+    ids = [load(r["ids"], "i8", True) for r in rows]
+    distinct, at = np.unique(np.concatenate(ids), return_inverse=True)
+    out = {"shard": [rows[0]["shard"]], "ids": [dump(distinct, True)]}
+    for name in ("as_word", "as_context", "customers"):
+        sums = np.zeros(len(distinct), np.int64)
+        np.add.at(sums, at, np.concatenate([load(r[name], "i8") for r in rows]))
+        out[name] = [dump(sums)]
+    return table_of(out, pa.schema(list(MESSAGE.items())))
+
+
 def parent(as_word, tables, totals: tuple[int, int], root: tuple[float, float], vocabulary: int):
     """Probability of words at the parent."""
     discount, strength = root
@@ -417,75 +441,66 @@ def _sweep(offsets, leaf, root, totals, seed: int):
 # --- scores -------------------------------------------------------------------------------
 
 
-def _word_replies(offsets, samples: list, leaf, root):
-    """For a chunk's words of one shard and each sample: parent probability and what a context
-    leaves to the parent; besides counts and ranks."""
-    schema = pa.schema(
-        [("shard", LONG), ("chunk", LONG), ("ranks", BYTES), ("counts", BYTES), ("customers", BYTES)]
-        + [("parents", pa.list_(BYTES)), ("backs", pa.list_(BYTES)), ("starts", pa.list_(pa.float64()))]
-    )
-    vocabulary, last = int(offsets[-1]), len(offsets) - 2
+WORD_REPLY = pa.schema(
+    [("shard", LONG), ("chunk", LONG), ("ranks", BYTES), ("counts", BYTES), ("customers", BYTES)]
+    + [(name, pa.list_(BYTES)) for name in ("as_word", "root_tables", "as_context")]
+    + [("start", pa.list_(LONG))]
+)
+WORD_REPLY_TYPE = (
+    "shard long, chunk long, ranks binary, counts binary, customers binary, "
+    "as_word array<binary>, root_tables array<binary>, as_context array<binary>, start array<long>"
+)
+
+
+def _word_replies(offsets, samples: int):
+    """For a chunk's words of one shard: ranks, counts, and the state of each sample. ``start``
+    has customers and tables of the context that opens every text."""
+    last = len(offsets) - 2
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shard = left.column("shard")[0].as_py()
         states = {r["sample"]: r for r in right.to_pylist()}
         size = int(offsets[shard + 1] - offsets[shard]) + (shard == last)
-        parents, backs, customers = [], [], np.zeros(size, np.int64)
-        for sample, totals in enumerate(samples):
-            zero = dump(np.zeros(size, np.int64))
-            row = states.get(sample, dict.fromkeys(STATE.names, zero))
-            customers = load(row["customers"], "i8")
-            as_word, tables = load(row["as_word"], "i8"), load(row["root_tables"], "i8")
-            # the place after the last is for words that were not trained
-            p = parent(np.append(as_word, 0), np.append(tables, 0), totals, root, vocabulary)
-            b = (leaf[1] + leaf[0] * load(row["as_context"], "i8")) / (leaf[1] + customers)
-            parents.append(p)
-            backs.append(np.append(b, 1.0))
-        customers = np.append(customers, 0)
-        start = [float(b[-2]) if shard == last else 0.0 for b in backs]
-        start.append(float(customers[-2]) if shard == last else 0.0)
-        rows = {name: [] for name in schema.names}
+
+        def values(sample, name):  # the place after the last is for words that were not trained
+            row = states.get(sample)
+            return np.append(load(row[name], "i8") if row else np.zeros(size, np.int64), 0)
+
+        customers = values(0, "customers")
+        each = {
+            name: [values(s, name) for s in range(samples)]
+            for name in ("as_word", "root_tables", "as_context")
+        }
+        start = [int(customers[-2]), *(int(x[-2]) for x in each["as_context"])] if shard == last else None
+        rows = {name: [] for name in WORD_REPLY.names}
         for reply in left.column("replies")[0].as_py():
             ranks = load(reply["ranks"], "i8")
-            rows["shard"].append(shard)
-            rows["chunk"].append(reply["chunk"])
-            rows["ranks"].append(reply["ranks"])
-            rows["counts"].append(reply["counts"])
-            rows["customers"].append(dump(customers[ranks]))
-            rows["parents"].append([dump(p[ranks]) for p in parents])
-            rows["backs"].append([dump(b[ranks]) for b in backs])
-            rows["starts"].append(start)
-        return table_of(rows, schema)
+            plain = {"shard": shard, "start": start, "customers": dump(customers[ranks])}
+            arrays = {name: [dump(x[ranks]) for x in xs] for name, xs in each.items()}
+            for name, value in (reply | plain | arrays).items():
+                rows[name].append(value)
+        return table_of(rows, WORD_REPLY)
 
     return run
 
 
-WORD_REPLY_TYPE = (
-    "shard long, chunk long, ranks binary, counts binary, customers binary, "
-    "parents array<binary>, backs array<binary>, starts array<double>"
-)
-
-
-def _pair_replies(discount: float):
-    """For a chunk's pairs of one bucket: customers less the discount of their mean tables."""
-    schema = pa.schema([("bucket", LONG), ("chunk", LONG), ("seated", BYTES)])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = right.to_pylist()
-        tables = np.mean([load(r["tables"], "i8") for r in rows], axis=0)
-        seated = load(rows[0]["counts"], "i8") - discount * tables
-        value = np.concatenate([[1 - discount], seated, [0.0]]).astype(np.float32)
-        found = left.column("found")[0].as_py()
-        return table_of(
-            {
-                "bucket": [rows[0]["bucket"]] * len(found),
-                "chunk": [f["chunk"] for f in found],
-                "seated": [dump(value[load(f["at"], "i4")]) for f in found],
-            },
-            schema,
-        )
-
-    return run
+def _pair_replies(table_left: pa.Table, table_right: pa.Table) -> pa.Table:
+    """For a chunk's pairs of one bucket: customers, and tables added up over the samples."""
+    rows = table_right.to_pylist()
+    tables = np.sum([load(r["tables"], "i8") for r in rows], axis=0)
+    customers = np.concatenate([[1], load(rows[0]["counts"], "i8"), [0]]).astype(np.uint32)
+    tables = np.concatenate([[len(rows)], tables, [0]]).astype(np.uint32)
+    found = table_left.column("found")[0].as_py()
+    places = [load(f["at"], "i4") for f in found]
+    return table_of(
+        {
+            "bucket": [rows[0]["bucket"]] * len(found),
+            "chunk": [f["chunk"] for f in found],
+            "seated": [dump(customers[p]) for p in places],
+            "tables": [dump(tables[p]) for p in places],
+        },
+        pa.schema([("bucket", LONG), ("chunk", LONG), ("seated", BYTES), ("tables", BYTES)]),
+    )
 
 
 RESULT = pa.schema(
@@ -494,37 +509,40 @@ RESULT = pa.schema(
 )
 
 
-def _scores(offsets, buckets: int, n: int, samples: int, strength: float):
-    shards, vocabulary = len(offsets) - 1, int(offsets[-1])
+def _scores(offsets, buckets: int, n: int, totals: list, leaf, root):
+    vocabulary, (discount, strength) = int(offsets[-1]), leaf
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row, replies = left.to_pylist()[0], right.to_pylist()
-        words, tokens = load(row["words"], "u8", True), load(row["tokens"], "u4")
+        shard = load(row["slots"], "u2").astype(np.int64) % (len(offsets) - 1)
+        tokens = load(row["tokens"], "u4")
         sizes = np.array(row["sizes"])
+        begin = np.cumsum(sizes) - sizes
         of_words = [r for r in replies if r["bucket"] is None]
-        ranks, counts, customers = _of_chunk(words, of_words, shards, "ranks", "counts", "customers")
-        pairs = _pairs(tokens, sizes, _numbers(words, ranks, offsets), vocabulary)
+        ranks, counts, customers = _of_chunk(shard, of_words, "ranks", "counts", "customers")
+        pairs = _pairs(tokens, sizes, _numbers(shard, ranks, offsets), vocabulary)
         distinct, at = np.unique(pairs, return_inverse=True)
-        own, value = np.zeros(len(distinct)), np.flatnonzero(distinct >= 0)
-        bucket = _bucket_of(distinct[value], buckets)
+        own, known = np.zeros(len(distinct)), np.flatnonzero(distinct >= 0)
+        bucket = _bucket_of(distinct[known], buckets)
         for reply in replies:
             if reply["bucket"] is not None:
-                own[value[bucket == reply["bucket"]]] = load(reply["seated"], "f4")
+                tables = load(reply["tables"], "u4") / len(totals)
+                own[known[bucket == reply["bucket"]]] = load(reply["seated"], "u4") - discount * tables
         first = np.zeros(len(tokens), bool)
-        first[np.cumsum(sizes) - sizes] = True
+        first[begin] = True
         before = np.concatenate([tokens[:1], tokens[:-1]])
-        starts = np.max([r["starts"] for r in of_words], axis=0)
-        held = np.where(first, starts[-1], customers[before])
+        start = next(r["start"] for r in of_words if r["start"])
+        held = np.where(first, start[0], customers[before])
         lower = np.zeros(len(tokens))
-        for sample in range(samples):
-            part = [
-                r | {"parent": r["parents"][sample], "back": r["backs"][sample]} for r in of_words
-            ]
-            p, b = _of_chunk(words, part, shards, "parent", "back")
-            lower += p[tokens] * np.where(first, starts[sample], b[before]) / samples
-        score = np.log10(own[at] / (strength + held) + lower)
+        for sample, total in enumerate(totals):
+            names = ("as_word", "root_tables", "as_context")
+            part = [{"shard": r["shard"], **{c: r[c][sample] for c in names}} for r in of_words]
+            as_word, tables, as_context = _of_chunk(shard, part, *names)
+            given = parent(as_word, tables, total, root, vocabulary)
+            opened = np.where(first, start[sample + 1], as_context[before])
+            lower += given[tokens] * (strength + discount * opened) / len(totals)
+        score = np.log10((own[at] + lower) / (strength + held))
         base = np.log10((counts[tokens] + 1) / (n + vocabulary + 1))
-        begin = np.cumsum(sizes) - sizes
         return table_of(
             {
                 "doc_id": row["ids"],
@@ -558,9 +576,9 @@ def score_texts(
     are learnt and scored each; an empty table gives no rows. The discount of contexts is
     n1 / (n1 + 2 n2) of the pair counts; ``root`` has discount and strength of the parent.
     """
-    chunks = stored_table(_chunks(docs, chunk_tokens), "chunks")
+    chunks = bucketed_table(_chunks(docs, chunk_tokens), "chunk", "chunks")
     many = chunks.count()
-    shards, buckets = max(4, -(-many // 8)), max(8, many)
+    shards, buckets = max(4, min(int(SLOTS), -(-many // 8))), max(8, many)
     asked = map_arrow(
         chunks.select("chunk", "words", "train"), _word_requests(shards),
         "shard long, chunk long, hashes binary, counts binary",
@@ -579,7 +597,7 @@ def score_texts(
         raise ValueError("more words than the numbers of pairs can name")
 
     replies = vocabulary.select("shard", F.inline("replies"))
-    parts = chunks.select("chunk", "words", "tokens", "sizes", "held")
+    parts = chunks.select("chunk", "slots", "tokens", "sizes", "held")
     asked = cogroup_arrow(
         parts, replies.select("shard", "chunk", "ranks"), "chunk", _pair_requests(offsets, buckets),
         "bucket long, chunk long, pairs binary, counts binary",
@@ -589,11 +607,15 @@ def score_texts(
     discount = min(max((once or 0) / max(1, (once or 0) + 2 * (twice or 0)), 0.1), 0.9)
     leaf = (discount, strength)
 
-    single = pairs.select("bucket", F.inline("single"))
+    single = group_arrow(
+        pairs.select(F.inline("single")), "shard", _sum_messages,
+        "shard long, ids binary, as_word binary, as_context binary, customers binary",
+    )
+    single = stored_table(single, "single")
     seats, totals, samples = pairs.select(*SEATS.names), None, []
     for sweep in range(sweeps):
         sent = seats.select("bucket", F.inline("messages"))
-        state = cogroup_arrow(single, sent, "shard", _state(offsets, root, seed + sweep, totals), STATE_TYPE)
+        state = cogroup_arrow(single, sent, "shard", _state(offsets, root, seed + sweep, totals, sweep < sweeps - 1), STATE_TYPE)
         state = stored_table(state, "state")
         totals = tuple(x or 0 for x in state.agg(F.sum("n"), F.sum("t")).first())
         if sweep >= burn_in:
@@ -615,16 +637,16 @@ def score_texts(
     )
     of_words = cogroup_arrow(
         vocabulary.select("shard", "replies"), states, "shard",
-        _word_replies(offsets, [t for _, _, t in samples], leaf, root), WORD_REPLY_TYPE,
+        _word_replies(offsets, len(samples)), WORD_REPLY_TYPE,
     )
     tables = reduce(DataFrame.union, [s.select("bucket", "counts", "tables") for _, s, _ in samples])
     of_pairs = cogroup_arrow(
-        pairs.select("bucket", "found"), tables, "bucket", _pair_replies(discount),
-        "bucket long, chunk long, seated binary",
+        pairs.select("bucket", "found"), tables, "bucket", _pair_replies,
+        "bucket long, chunk long, seated binary, tables binary",
     )
     return cogroup_arrow(
-        chunks.drop("train"), of_words.unionByName(of_pairs, allowMissingColumns=True), "chunk",
-        _scores(offsets, buckets, n, len(samples), strength),
+        chunks.drop("words", "train"), of_words.unionByName(of_pairs, allowMissingColumns=True), "chunk",
+        _scores(offsets, buckets, n, [t for _, _, t in samples], leaf, root),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",
     )
