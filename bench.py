@@ -8,6 +8,7 @@ import json
 import os
 import statistics
 import time
+from tempfile import mkdtemp
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or mkdtemp())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -90,3 +90,20 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, zone):
         assert values(metrics.avg_price_by_window(rows, "1 day"))[0][0] == datetime(2023, 1, 14)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_exact_averages_do_not_depend_on_partitioning(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    tickets = lines.selectExpr("l_suppkey as Company", "l_extendedprice as price")
+
+    def found(parts):
+        spread = tickets.repartition(parts, "price")
+        return metrics.avg_price_by_company(spread, exact=2).collect()
+
+    assert found(1) == found(3) == found(8)
+
+
+def test_exact_average_of_nothing_is_null(spark):
+    rows = spark.createDataFrame([("A", None), ("B", 1.25), ("B", 1.5)], "Company string, price double")
+    found = metrics.avg_price_by_company(rows, exact=2).collect()
+    assert [tuple(r) for r in found] == [("A", None), ("B", 1.375)]

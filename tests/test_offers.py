@@ -5,6 +5,7 @@ import pytest
 from samples import DIRECT, VIA_MADRID, offer, segment, traveler
 
 from farelens.operators import offers as ops
+from farelens.schemas import OFFER
 from farelens.sources.offers import offers_from_rows
 
 
@@ -164,3 +165,41 @@ def test_unknown_stops_are_refused(spark):
 
 def test_no_documents_give_no_rows(spark):
     assert ops.offer_fares(load(spark), "direct").count() == 0
+
+
+def test_null_items_of_lists_stay(spark):
+    document = offer("1", DIRECT)
+    document["itineraries"] = [None, *document["itineraries"]]
+    document["travelerPricings"] = [None, traveler(1, "ECONOMY")]
+    offers = spark.createDataFrame([document], OFFER)
+    its = ops.itineraries(offers).orderBy("itinerary_pos").collect()
+    assert [(r.itinerary_pos, r.n_segments) for r in its] == [(0, 0), (1, 1)]
+    assert [r.travelerId for r in ops.travelers(offers).collect()] == [None, "1"]
+    empty = spark.createDataFrame([offer("2", itineraries=[], travelerPricings=[])], OFFER)
+    assert ops.itineraries(empty).count() == ops.travelers(empty).count() == 0
+
+
+def test_lowest_traveler_does_not_change_the_fare(spark):
+    lists = [
+        [traveler(10, "A"), traveler(9, "B"), traveler(2, "C")],
+        [traveler(1, "A")],
+        [{"travelerId": "x", "fareDetailsBySegment": None}, traveler(3, "B")],
+        [],
+        None,
+    ]
+    documents = [offer(str(n), DIRECT, travelerPricings=t) for n, t in enumerate(lists)]
+    offers = spark.createDataFrame(documents, OFFER)
+
+    def cabins(df):
+        rows = ops.add_fare(ops.direct_legs(ops.itineraries(df))).collect()
+        return sorted((r.id, r.travelerId, str(r.Cabin)) for r in rows)
+
+    cut = ops.lowest_traveler(offers)
+    assert cabins(cut) == cabins(offers)
+    assert cut.filter("size(travelerPricings) > 1").isEmpty()
+
+
+def test_passenger_counts_are_part_of_the_key(spark):
+    documents = [offer("1", DIRECT, adults=n) for n in (1, 2, 4, 5)]
+    fares = ops.offer_fares(spark.createDataFrame(documents, OFFER), "direct").collect()
+    assert sorted(r.adults for r in fares) == [1, 2, 4]

@@ -3,11 +3,13 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from samples import DIRECT, VIA_MADRID, airlines, airports, offer
 
 from farelens import workspace
 from farelens.operators import offers as ops
 from farelens.plans.export import ticket_export, tickets_for_requests
+from farelens.plans.queries import QUERIES
 from farelens.sources import dimensions
 from farelens.sources import offers as landing
 from farelens.sources import tickets as files
@@ -50,6 +52,22 @@ def test_a_line_that_is_not_an_offer_is_not_bookable(spark, tmp_path):
     assert [r.id for r in ops.bookable_offers(offers).collect()] == ["1"]
 
 
+def test_corrupt_lines_can_be_set_aside(spark, tmp_path):
+    lines = [json.dumps(offer("1", DIRECT), default=str), "{broken"]
+    (tmp_path / "offers.json").write_text("\n".join(lines))
+    offers = landing.read_offers(spark, str(tmp_path / "offers.json"), corrupt="bad").cache()
+    assert [(r.id, r.bad) for r in offers.orderBy("id").collect()] == [(None, "{broken"), ("1", None)]
+
+
+def test_a_line_break_in_a_city_stays_in_its_field(spark, tmp_path):
+    fields = ["1", "CDG", '"Paris\n""Nord"""', "2023-01-14", "LIS", "Lisbon", "", "A", "3.5"]
+    text = ",".join([*fields, "EUR", "true", "", "", "", "", "2023-01-10"])
+    header = ",".join(files.TICKET.names)
+    (tmp_path / "day.csv").write_text(f"{header}\n{text}\n")
+    (row,) = files.read_tickets(spark, str(tmp_path), multi_line=True).collect()
+    assert (row.ville_de_depart, row.price) == ('Paris\n"Nord"', 3.5)
+
+
 def test_offers_from_text(spark):
     text = json.dumps(offer("1", VIA_MADRID), default=str)
     rows = spark.createDataFrame([(text,), ("{broken",), (None,)], "body string")
@@ -58,6 +76,25 @@ def test_offers_from_text(spark):
     assert (row.id, row.layover_airport) == ("1", "MAD")
 
 
+def test_sweep_and_export_follow_the_data(spark, tmp_path):
+    """A line item of a later year is asked for and exported."""
+    tables = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{tables}/lineitem.parquet")
+    later = lines.filter("l_linenumber > 3 and l_orderkey % 4 < 3").limit(50).withColumn(
+        "l_shipdate", F.lit("2031-05-07").cast(lines.schema["l_shipdate"].dataType)
+    )
+    lines.unionByName(later).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("nation", "supplier"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert QUERIES["date_sweep"](spark, str(tmp_path)).agg(F.max("request_date")).first()[0] == "2031-05-05"
+    exported = QUERIES["ticket_export_roundtrip"](spark, str(tmp_path))
+    assert exported.filter("date_de_depart like '2031-05-07%'").count() > 0
+
+
+def test_sweep_without_an_end_asks_for_nothing(spark):
+    assert landing.request_sweep(routes(spark), None, None).count() == 0
+
+
 def test_sweep_asks_for_days_1_to_27_of_each_month(spark):
     sweep = landing.request_sweep(routes(spark), date(2023, 1, 1), date(2023, 12, 31))
     days = [r.request_date for r in sweep.collect()]
