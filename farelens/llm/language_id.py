@@ -149,12 +149,13 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     pairs = tri.groupBy("lang", "pair").agg(F.sum("n").alias("all"), F.count("n").alias("kinds"))
     bi = tri.groupBy("lang", "suffix").agg(F.count("n").alias("m"))
     bi = bi.withColumn("b", F.expr("suffix div 2097152")).withColumn("c", F.expr("suffix % 2097152"))
+    bi = stored_table(bi, "bigrams")
     contexts = bi.groupBy("lang", "b").agg(F.sum("m").alias("all2"), F.count("m").alias("kinds2"))
     uni = bi.groupBy("lang", "c").agg(F.count("m").alias("k"))
     total = uni.groupBy("lang").agg(F.sum("k").alias("all1"), F.count("k").alias("kinds1"))
     size = uni.agg((F.count_distinct("c") + 1).alias("letters"))
     base = total.join(_discount(uni, "k", "d1"), "lang").join(_discount(bi, "m", "d2"), "lang")
-    base = base.join(_discount(tri, "n", "d3"), "lang").join(F.broadcast(size))
+    base = stored_table(base.join(_discount(tri, "n", "d3"), "lang").join(F.broadcast(size)), "bases")
     floor = F.col("d1") * F.col("kinds1") / F.col("all1") / F.col("letters")
 
     uni = uni.join(base, "lang").withColumn("p1", (F.col("k") - F.col("d1")) / F.col("all1") + floor)
@@ -164,6 +165,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("back3", F.col("d3") * F.col("kinds") / F.col("all"))
     bi = bi.join(contexts, ["lang", "b"]).join(uni.select("lang", "c", "p1"), ["lang", "c"])
     bi = bi.withColumn("p2", (F.col("m") - F.col("d2")) / F.col("all2") + F.col("back2") * F.col("p1"))
+    bi = stored_table(bi.select("lang", "suffix", "p2"), "bigrams")
     tri = tri.join(pairs, ["lang", "pair"]).join(bi.select("lang", "suffix", "p2"), ["lang", "suffix"])
     p3 = (F.col("n") - F.col("d3")) / F.col("all") + F.col("back3") * F.col("p2")
     return (
