@@ -30,6 +30,8 @@ from farelens.llm.common import (
 SPACE = 32
 UNKNOWN = "und"
 MODULUS = 4
+#: Bytes of text that are worked on at once.
+SLICE = 2 << 20
 #: Entries of the hash arrays: full trigrams, contexts of two and one, and lower orders.
 TRIGRAM, PAIR_CONTEXT, BIGRAM, CONTEXT, UNIGRAM, FLOOR = range(6)
 COUNTS = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
@@ -102,7 +104,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         held: dict[str, list] = {}
-        for batch in text_slices(batches, 8 << 20):
+        for batch in text_slices(batches, SLICE):
             grams = Grams(batch.column("text").to_pylist())
             langs = np.array(batch.column("lang").to_pylist(), object)
             for lang in sorted(set(langs)):
@@ -266,7 +268,7 @@ def calibrate(docs: DataFrame, model: Model, deviations: float = 12.0) -> np.nda
     schema = pa.schema([("language", pa.int32()), ("entropy", pa.float64())])
 
     def run(batches):
-        for batch in text_slices(batches, 8 << 20):
+        for batch in text_slices(batches, SLICE):
             best, least, _ = _best(model, batch.column("text").to_pylist())
             yield batch_of({"language": best[best >= 0], "entropy": least[best >= 0]}, schema)
 
@@ -301,7 +303,7 @@ def identify_languages(
     limits = calibrate(docs, model, deviations)
 
     def run(batches):
-        for batch in text_slices(batches, 8 << 20):
+        for batch in text_slices(batches, SLICE):
             best, least, share = _best(model, batch.column("text").to_pylist())
             yield batch_of(
                 {
@@ -327,7 +329,7 @@ def keep_identified(docs: DataFrame, hash_bits: int = 22, deviations: float = 12
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):
-        for batch in text_slices(batches, 8 << 20):
+        for batch in text_slices(batches, SLICE):
             best, least, _ = _best(model, batch.column("text").to_pylist())
             yield batch.filter(pa.array((best >= 0) & (least <= limits[best])))
 
