@@ -167,4 +167,5 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -
     named = distinct.join(groups.withColumnRenamed("node", "bits"), "bits", "left")
     kept = named.groupBy(F.coalesce("component", "bits")).agg(F.min("first").alias("first"))
     kept = stored_table(kept.select(F.col("first.row").alias("_dedup_row")), "kept_rows")
-    return marked.join(kept, "_dedup_row", "left_semi").drop("_dedup_row")
+    # the same plan at every size: a list of kept rows that is small here is not small elsewhere
+    return marked.join(kept.hint("merge"), "_dedup_row", "left_semi").drop("_dedup_row")
