@@ -59,4 +59,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op3_pitman_yor": op3_pitman_yor, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op8_neighbours": op8_neighbours, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
-ORACLES: dict[str, str] = {}
+#: DuckDB has no XXH64 with a seed, positions of matches, tokenizer or sampling; links of vectors
+#: are the one result that SQL gives.
+ORACLES = {
+    "op2_pivots": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, CAST(embedding AS double[]) AS e FROM embeddings
+          WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ),
+        reach AS (
+          SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION
+          SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS bigint) AS n_links, component_id,
+               vec_id = component_id AS kept
+        FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+        LEFT JOIN counts ON a = vec_id""",
+}
