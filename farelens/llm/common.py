@@ -1,9 +1,14 @@
 """Helpers the operators share: task functions over Arrow, word numbers, stored tables."""
 
+import ctypes
+import gc
 import os
+import re
 import shutil
+import sys
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +19,16 @@ import farelens
 from farelens.workspace import scratch_dir
 
 
+#: Spark's bound on the bytes of an Arrow batch.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, as ``--py-files`` would."""
+    """Send this package to the Python workers of a local session, once per application. On a
+    cluster it is installed or named by ``--py-files``, as for any application."""
     context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        return
     if any("farelens-package" in name for name in context._python_includes):
         return
     folder = os.path.dirname(farelens.__file__)
@@ -26,9 +38,28 @@ def ship_package(spark: SparkSession) -> None:
     )
 
 
+def release_memory() -> None:
+    """Hand free memory back to the system: a Python worker lives on for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(OSError, AttributeError):  # a C library without this call keeps it
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow``. Rows may hold long texts, so unless the session says otherwise batches are
+    bounded by bytes as well as by rows."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, 8 << 20)
+
+    def run(batches):
+        yield from function(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
 
 
 def group_arrow(df: DataFrame, key: str, function: Callable, schema: str) -> DataFrame:

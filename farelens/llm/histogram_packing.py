@@ -79,7 +79,7 @@ class WordIds:
     def part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) > 1 << 18:
+            if len(self.parts) > 1 << 17:
                 self.parts.clear()
             letters = part.encode().decode("latin-1").translate(self.letters)
             ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
@@ -101,7 +101,7 @@ def cut_pieces(
     docs: DataFrame, window: int, unit: int, path: str, end: int
 ) -> DataFrame:
     def run(batches):
-        task, cache, seen = TaskContext.get().partitionId(), WordCache(word_ids(path), 1 << 18), Counter()
+        task, cache, seen = TaskContext.get().partitionId(), WordCache(word_ids(path), 1 << 17), Counter()
         for batch in batches:
             rows = {name: [] for name in PIECE.names}
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):

@@ -31,7 +31,7 @@ SPACE = 32
 UNKNOWN = "und"
 MODULUS = 4
 #: Bytes of text that are worked on at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Entries of the hash arrays: full trigrams, contexts of two and one, and lower orders.
 TRIGRAM, PAIR_CONTEXT, BIGRAM, CONTEXT, UNIGRAM, FLOOR = range(6)
 COUNTS = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
