@@ -18,6 +18,7 @@ task and bin, so a bin that holds a third of all pieces is never sorted or gathe
 import os
 import re
 import zlib
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import WordCache, batch_of, documents, map_arrow, stored_table
+from farelens.llm.common import Words, batch_of, documents, map_arrow, stored_table
 from farelens.llm.token_counts import byte_letters
 
 PIECE = pa.schema(
@@ -64,22 +65,22 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
         self.letters = byte_letters()
         self.parts: dict[str, list[int]] = {}
 
-    def __call__(self, word: bytes) -> np.ndarray:
+    def __call__(self, word: bytes) -> list[int]:
         text = word.decode("utf-8", "replace")
-        if not PLAIN(text) or any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = [i for part in PARTS(text.lower()) for i in self.part(part)]
-        return np.array(ids, np.uint32)
+        if not PLAIN(text) or self.special(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        parts = PARTS(text.lower())
+        return self.part(parts[0]) if len(parts) == 1 else [i for p in parts for i in self.part(p)]
 
     def part(self, part: str) -> list[int]:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) > 1 << 17:
+            if len(self.parts) > 1 << 18:
                 self.parts.clear()
             letters = part.encode().decode("latin-1").translate(self.letters)
             ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
@@ -91,21 +92,45 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def document_ids(text: str | None, cache: WordCache, end: int) -> np.ndarray:
-    words = (text or "").encode("utf-8", "replace").split()
-    numbers, values = cache.of(words)
-    return np.concatenate([*map(values.__getitem__, numbers.tolist()), [end]]).astype("<u4")
+class IdCache:
+    """Ids of the words of a task, end to end in one array, so a word costs its ids and a number.
+    Emptied between texts when it has ``most`` words."""
+
+    def __init__(self, value: WordIds, most: int = 1 << 18) -> None:
+        self.value, self.most = value, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.ids, self.starts = Words(), array("I"), array("q", [0])
+
+    def document(self, text: str | None, end: int) -> np.ndarray:
+        """The ids of a text and the end id."""
+        if len(self.starts) > self.most or len(self.ids) > 8 * self.most:
+            self.clear()
+        numbers = self.words.numbers((text or "").encode("utf-8", "replace").split())
+        for word in self.words.order[len(self.starts) - 1 :]:
+            self.ids.extend(self.value(word))
+            self.starts.append(len(self.ids))
+        starts = np.frombuffer(self.starts, np.int64)
+        first = starts[numbers]
+        sizes = starts[numbers + 1] - first
+        ends = np.cumsum(sizes)
+        out = np.full(int(sizes.sum()) + 1, end, "<u4")
+        if len(out) > 1:
+            place = np.repeat(first - ends + sizes, sizes) + np.arange(len(out) - 1)
+            out[:-1] = np.frombuffer(self.ids, np.uint32)[place]
+        return out
 
 
 def cut_pieces(
     docs: DataFrame, window: int, unit: int, path: str, end: int
 ) -> DataFrame:
     def run(batches):
-        task, cache, seen = TaskContext.get().partitionId(), WordCache(word_ids(path), 1 << 17), Counter()
+        task, cache, seen = TaskContext.get().partitionId(), IdCache(word_ids(path)), Counter()
         for batch in batches:
             rows = {name: [] for name in PIECE.names}
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = document_ids(text.as_py(), cache, end)
+                ids = cache.document(text.as_py(), end)
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     bin = -(-len(piece) // unit)
