@@ -14,6 +14,7 @@ and no pairs are made. A document's parts come from its own text, so nothing is
 import hashlib
 import math
 import re
+import string
 from bisect import bisect_left, bisect_right
 from collections import Counter
 
@@ -30,14 +31,39 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # runs are taken whole, so shorter on
 HEX = re.compile(r"[0-9a-f]{24,}")
 BASE = ("assign", "access", "hex")
 
-ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?[A-Za-z0-9/_.-]*")
+#: What follows a scheme - user, password, hosts, path - or the port of a bare host. Both begin
+#: with the colon, which is quick to search for; scheme and bare host are read backwards from it.
+HOST = r"(?:\[[0-9A-Fa-f:.]+\]|[A-Za-z0-9._-]+)(?::[0-9]{1,5})?"
+ENDPOINT = re.compile(
+    r"://(?:([^\s:/@\"'<>]*)(?::([^\s/@\"'<>]*))?@)?"
+    + rf"{HOST}(?:,{HOST})*[A-Za-z0-9/_.-]*"
+    + r"|:[0-9]{2,5}(?![A-Za-z0-9_])"
+)
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
+HOST_CHARS = string.ascii_letters + string.digits + ".-"
+BARE_HOST = re.compile(
+    r"localhost|(?:[0-9]{1,3}\.){3}[0-9]{1,3}|(?:[A-Za-z0-9-]+\.)+[A-Za-z][A-Za-z0-9-]*"
+)
+#: A name of two parts with a number behind it may be a line of a source file.
+SOURCE_FILE = re.compile(
+    r"[A-Za-z0-9-]+\.(?:py|js|ts|java|go|rb|c|cc|cpp|h|cs|php|scala|kt|html|css|json|ya?ml|xml|sh|sql|md|txt|log)"
+)
+#: Between a name and its value: a closing quote, a sign, an opening quote; any may be escaped.
+SIGN = r"\\?[\"']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*\\?[\"']?"
+NAMED_HOST = re.compile(
+    r"(?i:(?<![A-Za-z0-9])(?:host(?:_?name)?|endpoint))" + SIGN
+    + r"([A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?(?::[0-9]{1,5})?)(?!:?//)",
+    re.ASCII,
+)
+#: The name may end a longer one, as in DB_USER and aws_access_key_id.
 IDENTIFIER = re.compile(
-    r"(?i:\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?))[\"']?\x20*[:=]\x20*"
-    r"[\"']?([A-Za-z0-9@_.-]{3,})",
+    r"(?i:(?<![A-Za-z0-9])(?<!secret[_-])(?:user(?:[_-]?(?:name|id))?|login|account(?:[_-]?(?:name|id))?"
+    r"|client[_-]?id|access[_-]?key(?:[_-]?id)?))" + SIGN + r"([A-Za-z0-9@_.-]{3,})",
     re.ASCII,
 )
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,64}={0,2}(?![A-Za-z0-9+/_=-])")
-WEAK = ("identifier", "random", "endpoint")
+#: Runs are taken whole, from the first character after a name's sign; signs are padding at the end.
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK = ("identifier", "random", "endpoint", "password")
 KINDS = {kind: n for n, kind in enumerate(BASE + WEAK)}
 
 #: What a weak part needs in its scope: any one of these sets of roles, whole.
@@ -45,6 +71,7 @@ NEEDS = {
     "identifier": ({"secret"},),
     "random": ({"identifier"}, {"endpoint"}),
     "endpoint": ({"identifier", "secret"},),
+    "password": ({"identifier"}, {"endpoint"}),
 }
 ROLES = {
     "assign": "secret",
@@ -53,6 +80,7 @@ ROLES = {
     "access": "identifier",
     "identifier": "identifier",
     "endpoint": "endpoint",
+    "password": "secret",
 }
 
 Span = tuple[int, int, str]
@@ -80,8 +108,29 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=_order)
 
 
+def endpoint_parts(text: str) -> list[Span]:
+    """URLs of any scheme, with user and password if they hold them; hosts with a port; named hosts."""
+    found, ends = [], {}
+    for m in ENDPOINT.finditer(text):
+        colon = m.start()
+        if m[0].startswith("://"):
+            scheme = SCHEME.search(text[max(0, colon - 32) : colon])
+            if not scheme:
+                continue
+            ends[colon - len(scheme[0])] = m.end()
+            found += [(*m.span(n), k) for n, k in ((1, "identifier"), (2, "password")) if m[n]]
+        else:
+            before = text[max(0, colon - 255) : colon]
+            host = before[len(before.rstrip(HOST_CHARS)) :]
+            if BARE_HOST.fullmatch(host) and not SOURCE_FILE.fullmatch(host):
+                ends[colon - len(host)] = m.end()
+    for m in NAMED_HOST.finditer(text):
+        ends.setdefault(m.start(1), m.end(1))
+    return found + [(start, end, "endpoint") for start, end in ends.items()]
+
+
 def weak_parts(text: str) -> list[Span]:
-    found = [(*m.span(), "endpoint") for m in ENDPOINT.finditer(text)]
+    found = endpoint_parts(text)
     found += [(*m.span(1), "identifier") for m in IDENTIFIER.finditer(text)]
     found += [(*m.span(), "random") for m in RANDOM.finditer(text) if looks_random(m[0])]
     return found

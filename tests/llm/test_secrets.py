@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from farelens.llm import secrets
 from farelens.llm.secrets import find_secrets, linked_parts, mask, mask_secrets, scan
 from tests.llm.samples import ODD_TEXTS, odd_documents
@@ -101,3 +103,37 @@ def test_masking(spark):
     text = {r.doc_id: r.text for r in found.collect()}
     assert text[2] is None and text[23] == dict(SECRETS)[23] and text[7] == dict(ODD_TEXTS)[7]
     assert KEY not in text[20] and "hunter22" not in text[20] and WEAK not in text[22]
+
+
+AWS = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY4EXAMPLEKEY"
+STORAGE = "Eby8vdM02xNOcqFlqUwJPLlmEtlCDXJ1OUzFT50uSRZ6IFsuFq2UVErCz4I6tq0K1SZFPTOtrRKBHBeksoGMGw7a=="
+
+
+@pytest.mark.parametrize(
+    "text, parts",
+    [
+        (f"AWS_ACCESS_KEY_ID={KEY}\nAWS_SECRET_ACCESS_KEY={AWS}\n", {AWS}),
+        (f'{{"access_key_id":"{KEY}","secret_access_key":"{AWS}"}}', {AWS}),
+        (f"aws_access_key_id = ASIAXX11\naws_x: '{AWS}'", {AWS, "ASIAXX11"}),
+        (f"AccountName=devstore;AccountKey={STORAGE};x", {STORAGE, "devstore"}),
+        ("DB_USER=admin\nDB_PASSWORD=hunter22", {"admin"}),
+        ("db_user: admin, password: hunter22", {"admin"}),
+        ("DB_HOST=db1\nDB_USER=admin\nDB_PASSWORD=hunter22", {"admin", "db1"}),
+        (f"user=jane {WEAK} at db.example.com:5432, now", {"jane", WEAK, "db.example.com:5432"}),
+        (f"KEY={WEAK} on 10.0.0.7:6379.", {WEAK}),
+        (
+            "postgresql://app:pw-1@db:5432/x",
+            {"postgresql://app:pw-1@db:5432/x", "app", "pw-1"},
+        ),
+        ("redis://:pw-1@cache:6379/0", {"pw-1"}),
+        ("mongodb+srv://app:pw-1@a:1,b:2/x", {"mongodb+srv://app:pw-1@a:1,b:2/x", "app", "pw-1"}),
+    ],
+)
+def test_credentials_as_name_and_value(text, parts):
+    assert {part for part, _ in linked(text)} == parts
+
+
+def test_text_without_complement_stays():
+    for text in (f"KEY={WEAK}", "DB_USER=admin", "at db.example.com:5432", f"in x.py:39 {WEAK}", f"12:30:45 {WEAK}"):
+        assert linked(text) == []
+    assert linked("a1" * 300000 + "://" * 1000 + ":12" * 100000) == []
