@@ -2,8 +2,14 @@
 
 Tokens are added up per cell: source, language and topic. Each round rakes the cells to the
 targets of one dimension after the other: a cell's factor is multiplied by target over present
-weight of its source, then of its language, then of its topic, until all three fit. A document
-is then kept with the probability that its cell's factor gives, the largest factor being 1.
+weight of its source, then of its language, then of its topic, until all three fit. Raking leaves
+the sum of tokens as it is, so a factor says how often the tokens of a cell are to be seen.
+
+By default a cell's documents are kept with its factor as probability, all of them from a factor of
+1; beyond 1 the factor is their weight, and weighted tokens meet the targets. So only what cells
+have above their target goes, and a rare cell changes no more than its own share. A caller who
+names targets or a power gets them met by the kept documents alone, without weights. That takes
+the largest factor as 1, and so the rarest cell says how much of the others is kept.
 
 Cells stay a table: sources may be as many as web sites. Raking one dimension is an aggregate
 and a join with one row per value, written to the shared folder; only the largest misfit of a
@@ -16,6 +22,8 @@ from pyspark.sql import functions as F
 from farelens.llm.common import stored_table
 
 DIMENSIONS = ("source", "lang", "topic")
+#: Present shares are raised to it where neither targets nor a power are given.
+POWER = 0.85
 
 
 def surface_topic(text: Column) -> Column:
@@ -97,19 +105,28 @@ def _marked(docs: DataFrame, topic: Column) -> DataFrame:
 
 
 def _with_probability(
-    docs: DataFrame, topic: Column | None, targets: dict[str, DataFrame] | None, power: float
+    docs: DataFrame,
+    topic: Column | None,
+    targets: dict[str, DataFrame] | None,
+    power: float | None,
 ) -> DataFrame:
+    unweighted = targets is not None or power is not None
     marked = _marked(docs, surface_topic(F.col("text")) if topic is None else topic)
     own = [f"_mix_{d}" for d in DIMENSIONS]
     cells = marked.groupBy(*(F.col(c).alias(d) for c, d in zip(own, DIMENSIONS)))
     cells = stored_table(cells.agg(F.sum("_mix_tokens").alias("tokens")), "token_cells")
     if targets is None:
-        targets = {d: tempered_targets(cells, d, power) for d in DIMENSIONS}
+        targets = {d: tempered_targets(cells, d, POWER if power is None else power) for d in DIMENSIONS}
     raked = rake(cells, targets)
-    most = raked.agg(F.max(F.when(F.col("tokens") > 0, F.col("factor"))).alias("most"))
-    raked = raked.join(F.broadcast(most)).select(
+    if unweighted:
+        most = raked.agg(F.max(F.when(F.col("tokens") > 0, F.col("factor"))).alias("most"))
+        raked = raked.join(F.broadcast(most)).withColumn(
+            "factor", F.least(F.coalesce(F.col("factor") / F.col("most"), F.lit(1.0)), F.lit(1.0))
+        )
+    raked = raked.select(
         *(F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS),
-        F.least(F.coalesce(F.col("factor") / F.col("most"), F.lit(1.0)), F.lit(1.0)).alias("_mix_p"),
+        F.least("factor", F.lit(1.0)).alias("_mix_p"),
+        F.greatest("factor", F.lit(1.0)).alias("_mix_weight"),
     )
     same = [F.col(f"_mix_{d}").eqNullSafe(F.col(f"_cell_{d}")) for d in DIMENSIONS]
     return marked.join(stored_table(raked, "probabilities"), same)
@@ -119,12 +136,12 @@ def mixing_probabilities(
     docs: DataFrame,
     topic: Column | None = None,
     targets: dict[str, DataFrame] | None = None,
-    power: float = 0.85,
+    power: float | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, source, lang, topic, n_tokens, probability, kept.
+    """One row per document: doc_id, source, lang, topic, n_tokens, probability, kept, weight.
 
     ``targets`` maps source, lang and topic to tables (value, target share of tokens); without
-    it the present shares are raised to ``power``. Null values are a value of their own; null
+    it the present shares are raised to ``power``. Weights are 1 where either is given. Null values are a value of their own; null
     and empty texts have 0 tokens, and cells without any tokens follow their other values.
     Whether a document is kept depends on its id alone (on its text if the id is null), so
     repeated rows stay or go together. An empty table gives no rows.
@@ -139,10 +156,11 @@ def mixing_probabilities(
         F.col("_mix_tokens").alias("n_tokens"),
         F.col("_mix_p").alias("probability"),
         (F.col("_mix_draw") < F.col("_mix_p")).alias("kept"),
+        F.col("_mix_weight").alias("weight"),
     )
 
 
-def sample_mixture(docs: DataFrame, power: float = 0.85) -> DataFrame:
+def sample_mixture(docs: DataFrame, power: float | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are."""
     found = _with_probability(docs, None, None, power)
     return found.filter("_mix_draw < _mix_p").select(*(f"`{c}`" for c in docs.columns))

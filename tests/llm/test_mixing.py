@@ -81,3 +81,30 @@ def test_odd_texts(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in found if r.kept)
     assert mixing_probabilities(docs.limit(0)).count() == sample_mixture(docs.limit(0)).count() == 0
+
+
+def test_rare_cells_do_not_set_the_scale(spark):
+    """One more source of one word takes next to nothing from the others; weights meet the targets."""
+    docs = spark.range(20000).select(
+        F.col("id").alias("doc_id"),
+        F.lit("a b c d e f g h").alias("text"),
+        F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 10)).alias("source"),
+        F.when(F.col("id") % 7 < 5, "en").otherwise("de").alias("lang"),
+    )
+    rare = spark.createDataFrame([(20000, "a", "rare", "en")], docs.schema)
+    share = []
+    for table in (docs, docs.union(rare)):
+        found = mixing_probabilities(table).collect()
+        share.append(sum(r.n_tokens for r in found if r.kept) / sum(r.n_tokens for r in found))
+    assert share[0] > 0.9 and share[0] - share[1] < 0.01
+    assert sample_mixture(docs.union(rare)).count() == sum(r.kept for r in found)
+    for d in DIMS:
+        have, want = Counter(), Counter()
+        for r in found:
+            have[r[d]] += r.n_tokens * r.probability * r.weight
+            want[r[d]] += r.n_tokens
+        raised = {v: n**0.85 for v, n in want.items()}
+        for value, n in raised.items():
+            target = n / sum(raised.values())
+            assert have[value] / sum(have.values()) == pytest.approx(target, rel=0.01)
+    assert all(r.probability == 1 and r.weight > 1 for r in found if r.source == "rare")
