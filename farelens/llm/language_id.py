@@ -3,8 +3,9 @@
 Texts are read as lower-case letters with single spaces for everything else. Each language
 has a trigram model with absolute discounting and continuation counts at the lower orders,
 counted over every training document and built with DataFrame operations. Its values lie in
-arrays sorted by a hash of ``hash_bits`` bits, so a model never has more than 2^hash_bits
-entries, however large the corpus: that bounds what is broadcast. A text gets the language
+arrays sorted by a number of 64 bits that is different for every entry, so entries never merge and
+what was not seen is never found. The arrays are broadcast whole: 16 bytes an entry, which grows
+with the distinct trigrams of the corpus. A text gets the language
 with the lowest cross-entropy per character. A second pass over the training documents gives
 mean and deviation of that entropy for each language. Texts without letters are rejected, and
 those beyond ``deviations`` of them, with an allowance for short texts, whose entropy varies by
@@ -125,9 +126,13 @@ def count_grams(docs: DataFrame) -> DataFrame:
 # --- the model ----------------------------------------------------------------------------
 
 
-def entry_hash(code, kind, bits: int):
-    """A mix of code and kind to so many bits."""
-    x = np.asarray(code, np.uint64) * np.uint64(6) + np.uint64(kind)
+def entry_hash(code, kind, bits: int = 64):
+    """A mix of code and kind to so many bits; with 64, no two entries have the same.
+
+    Trigrams have 63 bits. All other codes have 42 at most, which leaves room for the kind.
+    """
+    x, kind = np.asarray(code, np.uint64), np.asarray(kind, np.uint64)
+    x = np.where(kind == TRIGRAM, x, x | np.uint64(1 << 63) | kind << np.uint64(60))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - bits)
@@ -185,10 +190,11 @@ class Model:
 
     def __init__(self, entries: pa.Table, bits: int) -> None:
         self.bits, self.arrays = bits, {}
-        langs = np.array(entries.column("lang").to_pylist(), object)
+        langs = entries.column("lang").combine_chunks().dictionary_encode()
+        names, numbers = langs.dictionary.to_pylist(), langs.indices.to_numpy()
         hashes, values = (entries.column(c).to_numpy() for c in ("hash", "value"))
-        for lang in sorted(set(langs)):
-            own = np.flatnonzero(langs == lang)
+        for lang in sorted(names):
+            own = np.flatnonzero(numbers == names.index(lang))
             own = own[np.argsort(hashes[own], kind="stable")]
             self.arrays[lang] = hashes[own], values[own]
         self.langs = list(self.arrays)
@@ -225,7 +231,7 @@ class Model:
         return out, grams.sizes
 
 
-def train(docs: DataFrame, hash_bits: int = 22) -> Model:
+def train(docs: DataFrame, hash_bits: int = 64) -> Model:
     """A model for each non-null ``lang`` among the documents that are not held out."""
     rows = documents(docs, "doc_id", "text", "lang").filter("lang is not null and text is not null")
     counts = stored_table(count_grams(rows.filter(~held_out(F.col("doc_id"), MODULUS))), "grams")
@@ -291,7 +297,7 @@ RESULT = pa.schema(
 
 
 def identify_languages(
-    docs: DataFrame, hash_bits: int = 22, deviations: float = 12.0
+    docs: DataFrame, hash_bits: int = 64, deviations: float = 12.0
 ) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score in [0, 1], rejected.
 
@@ -322,7 +328,7 @@ def identify_languages(
     )
 
 
-def keep_identified(docs: DataFrame, hash_bits: int = 22, deviations: float = 12.0) -> DataFrame:
+def keep_identified(docs: DataFrame, hash_bits: int = 64, deviations: float = 12.0) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is not rejected."""
     model = train(docs, hash_bits)
     limits = calibrate(docs, model, deviations)

@@ -118,3 +118,23 @@ def test_nothing_to_learn(spark):
     assert lid.identify_languages(docs.limit(0)).count() == 0
     blank = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in lid.identify_languages(blank).collect()} == {"und"}
+
+
+def test_entries_never_merge(spark):
+    """A wide alphabet, with the parameters of the query."""
+    rng = random.Random(6)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(150000))
+    docs = spark.createDataFrame([(1, text, "zh"), (3, "the cat sat", "en")], "doc_id long, text string, lang string")
+    rows = docs.collect()
+    assert not any(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows)
+    model, expected, t = lid.train(docs), brute(rows), plain(text)
+    grams = {t[i : i + 3] for i in range(len(t) - 2)}
+    entries = [grams, {g[:2] for g in grams}, {g[1:] for g in grams}, {g[1] for g in grams}, {g[2] for g in grams}]
+    assert len(model.arrays["zh"][0]) == sum(map(len, entries)) + 1
+    unseen = np.array([0x9100 << 42 | 0x9101 << 21 | 0x9102 + i for i in range(20000)])
+    assert not model.find("zh", lid.TRIGRAM, unseen)[0].any()
+    probe = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300))
+    got = model.entropies([probe])[0][0, model.langs.index("zh")]
+    t = plain(probe)
+    each = [math.log(expected["zh"](t[i : i + 3])) for i in range(len(t) - 2)]
+    assert got == pytest.approx(-sum(each) / len(each), rel=1e-9)
