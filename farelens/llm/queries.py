@@ -6,6 +6,7 @@ from farelens.llm.collision_search import nearest_neighbours
 from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
 from farelens.llm.mixing import mixing_probabilities
+from farelens.llm.pattern_packing import pack_best_fit
 from farelens.llm.personal_data import find_personal_data
 from farelens.llm.pitman_yor import score_texts
 from farelens.llm.pivots import near_duplicate_vectors
@@ -58,7 +59,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_pivots": op2_pivots, "op3_pitman_yor": op3_pitman_yor, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_token_counts": op6_token_counts, "op7_packing": op7_packing, "op8_neighbours": op8_neighbours, "op9_personal_data": op9_personal_data, "op10_language_id": op10_language_id}
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(_table(spark, sf_dir, "documents"), window=2048)
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_pivots": op2_pivots,
+    "op3_pitman_yor": op3_pitman_yor,
+    "op4_mixing": op4_mixing,
+    "op5_secrets": op5_secrets,
+    "op6_token_counts": op6_token_counts,
+    "op7_packing": op7_packing,
+    "op8_neighbours": op8_neighbours,
+    "op9_personal_data": op9_personal_data,
+    "op10_language_id": op10_language_id,
+    "op11_best_fit_packing": op11_best_fit_packing,
+}
 #: DuckDB has no XXH64 with a seed, positions of matches, tokenizer or sampling; links of vectors
 #: are the one result that SQL gives.
 ORACLES = {
