@@ -6,6 +6,7 @@ from farelens.llm.collision_search import nearest_neighbours
 from farelens.llm.histogram_packing import pack
 from farelens.llm.language_id import identify_languages
 from farelens.llm.mixing import mixing_probabilities
+from farelens.llm.pair_bitmaps import align_tokens
 from farelens.llm.pattern_packing import pack_best_fit
 from farelens.llm.personal_data import find_personal_data
 from farelens.llm.pitman_yor import score_texts
@@ -63,6 +64,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(_table(spark, sf_dir, "documents"), window=2048)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pivots": op2_pivots,
@@ -75,6 +80,7 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_language_id": op10_language_id,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
 }
 #: DuckDB has no XXH64 with a seed, positions of matches, tokenizer or sampling; links of vectors
 #: are the one result that SQL gives.

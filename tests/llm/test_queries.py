@@ -24,6 +24,9 @@ COLUMNS = {
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"
     ],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op12_token_alignment": [
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    ],
     "op11_best_fit_packing": [
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     ],
