@@ -9,6 +9,7 @@ from farelens.llm.mixing import mixing_probabilities
 from farelens.llm.pair_bitmaps import align_tokens
 from farelens.llm.pattern_packing import pack_best_fit
 from farelens.llm.personal_data import find_personal_data
+from farelens.llm.phrase_mining import mine_phrases
 from farelens.llm.pitman_yor import score_texts
 from farelens.llm.pivots import near_duplicate_vectors
 from farelens.llm.secrets import find_secrets
@@ -68,6 +69,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pivots": op2_pivots,
@@ -81,9 +86,10 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_token_alignment": op12_token_alignment,
+    "op13_phrases": op13_phrases,
 }
 #: DuckDB has no XXH64 with a seed, positions of matches, tokenizer or sampling; links of vectors
-#: are the one result that SQL gives.
+#: and phrases are the results that SQL gives.
 ORACLES = {
     "op2_pivots": """
         WITH RECURSIVE v AS (
@@ -106,4 +112,58 @@ ORACLES = {
                vec_id = component_id AS kept
         FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
         LEFT JOIN counts ON a = vec_id""",
+    "op13_phrases": r"""
+        WITH pieces AS MATERIALIZED (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents WHERE text IS NOT NULL
+        ),
+        lists AS MATERIALIZED (
+          SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[\x20\x09]+') IF w <> ''] AS words
+          FROM pieces
+        ),
+        begun AS (
+          SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM lists WHERE len(words) > 0
+        ),
+        f AS MATERIALIZED (
+          SELECT lang, words[i : i + k - 1] AS phrase, count(*) AS f
+          FROM (SELECT *, unnest(range(1, 6)) AS k FROM begun)
+          WHERE i + k - 1 <= len(words) GROUP BY ALL
+        ),
+        totals AS (SELECT lang, sum(f) AS n FROM f WHERE len(phrase) = 1 GROUP BY lang),
+        candidates AS MATERIALIZED (
+          SELECT lang, phrase, f AS a FROM f WHERE len(phrase) > 1 AND f >= 100
+        ),
+        parts AS MATERIALIZED (
+          SELECT *, phrase[1 : k] AS first, phrase[k + 1 :] AS rest
+          FROM (SELECT *, unnest(range(1, len(phrase))) AS k FROM candidates)
+        ),
+        cuts AS (
+          SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+                 1000::hugeint * a * n // (x.f::hugeint * y.f) AS score
+          FROM parts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first
+          JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+          JOIN totals ON totals.lang = c.lang
+        ),
+        lowest AS (
+          SELECT * FROM cuts
+          QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ),
+        inside AS (
+          SELECT lang, phrase[i : i + k - 1] AS phrase, max(a) AS longer
+          FROM (SELECT *, unnest(range(2, len(phrase))) AS k
+                FROM (SELECT *, unnest(range(1, len(phrase))) AS i FROM candidates))
+          WHERE i + k - 1 <= len(phrase) GROUP BY ALL
+        ),
+        ranked AS (
+          SELECT lowest.*, array_to_string(lowest.phrase, ' ') AS text
+          FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+          WHERE longer IS NULL OR 100 * longer < 100 * a
+        )
+        SELECT lang, rank, text AS phrase, a, l, r, CAST(n AS bigint) AS n,
+               CAST(score AS bigint) AS score
+        FROM (SELECT *, row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, a DESC, text) AS rank FROM ranked)
+        WHERE rank <= 2000""",
 }
