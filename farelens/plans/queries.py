@@ -412,9 +412,8 @@ def _export(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "tickets")
     offers = tables.offers(spark, sf_dir)
     routes = offers.select("origin", "destination", "adults").distinct()
-    asked = routes.filter(F.col("adults") < tables.MAX_ADULTS)  # full parties are not asked for
     ticket_export(
-        stored(landing.request_sweep(asked, *_sweep_ends(offers))),
+        stored(landing.request_sweep(routes, *_sweep_ends(offers))),
         offers,
         tables.airports(spark, sf_dir),
         tables.airlines(spark, sf_dir),

@@ -44,8 +44,19 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("l_shipdate").cast("date").cast("string").alias("day"),
     )
+    places = range(1, MAX_SEGMENTS + 1)
+    lines = lines.withColumns(
+        {
+            "stops": F.array(*map(_stop, range(MAX_SEGMENTS + 1))),
+            "carriers": F.array(*(F.expr(f"l_suppkey div {i}").cast("string") for i in places)),
+            "departs": F.array(*(_at(3 * (i - 1)) for i in places)),
+            "arrives": F.array(*(_at(3 * (i - 1) + 2) for i in places)),
+            "silent": (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"),
+        }
+    )
     n_segments = (F.col("l_linenumber") - 1) % (MAX_SEGMENTS + 1)
-    main = F.struct(_first(map(_segment, range(1, MAX_SEGMENTS + 1)), n_segments).alias("segments"))
+    numbers = F.slice(F.sequence(F.lit(1), F.lit(MAX_SEGMENTS)), F.lit(1), n_segments.cast("int"))
+    main = F.struct(F.transform(numbers, _segment).alias("segments"))
     back = F.struct(F.array(_return_segment()).alias("segments"))
     even = F.col("l_quantity").cast("long") % 2 == 0
 
@@ -70,30 +81,24 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(*[columns[name].alias(name) for name in OFFER.names])
 
 
-def _first(items, n: Column) -> Column:
-    """The first ``n``. Items at literal places stay in generated code, a transform does not."""
-    return F.slice(F.array(*items), F.lit(1), n.cast("int"))
-
-
 def _last(items, n: Column) -> Column:
     items = list(items)
     return F.slice(F.array(*items), len(items) + 1 - n, n)
 
 
-def _segment(i: int) -> Column:
+def _segment(i: Column) -> Column:
     """Segment ``i`` from 1: the airport moves on, the carrier key is the supplier's over i.
 
     Line items with flag N name no operating carrier on segment 1, those with A and F on none.
+    Put together from arrays by a number, not written out six times: code generated for that in
+    one method is past the 8,000 bytes up to which the JVM compiles, and runs interpreted.
     """
-    carrier = F.expr(f"l_suppkey div {i}").cast("string")
-    silent = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
-    if i == 1:
-        silent = silent | (F.col("l_returnflag") == "N")
-    departs, arrives = (F.lit(f"T{3 * (i - 1) + n:02d}:00:00") for n in (0, 2))
+    carrier = F.get("carriers", i - 1)
+    silent = F.col("silent") | ((i == 1) & (F.col("l_returnflag") == "N"))
     return F.struct(
-        F.lit(str(i)).alias("id"),
-        _leg_end(_stop(i - 1), departs).alias("departure"),
-        _leg_end(_stop(i), arrives).alias("arrival"),
+        F.get(F.lit([str(n) for n in range(1, MAX_SEGMENTS + 1)]), i - 1).alias("id"),
+        _leg_end(F.get("stops", i - 1), F.get("departs", i - 1)).alias("departure"),
+        _leg_end(F.get("stops", i), F.get("arrives", i - 1)).alias("arrival"),
         carrier.alias("carrierCode"),
         F.when(~silent, F.struct(carrier.alias("carrierCode"))).alias("operating"),
     )
@@ -102,15 +107,19 @@ def _segment(i: int) -> Column:
 def _return_segment() -> Column:
     return F.struct(
         F.lit("1").alias("id"),
-        _leg_end(_stop(1), F.lit("T12:00:00")).alias("departure"),
-        _leg_end(_stop(0), F.lit("T14:00:00")).alias("arrival"),
-        F.expr("l_suppkey div 2").cast("string").alias("carrierCode"),
+        _leg_end(F.get("stops", F.lit(1)), _at(12)).alias("departure"),
+        _leg_end(F.get("stops", F.lit(0)), _at(14)).alias("arrival"),
+        F.get("carriers", F.lit(1)).alias("carrierCode"),
         F.lit(None).cast("struct<carrierCode:string>").alias("operating"),
     )
 
 
-def _leg_end(code: Column, time: Column) -> Column:
-    return F.struct(code.alias("iataCode"), F.concat("day", time).alias("at"))
+def _leg_end(code: Column, at: Column) -> Column:
+    return F.struct(code.alias("iataCode"), at.alias("at"))
+
+
+def _at(hour: int) -> Column:
+    return F.concat("day", F.lit(f"T{hour:02d}:00:00"))
 
 
 def _stop(i: int) -> Column:
