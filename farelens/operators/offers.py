@@ -129,9 +129,7 @@ def dedup_offers(fares: DataFrame, key: tuple[str, ...] = OFFER_KEY) -> DataFram
     spread. ``row_number() = 1`` lets Spark cut each key to one row per map task before
     the shuffle, so a key shared by very many rows does not pile up in one task.
     """
-    ranks = [c for c in ("itinerary_pos", "traveler_number", "travelerId") if c in fares.columns]
-    rest = [c for c in fares.columns if c not in key and c not in ranks]
-    order = [F.asc_nulls_first(c) for c in (*ranks, *rest)]
+    order = [F.asc_nulls_first(c) for c in survivor_order(fares, key)]
     return (
         fares.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
         .filter("_rank = 1")
@@ -139,6 +137,19 @@ def dedup_offers(fares: DataFrame, key: tuple[str, ...] = OFFER_KEY) -> DataFram
     )
 
 
+def survivor_order(fares: DataFrame, key: tuple[str, ...] = OFFER_KEY) -> list[str]:
+    """The columns besides the key, in the order that decides which row of a key survives."""
+    ranks = [c for c in ("itinerary_pos", "traveler_number", "travelerId") if c in fares.columns]
+    return [*ranks, *(c for c in fares.columns if c not in key and c not in ranks)]
+
+
+def smallest_rows(fares: DataFrame, key: tuple[str, ...] = OFFER_KEY) -> DataFrame:
+    """The rows of :func:`dedup_offers` as an aggregate, which a stream can keep as state: the
+    smallest struct of a key in that order, nulls first. Equal keys combine before the shuffle."""
+    smallest = F.min(F.struct(*survivor_order(fares, key))).alias("smallest")
+    return fares.groupBy(*key).agg(smallest).select(*key, "smallest.*")
+
+
 def with_fare(leg_rows: DataFrame) -> DataFrame:
     """Legs with their fare, one row per offer."""
     return dedup_offers(add_fare(leg_rows)).drop("traveler_number", "travelerId")
@@ -203,6 +214,8 @@ __all__ = [
     "legs",
     "lowest_traveler",
     "offer_fares",
+    "smallest_rows",
+    "survivor_order",
     "travelers",
     "with_fare",
 ]

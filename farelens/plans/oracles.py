@@ -342,7 +342,13 @@ ORACLES = {
         GROUP BY weekday ORDER BY weekday""",
     "avg_price_30d": _AVG_30D,
     "avg_price_30d_stream": _AVG_30D,
+    "closed_windows_stream": f"""
+        SELECT * FROM ({_AVG_30D})
+        WHERE CAST(window_end AS timestamp) <= (
+          SELECT max(o_orderdate) - INTERVAL 400 DAY FROM orders
+        )""",
     "avg_price_by_company": _AVG_BY_COMPANY,
+    "avg_price_by_company_live": _AVG_BY_COMPANY,
     "avg_price_by_company_stream": _AVG_BY_COMPANY,
     "company_preview": f"{_AVG_BY_COMPANY} LIMIT 20",
     "ticket_counts": """
@@ -402,3 +408,5 @@ ORACLES = {
                strftime(TRY_CAST(day AS timestamp), '%Y-%m-%d %H:%M:%S') AS time
         FROM texts""",
 }
+for _name in ("dedup_by_id_direct", "dedup_by_id_connecting", "ticket_table_connecting"):
+    ORACLES[f"{_name}_stream"] = ORACLES[_name]

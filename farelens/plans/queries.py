@@ -16,7 +16,8 @@ from farelens.schemas import OFFER, REQUEST_KEY, TICKET
 from farelens.sources import dimensions, tickets as files
 from farelens.sources import offers as landing
 from farelens.streaming import metrics as streams
-from farelens.streaming.runner import run_to_memory
+from farelens.streaming import offers as offer_streams
+from farelens.streaming.runner import newest_rows, run_to_memory, start_table
 from farelens.workspace import scratch_dir, stored
 
 #: Decimals of prices and of event values, for averages that are exact.
@@ -149,6 +150,23 @@ def offer_fares(spark: SparkSession, sf_dir: str, stops: str) -> DataFrame:
 # --- tickets -------------------------------------------------------------------------
 
 
+def offer_fares_stream(
+    spark: SparkSession, sf_dir: str, stops: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """De-duplication as a stream; copies of an offer come in different batches."""
+    stream = _offer_stream(spark, sf_dir, max_files)
+    return _plain(offer_streams.stream_offer_fares(stream, stops))
+
+
+def ticket_table_stream(
+    spark: SparkSession, sf_dir: str, stops: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Landed offers to the ticket table as a stream."""
+    names = tables.airports(spark, sf_dir), tables.airlines(spark, sf_dir)
+    stream = _offer_stream(spark, sf_dir, max_files)
+    return _plain(tix.ticket_table(offer_streams.stream_plane_tickets(stream, *names, stops)))
+
+
 def join_airline(spark: SparkSession, sf_dir: str) -> DataFrame:
     its = ops.itineraries(ops.bookable_offers(tables.offers(spark, sf_dir)))
     named = tix.with_company(ops.direct_legs(its), tables.airlines(spark, sf_dir))
@@ -219,6 +237,23 @@ def avg_price_30d_stream(
     return _plain(streams.stream_avg_price_by_window(tickets, exact=CENTS))
 
 
+def closed_windows_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Windows that are final once all orders have come, each written once. Years land one after
+    the other and the watermark is longer than a year, so no order is late."""
+    path = scratch_dir(spark, "staged")
+    orders = _by_year(tables.table(spark, sf_dir, "orders"))
+    first, last = orders.agg(F.min("year"), F.max("year")).first()
+    for year in range(first, last + 1):
+        orders.filter(F.col("year") == year).drop("year").write.parquet(f"{path}/year={year}")
+    stream = files.stream_files(spark, path, orders.schema, "parquet", max_files=max_files)
+    windows, _ = streams.stream_closed_windows(
+        stream, scratch_dir(spark, "closed"), watermark="400 days", exact=CENTS
+    )
+    return _plain(windows)
+
+
 def avg_price_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.table(spark, sf_dir, "lineitem")
     return metrics.avg_price_by_company(tables.line_tickets(lines), exact=CENTS)
@@ -233,6 +268,21 @@ def avg_price_by_company_stream(
     return streams.stream_avg_price_by_company(tickets, exact=CENTS)
 
 
+def avg_price_by_company_live(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """The same from a stream that keeps running: started, caught up, stopped, and read."""
+    tickets = _ticket_stream(_by_line(tables.table(spark, sf_dir, "lineitem")), "line", max_files)
+    averages = metrics.avg_price_by_company(tickets, exact=CENTS)
+    path, newest = scratch_dir(spark, "table"), partial(newest_rows, keys=["Company"])
+    running = start_table(averages, path, newest, every="0 seconds", compact_every=2)
+    try:
+        running.catch_up()
+    finally:
+        running.stop()
+    return running.table.read().orderBy("Company")
+
+
 def company_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the console shows of the company averages: the first 20 rows in order."""
     lines = tables.table(spark, sf_dir, "lineitem")
@@ -392,6 +442,15 @@ def _ticket_stream(tickets: DataFrame, by: str, max_files: int) -> DataFrame:
     return _staged_stream(tickets, by, max_files).select(*TICKET.names)
 
 
+def _offer_stream(spark: SparkSession, sf_dir: str, max_files: int) -> DataFrame:
+    """Offers landed by the number of their segments, in which copies of an offer differ."""
+    n_segments = F.coalesce(F.size(F.get("itineraries", 0)["segments"]), F.lit(-1))
+    path = scratch_dir(spark, "staged")
+    landed = tables.offers(spark, sf_dir).withColumn("landing", n_segments)
+    landed.hint("rebalance", "landing").write.partitionBy("landing").parquet(path)
+    return landing.stream_offers(spark, path, "parquet", max_files=max_files)
+
+
 def _sweep_ends(offers: DataFrame) -> tuple:
     """First and last request date on offer; reads the one column they come from."""
     return tuple(offers.agg(F.min("request_date"), F.max("request_date")).first())
@@ -469,6 +528,9 @@ QUERIES = {
     "connecting_legs": connecting_legs,
     "dedup_by_id_direct": partial(offer_fares, stops="direct"),
     "dedup_by_id_connecting": partial(offer_fares, stops="connecting"),
+    "dedup_by_id_direct_stream": partial(offer_fares_stream, stops="direct"),
+    "dedup_by_id_connecting_stream": partial(offer_fares_stream, stops="connecting"),
+    "ticket_table_connecting_stream": partial(ticket_table_stream, stops="connecting"),
     "join_airline": join_airline,
     "join_airport_roles": join_airport_roles,
     "direct_tickets": partial(plane_tickets, stops="direct"),
@@ -480,8 +542,10 @@ QUERIES = {
     "export_to_stream": export_to_stream,
     "avg_price_30d": avg_price_30d,
     "avg_price_30d_stream": avg_price_30d_stream,
+    "closed_windows_stream": closed_windows_stream,
     "avg_price_by_company": avg_price_by_company,
     "avg_price_by_company_stream": avg_price_by_company_stream,
+    "avg_price_by_company_live": avg_price_by_company_live,
     "company_preview": company_preview,
     "ticket_counts": ticket_counts,
     "price_points": price_points,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelens.schemas import OFFER, REQUEST_KEY
+from farelens.sources.tickets import stream_files
 
 
 def read_offers(
@@ -26,6 +27,18 @@ def read_offers(
     return reader.load(path).select(*OFFER.names, corrupt)
 
 
+def stream_offers(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "json",
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """Landed offers as a stream; see :func:`farelens.sources.tickets.stream_files`."""
+    stream = stream_files(spark, path, OFFER, fmt, max_files=max_files, max_bytes=max_bytes)
+    return stream.select(*OFFER.names)
+
+
 def write_offers(offers: DataFrame, path: str, fmt: str = "json") -> None:
     """Land offers, one folder per request.
 

@@ -1,10 +1,14 @@
 """The ticket metrics as streams.
 
-A metric over distinct tickets has two levels. Two chained aggregations cannot stream in
-one query, so the stream maintains the first level as a table and the second is a batch
-query over that table. The first level counts per key: unlike a streaming
-``dropDuplicates``, that combines equal keys before the shuffle, so one ticket repeated very
-often does not overload the task that owns it.
+A metric over distinct tickets has two levels, and the table holds the second: a batch adds what
+its *new* keys contribute, so reading costs the groups and not the tickets. The stream's state knows
+per key the time of the first and of the last batch that had it; a key is new where both are the
+same. Unlike a streaming ``dropDuplicates`` this combines equal keys before the shuffle, so one ticket
+repeated very often does not overload the task that owns it. Batch times are kept in the checkpoint,
+so a repeated batch finds the same new keys and replaces its own rows.
+
+With a watermark, companies and their tickets are counted from a table of the distinct keys, as a key
+that state has forgotten must not count twice.
 
 All take the same options: ``name`` of the query; ``state_partitions``; ``exact`` as in
 :func:`farelens.operators.metrics.mean`; ``path`` of the result table, to go on from an earlier
@@ -13,12 +17,14 @@ run, by default a new one in the shared folder; and, where the metric has a depa
 forgotten, and rows that come even later are left out. The table keeps its rows.
 """
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.functions import as_event_time
+from farelens.functions import as_date, as_event_time
 from farelens.operators import metrics
-from farelens.streaming.runner import run_to_table
+from farelens.streaming.runner import append_to_files, run_table, run_to_table, summed_rows
 from farelens.workspace import scratch_dir
 
 
@@ -55,8 +61,12 @@ def stream_tickets_by_company(
     watermark: str | None = None,
     **options,
 ) -> DataFrame:
-    distinct = _distinct(tickets, (*key_cols, company), time, watermark, **options)
-    return metrics.company_totals(distinct, company)
+    keys = (*key_cols, company)
+    if watermark is not None:
+        return metrics.company_totals(_distinct(tickets, keys, time, watermark, **options), company)
+    added = partial(_new_tickets, company=company)
+    table = _sums(first_seen(tickets, keys), added, [company], **options)
+    return table.orderBy(F.desc("n_tickets"), company)
 
 
 def stream_avg_price_by_weekday(
@@ -68,16 +78,68 @@ def stream_avg_price_by_weekday(
     exact: int | None = None,
     **options,
 ) -> DataFrame:
-    distinct = _distinct(tickets, (time, price, id_col), time, watermark, **options)
-    return metrics.weekday_averages(distinct, time, price, exact)
+    keys = (time, price, id_col)
+    if watermark is not None:
+        distinct = _distinct(tickets, keys, time, watermark, **options)
+        return metrics.weekday_averages(distinct, time, price, exact)
+    added = partial(_new_prices, time=time, price=price, exact=exact)
+    sums = _sums(first_seen(tickets, keys), added, ["weekday"], **options)
+    average = F.try_divide(F.col("total").cast("double"), F.col("n")).alias("avg_price")
+    return sums.select("weekday", average).orderBy("weekday")
+
+
+def stream_closed_windows(
+    tickets: DataFrame,
+    path: str,
+    watermark: str,
+    width: str = "30 days",
+    time: str = "date_de_depart",
+    price: str = "price",
+    exact: int | None = None,
+    **options,
+) -> tuple[DataFrame, list[dict]]:
+    """Average price of each departure window, written once, when it is closed.
+
+    A window is closed when the latest departure of earlier batches lies ``watermark`` past its end;
+    windows that are still open are not in the table. Rows later than that are left out and counted:
+    returns the table under ``path`` and the progress of each batch with its ``late_rows``.
+    """
+    averages = metrics.avg_price_by_window(tickets, width, time, price, watermark, exact)
+    progress = append_to_files(averages, path, **options)
+    table = tickets.sparkSession.read.schema(averages.schema).parquet(path)
+    return table.orderBy("window_start"), progress
+
+
+def first_seen(tickets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Keys with the time of the first and of the last batch that had them."""
+    rows = tickets.select(*keys, F.current_timestamp().alias("batch_time"))
+    return rows.groupBy(*keys).agg(
+        F.min("batch_time").alias("first_seen"), F.max("batch_time").alias("last_seen")
+    )
+
+
+def _new_tickets(batch: DataFrame, company: str) -> DataFrame:
+    new = batch.filter("first_seen = last_seen").groupBy(company)
+    return new.agg(F.count(F.lit(1)).alias("n_tickets"))
+
+
+def _new_prices(batch: DataFrame, time: str, price: str, exact: int | None) -> DataFrame:
+    value = F.col(price) if exact is None else F.col(price).cast(f"decimal(18,{exact})")
+    new = batch.filter("first_seen = last_seen").groupBy(F.dayofweek(as_date(time)).alias("weekday"))
+    return new.agg(F.sum(value).alias("total"), F.count(price).alias("n"))
+
+
+def _sums(
+    result: DataFrame, added, keys: list[str], path: str | None = None, **options
+) -> DataFrame:
+    path = path or scratch_dir(result.sparkSession, "table")
+    return run_table(result, path, partial(summed_rows, keys=keys), change=added, **options)
 
 
 def _distinct(
-    tickets: DataFrame, keys: tuple[str, ...], time: str, watermark: str | None, **options
+    tickets: DataFrame, keys: tuple[str, ...], time: str, watermark: str, **options
 ) -> DataFrame:
-    """Distinct keys; with a watermark they are counted per departure, which it can forget."""
-    if watermark is None:
-        return _table(metrics.ticket_counts(tickets, keys), keys, **options).select(*keys)
+    """Distinct keys, counted per departure, which the watermark can forget."""
     instant = as_event_time(tickets, time).cast("timestamp")
     rows = tickets.select(*keys, instant.alias("event_time")).withWatermark("event_time", watermark)
     keyed = ("event_time", *keys)

@@ -1,21 +1,26 @@
-"""Start a stream over what is there, wait for it, hand back its result table."""
+"""Streams into tables: run over what is there, or keep running and be asked."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from functools import partial
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from farelens.workspace import delete, folders
+from farelens.streaming import manifests
+from farelens.workspace import folders
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _starting = Lock()
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, state_partitions: int | None = None):
+def stream_settings(
+    spark: SparkSession, state_partitions: int | None = None, reports: int | None = None
+):
     """Session settings that a stream copies when it starts.
 
     RocksDB keeps state on disk, so it may outgrow executor memory, and uploads only the
@@ -29,6 +34,8 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None):
     }
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if reports:
+        wanted["spark.sql.streaming.numRecentProgressUpdates"] = str(reports)
     with _starting:
         before = {key: spark.conf.get(key, None) for key in wanted}
         for key, value in wanted.items():
@@ -63,84 +70,171 @@ def run_to_memory(
     return spark.table(name)
 
 
-def run_to_table(
+class StreamTable:
+    """A table that a stream maintains under ``path``, version by version.
+
+    Every micro-batch writes its changes into a folder of its own, so a batch repeated after a
+    failure replaces its own rows, and counts from the moment its manifest is there. ``fold``
+    makes the table's rows of all changes, told apart by ``batch_id``. Every ``compact_every``
+    batches the folded rows become a snapshot, and what it covers is deleted once no reader holds
+    it: see :mod:`farelens.streaming.manifests`.
+
+    The checkpoint is part of the table: ``path`` holds both, so start again with the same path to
+    take up new files. A table that has lost its checkpoint is refused, as a stream that starts
+    anew would number its batches below those that are there.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        fold: Callable[[DataFrame], DataFrame],
+        compact_every: int = 10,
+    ) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+        self.fold, self.compact_every = fold, compact_every
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.path}/_checkpoint"
+
+    def check(self) -> None:
+        lost = not folders(self.spark, self.checkpoint)
+        if lost and manifests.newest(self.spark, self.path) is not None:
+            raise ValueError(f"{self.path} holds batches of a stream whose checkpoint is gone")
+
+    def write(self, changes: DataFrame, batch_id: int) -> None:
+        now = manifests.newest(self.spark, self.path) or manifests.Manifest(-1, None, ())
+        if batch_id <= now.version:
+            # Repeated after its commit. The rows are there, but state is only committed for a
+            # batch that has been computed.
+            changes.write.format("noop").mode("overwrite").save()
+            return
+        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        after = manifests.Manifest(batch_id, now.snapshot, (*now.batches, batch_id))
+        whole = (batch_id + 1) % self.compact_every == 0
+        if whole:
+            rows = self.rows(after).hint("rebalance")
+            rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={batch_id}")
+            after = manifests.Manifest(batch_id, batch_id, ())
+        manifests.commit(self.spark, self.path, after)
+        if whole:
+            manifests.vacuum(self.spark, self.path)
+
+    def rows(self, manifest: manifests.Manifest | None) -> DataFrame:
+        """What the table holds in a version."""
+        changes = self.spark.createDataFrame([], T.StructType([*self.schema.fields, _BATCH]))
+        if manifest and manifest.folders():
+            number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch_id|upto)=(\d+)/", 1)
+            paths = [f"{self.path}/{folder}" for folder in manifest.folders()]
+            files = self.spark.read.schema(self.schema).parquet(*paths)
+            changes = files.select("*", number.cast("long").alias("batch_id"))
+        return self.fold(changes)
+
+    def read(self) -> DataFrame:
+        """What the table holds now. While the stream runs, use :meth:`pinned`: a compaction may
+        delete what this reads before it is computed."""
+        return self.rows(manifests.newest(self.spark, self.path))
+
+    @contextmanager
+    def pinned(self):
+        """The newest version as a table that stays readable, and the same, within the block."""
+        with manifests.pinned(self.spark, self.path) as manifest:
+            yield self.rows(manifest)
+
+
+class RunningTable:
+    """A stream that maintains a table: ask for its progress, read it while it runs, stop it."""
+
+    def __init__(self, query: StreamingQuery, table: StreamTable) -> None:
+        self.query, self.table = query, table
+
+    @property
+    def name(self) -> str | None:
+        return self.query.name
+
+    @property
+    def is_active(self) -> bool:
+        return self.query.isActive
+
+    def progress(self) -> list[dict]:
+        """Per batch that Spark still reports (the last 100 unless
+        ``spark.sql.streaming.numRecentProgressUpdates`` says otherwise): its number, rows taken,
+        milliseconds, rows of state kept, and rows left out as later than the watermark."""
+        return [batch_progress(p) for p in self.query.recentProgress]
+
+    def catch_up(self) -> None:
+        """Wait until everything that is there now has been taken."""
+        self.query.processAllAvailable()
+
+    def wait(self, seconds: float | None = None) -> bool:
+        """Wait for the end of the stream, an error included; whether it ended."""
+        if seconds is None:
+            self.query.awaitTermination()
+            return True
+        return self.query.awaitTermination(seconds)
+
+    def stop(self) -> None:
+        """End the stream. A batch that is cut off is repeated by the next start."""
+        self.query.stop()
+
+    def pinned(self):
+        return self.table.pinned()
+
+
+def batch_progress(report) -> dict:
+    return {
+        "batch": report.batchId,
+        "rows": report.numInputRows,
+        "milliseconds": report.batchDuration,
+        "state_rows": sum(s.numRowsTotal for s in report.stateOperators),
+        "late_rows": sum(s.numRowsDroppedByWatermark for s in report.stateOperators),
+    }
+
+
+def start_table(
     result: DataFrame,
     path: str,
-    keys: Sequence[str],
+    fold: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     name: str | None = None,
     state_partitions: int | None = None,
     compact_every: int = 10,
-) -> DataFrame:
-    """Changed rows of every micro-batch as Parquet, and the newest row of each key.
-
-    Update mode writes what a batch changed, not the whole result again. A batch owns its
-    folder, so a batch repeated after a failure replaces its own rows. Every ``compact_every``
-    batches the newest row of each key is written as a snapshot, and what it covers is deleted;
-    the snapshot counts from the moment that Spark has marked it as complete.
+    every: str | None = None,
+) -> RunningTable:
+    """Start a stream in update mode whose batches, by way of ``change``, go into a table.
 
-    The checkpoint is part of the table: ``path`` holds both, so run again with the same path
-    to take up new files. A table that has lost its checkpoint is refused, as a stream that
-    starts anew would number its batches below those that are there.
+    ``every`` is the time between batches, such as "10 seconds", of a stream that keeps running;
+    without it the stream takes what is there now, in several batches, and ends.
     """
     spark = result.sparkSession
-    checkpoint = f"{path}/_checkpoint"
-    if _batches(spark, path) and not folders(spark, checkpoint):
-        raise ValueError(f"{path} holds batches of a stream whose checkpoint is gone")
-    schema = result.schema
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        done = _snapshot(spark, path)
-        if done is not None and batch_id <= done:
-            return  # repeated after its snapshot: the same rows are in there
-        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            newest = read_table(spark, path, schema, keys).hint("rebalance")
-            newest.write.mode("overwrite").parquet(f"{path}/snapshots/upto={batch_id}")
-            for n in _batches(spark, path):
-                if n <= batch_id:
-                    delete(spark, f"{path}/changes/batch_id={n}")
-            if done is not None:
-                delete(spark, f"{path}/snapshots/upto={done}")
-
-    writer = result.writeStream.outputMode("update").foreachBatch(write)
+    empty = spark.createDataFrame([], result.schema)
+    table = StreamTable(spark, path, change(empty).schema, fold, compact_every)
+    table.check()
+    writer = result.writeStream.outputMode("update").option("checkpointLocation", table.checkpoint)
+    writer = writer.foreachBatch(lambda batch, batch_id: table.write(change(batch), batch_id))
     if name:
         writer = writer.queryName(name)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     with stream_settings(spark, state_partitions):
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return read_table(spark, path, schema, keys)
-
-
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
-) -> DataFrame:
-    """What the table holds now: the snapshot and the batches after it."""
-    done = _snapshot(spark, path)
-    parts = [(n, f"{path}/changes/batch_id={n}") for n in _batches(spark, path)]
-    parts = [part for part in parts if done is None or part[0] > done]
-    if done is not None:
-        parts.append((done, f"{path}/snapshots/upto={done}"))
-    changes = spark.createDataFrame([], T.StructType([*schema.fields, _BATCH]))
-    if parts:
-        number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch_id|upto)=(\d+)/", 1)
-        files = spark.read.schema(schema).parquet(*(p for _, p in parts))
-        changes = files.select("*", number.cast("long").alias("batch_id"))
-    return newest_rows(changes, keys)
+        return RunningTable(writer.start(), table)
 
 
-_BATCH = T.StructField("batch_id", T.LongType())
+def run_table(result: DataFrame, path: str, fold, **options) -> DataFrame:
+    """Take what is there now; the table after that."""
+    running = start_table(result, path, fold, **options)
+    running.wait()
+    return running.table.read()
 
 
-def _batches(spark: SparkSession, path: str) -> list[int]:
-    names = folders(spark, f"{path}/changes")
-    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id="))
+def run_to_table(result: DataFrame, path: str, keys: Sequence[str], **options) -> DataFrame:
+    """Changed rows of every micro-batch, and of each key the newest one. Update mode writes what a
+    batch changed, not the whole result again. ``options`` as in :func:`start_table`."""
+    return run_table(result, path, partial(newest_rows, keys=keys), **options)
 
 
-def _snapshot(spark: SparkSession, path: str) -> int | None:
-    """The last complete snapshot."""
-    found = [n for n in folders(spark, f"{path}/snapshots") if n.startswith("upto=")]
-    whole = [n for n in found if "_SUCCESS" in folders(spark, f"{path}/snapshots/{n}")]
-    return max((int(n.partition("=")[2]) for n in whole), default=None)
+_BATCH = T.StructField("batch_id", T.LongType())
 
 
 def newest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -150,3 +244,37 @@ def newest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not newest:
         return changes.select(*keys).distinct()
     return changes.groupBy(*keys).agg(*newest)
+
+
+def summed_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums of what the batches added to each key. Types stay those of the changes."""
+    added = [f for f in changes.schema.fields if f.name not in (*keys, "batch_id")]
+    sums = [F.sum(f.name).cast(f.dataType).alias(f.name) for f in added]
+    return changes.groupBy(*keys).agg(*sums)
+
+
+# --- append -----------------------------------------------------------------------------
+
+
+def append_to_files(
+    result: DataFrame,
+    path: str,
+    name: str | None = None,
+    state_partitions: int | None = None,
+) -> list[dict]:
+    """Append mode into Spark's file sink: a row is written once, when the watermark says that it
+    is final. The sink's log names the files of every batch, and ``spark.read.parquet`` reads only
+    those, so a batch repeated after a failure leaves no second copy.
+
+    Takes what is there now and returns the progress of each batch, as in
+    :meth:`RunningTable.progress`; ``late_rows`` are those that came behind the watermark.
+    """
+    spark = result.sparkSession
+    writer = result.writeStream.format("parquet").outputMode("append").option("path", path)
+    writer = writer.option("checkpointLocation", f"{path}/_checkpoint").trigger(availableNow=True)
+    if name:
+        writer = writer.queryName(name)
+    with stream_settings(spark, state_partitions, reports=100_000):
+        query = writer.start()
+    query.awaitTermination()
+    return [batch_progress(p) for p in query.recentProgress]

@@ -57,6 +57,35 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in store.listStatus(target)]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small ASCII file that appears whole: written beside its place and renamed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = target.getParent()
+    beside = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{uuid.uuid4().hex}.part")
+    stream = store.create(beside, True)
+    try:
+        stream.writeBytes(text)
+    finally:
+        stream.close()
+    if not store.rename(beside, target):
+        store.delete(beside, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return None
+    stream = store.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a small derived table to the shared folder and read it back.
 

@@ -1,6 +1,7 @@
 import os
 import random
 import time
+from functools import partial
 
 import pytest
 from pyspark.sql.streaming import StreamingQueryListener
@@ -9,8 +10,14 @@ from farelens.operators import metrics
 from farelens.plans.queries import QUERIES
 from farelens.sources import tickets as files
 from farelens.streaming import metrics as streams
-from farelens.streaming import runner
-from farelens.streaming.runner import newest_rows, run_to_memory, run_to_table
+from farelens.streaming import manifests, runner
+from farelens.streaming.runner import (
+    newest_rows,
+    run_to_memory,
+    run_to_table,
+    start_table,
+    summed_rows,
+)
 from farelens.workspace import delete, folders, scratch_dir, scratch_scope, stored
 
 HEADER = ",".join(f"column{n}" for n in range(16))
@@ -238,20 +245,167 @@ def test_a_table_without_its_checkpoint_is_refused(spark, tmp_path):
         company_table(spark, tmp_path / "in", out)
 
 
-def test_restart_after_a_failed_batch(spark, tmp_path, monkeypatch):
+def failing(*args):
+    raise OSError("lost on the way")
+
+
+@pytest.mark.parametrize(
+    "owner, step", [(runner.StreamTable, "rows"), (manifests, "commit"), (manifests, "vacuum")]
+)
+def test_restart_after_a_crash(spark, tmp_path, monkeypatch, owner, step):
+    """Before the snapshot, between it and its commit, between its commit and the deletion."""
     out = scratch_dir(spark, "table")
     for n in range(4):
         numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
-    original = runner.read_table
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, failing)
+        with pytest.raises(Exception, match="lost on the way"):
+            company_table(spark, tmp_path / "in", out, compact_every=2)
+    assert rows(company_table(spark, tmp_path / "in", out, compact_every=2)) == [("A", 4)]
+    assert folders(spark, f"{out}/snapshots") == ["upto=3"]
+    assert folders(spark, f"{out}/changes") == []
 
-    def failing(*args):
-        raise OSError("lost while compacting")
 
-    monkeypatch.setattr(runner, "read_table", failing)
-    with pytest.raises(Exception, match="lost while compacting"):
-        company_table(spark, tmp_path / "in", out, compact_every=2)
-    monkeypatch.setattr(runner, "read_table", original)
-    assert rows(company_table(spark, tmp_path / "in", out, compact_every=2)) == [("A", 4)]
+def test_a_checkpoint_lost_right_after_a_compaction_is_refused(spark, tmp_path):
+    out = scratch_dir(spark, "table")
+    for n in range(2):
+        numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+    company_table(spark, tmp_path / "in", out, compact_every=2)
+    assert folders(spark, f"{out}/changes") == []
+    delete(spark, f"{out}/_checkpoint")
+    with pytest.raises(ValueError):
+        company_table(spark, tmp_path / "in", out)
+
+
+def test_a_reader_keeps_its_version_over_compactions(spark, tmp_path):
+    out = scratch_dir(spark, "table")
+    (tmp_path / "in").mkdir()
+    counts = metrics.ticket_counts(
+        files.stream_tickets(spark, str(tmp_path / "in"), max_files=1), ["Company"]
+    )
+    newest = partial(newest_rows, keys=["Company"])
+
+    def run(upto):
+        for n in range(upto):
+            if not (tmp_path / "in" / f"day-{n:03d}.csv").exists():
+                numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+        running = start_table(counts, out, newest, compact_every=2)
+        running.wait()
+        return running
+
+    with run(0).pinned() as nothing:
+        assert rows(nothing) == []
+    with run(3).pinned() as before:  # a snapshot of two batches and one more
+        with run(4).pinned() as during:
+            later = run(9)
+            assert rows(before) == [("A", 3)] and rows(during) == [("A", 4)]
+            assert {"upto=1", "upto=3", "upto=7"} <= set(folders(spark, f"{out}/snapshots"))
+    run(10)
+    assert rows(later.table.read()) == [("A", 10)]
+    assert folders(spark, f"{out}/snapshots") == ["upto=9"]
+    assert folders(spark, f"{out}/changes") == folders(spark, f"{out}/_leases") == []
+
+
+def test_a_lease_left_behind_expires(spark):
+    out = scratch_dir(spark, "table")
+    for n, manifest in enumerate([manifests.Manifest(0, None, (0,)), manifests.Manifest(1, 1, ())]):
+        for folder in manifest.folders():
+            spark.range(1).write.parquet(f"{out}/{folder}")
+        manifests.commit(spark, out, manifest)
+        if n == 0:
+            holder = manifests.pinned(spark, out)
+            assert holder.__enter__() == manifest
+    manifests.vacuum(spark, out)
+    assert folders(spark, f"{out}/changes") == ["batch_id=0"]
+    manifests.vacuum(spark, out, lease_hours=0)
+    assert folders(spark, f"{out}/changes") == [] and manifests.newest(spark, out).version == 1
+
+
+def test_a_running_stream_can_be_asked(spark, tmp_path):
+    numbered(tmp_path / "in", 0, line(0, "2023-01-14", 1.0, "A"))
+    source = files.stream_tickets(spark, str(tmp_path / "in"), max_files=1)
+    running = start_table(
+        metrics.ticket_counts(source, ["Company"]),
+        scratch_dir(spark, "table"),
+        partial(newest_rows, keys=["Company"]),
+        name="asked",
+        every="0 seconds",
+        compact_every=2,
+        state_partitions=2,
+    )
+    try:
+        for n in range(1, 5):
+            running.catch_up()
+            with running.pinned() as now:
+                assert rows(now) == [("A", n)]
+                numbered(tmp_path / "in", n, line(n, "2023-01-14", 1.0, "A"))
+        running.catch_up()
+        assert running.is_active and running.name == "asked"
+        assert [q.name for q in spark.streams.active] == ["asked"]
+        assert not running.wait(0.01)
+        taken = [p for p in running.progress() if p["rows"]]
+        assert [p["rows"] for p in taken] == [1] * 5
+        assert taken[-1]["state_rows"] == 1 and taken[-1]["late_rows"] == 0
+    finally:
+        running.stop()
+    assert not running.is_active and running.wait() and not spark.streams.active
+    assert rows(running.table.read()) == [("A", 5)]
+
+
+@pytest.mark.parametrize("name", ["tickets", "weekday"])
+def test_second_level_is_maintained(spark, tmp_path, lines, name, monkeypatch):
+    """The table holds rows per group, not per ticket; exact over batches, a crash and a restart."""
+    batch, stream = PAIRS[name]
+    out, folder = scratch_dir(spark, "table"), tmp_path / "in"
+    for n in range(6):
+        numbered(folder, n, "\n".join(lines[n::7]))
+
+    def run():
+        return rows(stream(files.stream_tickets(spark, str(folder), max_files=1), path=out, exact=2)
+                    if name == "weekday"
+                    else stream(files.stream_tickets(spark, str(folder), max_files=1), path=out))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(manifests, "commit", failing)
+        with pytest.raises(Exception, match="lost on the way"):
+            run()
+    run()
+    numbered(folder, 6, "\n".join([*lines[6::7], *lines[:40]]))  # copies of earlier tickets
+    found = run()
+    table = files.read_tickets(spark, str(folder))
+    expected = batch(table, exact=2) if name == "weekday" else batch(table)
+    assert found == rows(expected) and run() == found
+    held = spark.read.parquet(f"{out}/changes").count()
+    assert held <= 7 * len(found) and len(folders(spark, f"{out}/changes")) == 7
+
+
+def test_sums_of_changes(spark):
+    changes = spark.createDataFrame(
+        [("a", 1, 0), ("a", 2, 1), ("b", 5, 0), (None, 7, 2), (None, None, 3)],
+        "k string, n long, batch_id long",
+    )
+    found = summed_rows(changes, ["k"])
+    assert sorted(rows(found), key=str) == [("a", 3), ("b", 5), (None, 7)]
+    assert found.schema["n"].dataType == changes.schema["n"].dataType
+
+
+def test_closed_windows_are_written_once_and_late_rows_counted(spark, tmp_path):
+    out = scratch_dir(spark, "closed")
+    days = ["2023-01-02", "2023-03-05", "2023-06-10", "2023-01-03", "2023-09-20"]
+
+    def run(upto):
+        for n in range(upto):
+            numbered(tmp_path / "in", n, line(n, days[n], 10.0 * (n + 1), "A"))
+        source = files.stream_tickets(spark, str(tmp_path / "in"), max_files=1)
+        found, progress = streams.stream_closed_windows(
+            source, out, watermark="10 days", exact=2, state_partitions=2
+        )
+        return [r.avg_price for r in found.collect()], sum(p["late_rows"] for p in progress)
+
+    assert run(3) == ([10.0, 20.0], 0)  # the window of June is open
+    assert run(3) == ([10.0, 20.0], 0)
+    assert run(4) == ([10.0, 20.0], 1)  # January again, long closed
+    assert run(5) == ([10.0, 20.0, 30.0], 0)
 
 
 @pytest.mark.parametrize("metric", ["tickets", "weekday"])
@@ -320,6 +474,9 @@ def test_scratch_scope_deletes_what_was_made_within(spark):
         "avg_price_by_weekday_stream",
         "stream_events_by_type",
         "export_to_stream",
+        "dedup_by_id_connecting_stream",
+        "closed_windows_stream",
+        "avg_price_by_company_live",
     ],
 )
 def test_registered_streams_take_several_batches(spark, query):
