@@ -15,10 +15,10 @@ the pattern whose range covers n. Ranks come from per-task counters and a table
 task and bin, so a bin that holds a third of all pieces is never sorted or gathered.
 """
 
+import json
 import os
 import re
 import zlib
-from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import Words, batch_of, documents, map_arrow, stored_table
-from farelens.llm.token_counts import byte_letters
+from farelens.llm.common import batch_of, documents, map_arrow, stored_table
+from farelens.llm.token_counts import END, byte_letters
 
 PIECE = pa.schema(
     [
@@ -51,86 +51,79 @@ PIECE_TYPE = (
 
 # --- token ids ------------------------------------------------------------------------
 
-#: Words of these characters are split by the vocabulary's own rule here; they are already in
-#: composed form and their lower case does not depend on what stands beside them.
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+#: Characters whose words are split by the vocabulary's own rule here: they are in composed form
+#: and their lower case does not depend on what stands beside them.
+PLAIN = re.compile("[ \t\n\x0b\x0c\r!-~À-ÖØ-öø-ÿ]*").fullmatch
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\x0b\x0c\ra-zß-öø-ÿ0-9]+").findall
+SPACES = re.compile("[ \t\n\x0b\x0c\r]+").split
+#: The character that stands for the end of a part; it is not among the plain ones.
+MARK = "\0"
 
 
-class WordIds:
-    """Ids of one word at a time. No rule of the vocabulary reaches over white space."""
+class WordBpe:
+    """Ids of a ``tokenizers`` file with marked word ends, merged by ``tiktoken``.
+
+    The mark is a byte of its own, and a byte with it the first merge, so what is left are the
+    vocabulary's merges in their order. ``tiktoken`` merges whatever neighbours spell a token, where
+    the file names the two parts of each. Both are the same as long as each token is what its own
+    bytes merge to: before a merge of rank r all lower ones within its bytes are done, as they would
+    be for these bytes alone (a test checks every token). No rule reaches over white space; words
+    with other characters or a special token's string go to ``tokenizers``.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
-        self.letters = byte_letters()
-        self.parts: dict[str, list[int]] = {}
-
-    def __call__(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8", "replace")
-        if not PLAIN(text) or self.special(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        byte = {letter: b for b, letter in byte_letters().items()}
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        ranks = {}
+        for piece, i in vocabulary.items():
+            if piece not in special:
+                ends = piece.endswith(END) and piece != END
+                raw = bytes(byte[c] for c in (piece[: -len(END)] if ends else piece))
+                ranks[raw + MARK.encode() if ends else raw] = i
+        self.merges = tiktoken.Encoding(
+            "words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def ids(self, text: str) -> list[int]:
+        if PLAIN(text) and not self.special(text):
+            return self.plain(text)
+        found, run = [], []
+        for word in SPACES(text):
+            if PLAIN(word) and not self.special(word):
+                run.append(word)
+            else:
+                found += self.plain(" ".join(run))
+                found += self.tokenizer.encode(word, add_special_tokens=False).ids
+                run = []
+        return found + self.plain(" ".join(run))
+
+    def plain(self, text: str) -> list[int]:
         parts = PARTS(text.lower())
-        return self.part(parts[0]) if len(parts) == 1 else [i for p in parts for i in self.part(p)]
-
-    def part(self, part: str) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) > 1 << 18:
-                self.parts.clear()
-            letters = part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return ids
+        return self.merges.encode_ordinary(MARK.join(parts) + MARK) if parts else []
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
-class IdCache:
-    """Ids of the words of a task, end to end in one array, so a word costs its ids and a number.
-    Emptied between texts when it has ``most`` words."""
-
-    def __init__(self, value: WordIds, most: int = 1 << 18) -> None:
-        self.value, self.most = value, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.words, self.ids, self.starts = Words(), array("I"), array("q", [0])
-
-    def document(self, text: str | None, end: int) -> np.ndarray:
-        """The ids of a text and the end id."""
-        if len(self.starts) > self.most or len(self.ids) > 8 * self.most:
-            self.clear()
-        numbers = self.words.numbers((text or "").encode("utf-8", "replace").split())
-        for word in self.words.order[len(self.starts) - 1 :]:
-            self.ids.extend(self.value(word))
-            self.starts.append(len(self.ids))
-        starts = np.frombuffer(self.starts, np.int64)
-        first = starts[numbers]
-        sizes = starts[numbers + 1] - first
-        ends = np.cumsum(sizes)
-        out = np.full(int(sizes.sum()) + 1, end, "<u4")
-        if len(out) > 1:
-            place = np.repeat(first - ends + sizes, sizes) + np.arange(len(out) - 1)
-            out[:-1] = np.frombuffer(self.ids, np.uint32)[place]
-        return out
+def word_bpe(path: str) -> WordBpe:
+    return WordBpe(path)
 
 
 def cut_pieces(
     docs: DataFrame, window: int, unit: int, path: str, end: int
 ) -> DataFrame:
     def run(batches):
-        task, cache, seen = TaskContext.get().partitionId(), IdCache(word_ids(path)), Counter()
+        task, vocabulary, seen = TaskContext.get().partitionId(), word_bpe(path), Counter()
         for batch in batches:
             rows = {name: [] for name in PIECE.names}
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = cache.document(text.as_py(), end)
+                ids = np.array([*vocabulary.ids(text.as_py() or ""), end], "<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     bin = -(-len(piece) // unit)

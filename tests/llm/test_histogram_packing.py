@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -6,7 +7,13 @@ import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from farelens.llm.histogram_packing import non_negative_least_squares, pack, plan_patterns, strategies
+from farelens.llm.histogram_packing import (
+    non_negative_least_squares,
+    pack,
+    plan_patterns,
+    strategies,
+    word_bpe,
+)
 from tests.llm.samples import ODD_TEXTS, odd_documents
 
 
@@ -79,3 +86,43 @@ def test_patterns_use_up_the_histogram():
             for b, n in use.items():
                 used[b] += n * repeats
         assert +used == +Counter({b: int(n) for b, n in histogram.items()})
+
+
+def test_both_libraries_give_the_same_ids(tokenizer):
+    vocabulary = word_bpe(public_tokenizers.path("word_bpe_49k.json"))
+    marks = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}b {c} 1{c}{c}  {c}'S2" for c in marks[n : n + 100]) for n in range(0, len(marks), 100)]
+    texts += ["A" * 100000, "ab9!" * 30000, "x<|endoftext|>y zé I'LL don't ÀÉ<|startoftext|>", " \t\x0b", "\0 a\0b"]
+    rng = np.random.default_rng(7)
+    texts += [" ".join("".join(rng.choice(list("abehinrst'é!1"), rng.integers(1, 12))) for _ in range(4000))]
+    for text in texts:
+        assert vocabulary.ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_every_token_is_what_its_own_bytes_merge_to():
+    """The condition under which merging by spelling equals merging by the pairs of the file."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    rank = {pair: n for n, pair in enumerate(merges)}
+    ids = [model["vocab"][a + b] for a, b in merges]
+    assert ids == sorted(ids)
+    for a, b in merges:
+        whole = a + b
+        ends = whole.endswith("</w>")
+        parts = list(whole.removesuffix("</w>"))
+        if ends:
+            parts[-1] += "</w>"
+        while len(parts) > 1:
+            best = min(zip(parts, parts[1:]), key=lambda pair: rank.get(pair, len(rank)))
+            assert best in rank
+            joined, n = [], 0
+            while n < len(parts):
+                if tuple(parts[n : n + 2]) == best:
+                    joined.append(parts[n] + parts[n + 1])
+                    n += 2
+                else:
+                    joined.append(parts[n])
+                    n += 1
+            parts = joined
+        assert parts == [whole]
