@@ -15,6 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,27 +146,49 @@ def near_duplicates(
     )
 
 
+def _with_row_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows with a key of their own that every read gives again, under names ``docs`` does not
+    have: the file and the row's number in it. What has no files is numbered and stored first."""
+    prefix = "_row"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    keys = [f"{prefix}file", f"{prefix}number"]
+    try:
+        place = ("_metadata.file_path", "_metadata.row_index")
+        return docs.select("*", *(F.col(c).alias(k) for c, k in zip(place, keys))), keys
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        return stored_table(docs.withColumns(dict(zip(keys, (F.lit(""), number)))), "numbered"), keys
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """One row of each component, all columns as they are: that with the smallest doc_id, and of
-    several such rows, or where no row has an id, the first by place. ``docs`` must be a table
-    that Spark reads the same way twice, such as files."""
-    marked = docs.withColumn("_dedup_row", F.monotonically_increasing_id())
-    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64()), ("row", pa.int64())])
+    several such rows, or where no row has an id, the first by file and place.
+
+    ``docs`` is a table of files as read, or a filter of one. Rows are told apart by file and place
+    in it, so it does not matter how each of the two reads is split over tasks. Any other table is
+    stored first. Columns of any name are kept.
+    """
+    marked, keys = _with_row_keys(docs)
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("bits", pa.int64()), (keys[0], pa.string()), (keys[1], pa.int64())]
+    )
 
     def run(batches):
         for batch in batches:
             values = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
             bits = np.array(values, np.uint64).view(np.int64)
-            columns = {"doc_id": batch.column("doc_id"), "bits": bits, "row": batch.column("_dedup_row")}
+            columns = {c: batch.column(c) for c in ("doc_id", *keys)} | {"bits": bits}
             yield batch_of(columns, schema)
 
-    rows = marked.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_dedup_row")
-    prints = stored_table(map_arrow(rows, run, "doc_id long, bits long, row long"), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    rows = marked.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keys)
+    prints = map_arrow(rows, run, f"doc_id long, bits long, {keys[0]} string, {keys[1]} long")
+    prints = stored_table(prints, "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *keys)).alias("first")
     distinct = stored_table(prints.groupBy("bits").agg(first), "distinct")
     groups = connected_components(close_links(distinct.select("bits"), distance))
     named = distinct.join(groups.withColumnRenamed("node", "bits"), "bits", "left")
     kept = named.groupBy(F.coalesce("component", "bits")).agg(F.min("first").alias("first"))
-    kept = stored_table(kept.select(F.col("first.row").alias("_dedup_row")), "kept_rows")
+    kept = stored_table(kept.select(*(F.col(f"first.{k}").alias(k) for k in keys)), "kept_rows")
     # the same plan at every size: a list of kept rows that is small here is not small elsewhere
-    return marked.join(kept.hint("merge"), "_dedup_row", "left_semi").drop("_dedup_row")
+    return marked.join(kept.hint("merge"), keys, "left_semi").select(*(f"`{c}`" for c in docs.columns))

@@ -4,6 +4,7 @@ import pytest
 import xxhash
 
 from farelens.llm.components import connected_components
+from farelens.llm import simhash
 from farelens.llm.simhash import close_links, fingerprint, near_duplicates
 from tests.llm.samples import ODD_TEXTS, odd_documents
 
@@ -105,3 +106,35 @@ def test_components_of_chains_and_stars(spark):
     assert {r.node: r.component for r in found} == {
         **{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 140)}
     }
+
+
+def test_rows_keep_their_keys_when_the_second_read_is_split_otherwise(spark, tmp_path, monkeypatch):
+    rows = [(1200 - n, f"text number {n % 300} of a group {n % 300}", n) for n in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long").coalesce(3)
+    docs.write.option("parquet.block.size", 4096).parquet(str(tmp_path / "docs"))
+    original, setting = simhash.connected_components, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+
+    def split_otherwise(links):
+        found = original(links)
+        spark.conf.set(setting, "1k")
+        return found
+
+    monkeypatch.setattr(simhash, "connected_components", split_otherwise)
+    try:
+        table = spark.read.parquet(str(tmp_path / "docs"))
+        kept = simhash.drop_near_duplicates(table)
+        assert kept.columns == ["doc_id", "text", "_row"]
+        named = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+        found = [r.doc_id for r in kept.collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(found) == sorted(set(named.values()))
+
+
+def test_tables_without_files_are_numbered_once(spark):
+    docs = odd_documents(spark).filter("doc_id is null or doc_id <> 7")
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    expected = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in expected.collect())
