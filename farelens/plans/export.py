@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from farelens.operators.tickets import plane_tickets, ticket_table
 from farelens.schemas import REQUEST_KEY
+from farelens.sources.exports import replace_dates
 from farelens.sources.tickets import write_tickets
 
 
@@ -41,3 +42,19 @@ def ticket_export(
 ) -> None:
     """Write those tickets as CSV, one folder per departure date."""
     write_tickets(tickets_for_requests(requests, offers, airports, airlines, stops), path)
+
+
+def ticket_reexport(
+    requests: DataFrame,
+    offers: DataFrame,
+    airports: DataFrame,
+    airlines: DataFrame,
+    path: str,
+    stops: str = "connecting",
+) -> int:
+    """Replace the requested dates, and only those, in an export kept by
+    :mod:`farelens.sources.exports`; returns its new version. The dates come to the driver: they are
+    days of a calendar."""
+    days = requests.select(F.col("request_date").cast("string").alias("day")).distinct()
+    tickets = tickets_for_requests(requests, offers, airports, airlines, stops)
+    return replace_dates(tickets, path, [r.day for r in days.collect()])

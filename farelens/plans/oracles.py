@@ -327,6 +327,33 @@ ORACLES = {
                currency, escale, ville_descale, aeroport_descale, date_darrivee_escale,
                date_depart_escale, "lastTicketingDate"
         FROM tickets WHERE day(CAST(request_date AS date)) <= 27""",
+    "ticket_reexport_roundtrip": f"""
+        WITH middle AS (
+          SELECT min(d) + CAST((max(d) - min(d)) // 2 AS integer) AS day
+          FROM (SELECT CAST(date_trunc('week', l_shipdate) AS date) AS d FROM lineitem)
+        )
+        SELECT * FROM (
+          WITH {_DIRECT_TICKETS}
+          SELECT id, "Aeroport_de_depart", ville_de_depart, date_de_depart,
+                 "Aeroport_darrive" AS aeroport_darrivee, "Ville_darrivee" AS ville_darrivee,
+                 date_darrivee, "Company", CAST(prices AS double) AS price, currency, escale,
+                 CAST(NULL AS varchar) AS ville_descale,
+                 CAST(NULL AS varchar) AS aeroport_descale,
+                 CAST(NULL AS varchar) AS date_darrivee_escale,
+                 CAST(NULL AS varchar) AS date_depart_escale, "lastTicketingDate"
+          FROM tickets, middle
+          WHERE CAST(request_date AS date) < middle.day AND day(CAST(request_date AS date)) <= 27
+        )
+        UNION ALL
+        SELECT * FROM (
+          WITH {_CONNECTING_TICKETS}
+          SELECT id, "Aeroport_de_depart", ville_de_depart, date_de_depart, aeroport_darrivee,
+                 ville_darrivee, date_darrivee, "Company", CAST(prices AS double) AS price,
+                 currency, escale, ville_descale, aeroport_descale, date_darrivee_escale,
+                 date_depart_escale, "lastTicketingDate"
+          FROM tickets, middle
+          WHERE CAST(request_date AS date) >= middle.day AND day(CAST(request_date AS date)) <= 27
+        )""",
     "connecting_price_by_weekday": f"""
         WITH {_CONNECTING_TICKETS}
         SELECT {_WEEKDAY} AS weekday, CAST(sum(CAST(prices AS decimal(18,2))) AS double) / count(prices) AS avg_price
@@ -410,3 +437,4 @@ ORACLES = {
 }
 for _name in ("dedup_by_id_direct", "dedup_by_id_connecting", "ticket_table_connecting"):
     ORACLES[f"{_name}_stream"] = ORACLES[_name]
+ORACLES["date_sweep_incremental"] = ORACLES["date_sweep"]

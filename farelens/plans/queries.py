@@ -11,10 +11,12 @@ from farelens.operators import metrics
 from farelens.operators import offers as ops
 from farelens.operators import tickets as tix
 from farelens.plans import tables
-from farelens.plans.export import ticket_export
+from farelens.plans.export import ticket_export, ticket_reexport
 from farelens.schemas import OFFER, REQUEST_KEY, TICKET
 from farelens.sources import dimensions, tickets as files
 from farelens.sources import offers as landing
+from farelens.sources.exports import read_export
+from farelens.sources.landing import land_offers, missing_requests, read_landed, request_index
 from farelens.streaming import metrics as streams
 from farelens.streaming import offers as offer_streams
 from farelens.streaming.runner import newest_rows, run_to_memory, start_table
@@ -67,10 +69,10 @@ def csv_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_offer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offers landed as JSON per request, read back with the fixed schema."""
+    """Offers landed as JSON files in request order, read back with the fixed schema."""
     path = scratch_dir(spark, "offers")
-    landing.write_offers(tables.offers(spark, sf_dir), path)
-    return _offer_facts(landing.read_offers(spark, path))
+    land_offers(tables.offers(spark, sf_dir), path)
+    return _offer_facts(read_landed(spark, path))
 
 
 def text_offer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +96,26 @@ def date_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def date_sweep_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sweep in two goes: the first lands its earlier half, the second asks for all and
+    lands what is missing. The answers are counted from the index of what has landed."""
+    path, offers = scratch_dir(spark, "landings"), tables.offers(spark, sf_dir)
+    routes = offers.select("origin", "destination", "adults").distinct()
+    first, last = _sweep_ends(offers)
+    for end in (first + (last - first) / 2, last):
+        asked = missing_requests(landing.request_sweep(routes, first, end), path)
+        asked = stored(asked.select(*REQUEST_KEY))
+        land_offers(offers.join(asked, list(REQUEST_KEY), "left_semi"), path, asked)
+    answers = request_index(spark, path).groupBy(*REQUEST_KEY).agg(F.sum("n_offers").alias("n_offers"))
+    return answers.select(
+        "origin",
+        "destination",
+        F.col("request_date").cast("string").alias("request_date"),
+        F.col("adults").cast("long").alias("adults"),
+        "n_offers",
+    )
+
+
 # --- offers --------------------------------------------------------------------------
 
 
@@ -208,6 +230,19 @@ def ticket_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(files.read_tickets(spark, _export(spark, sf_dir)))
 
 
+def ticket_reexport_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export of direct tickets whose later half of dates a second sweep replaces by connecting
+    ones; the other dates stay as the first has written them."""
+    path, offers = scratch_dir(spark, "export"), tables.offers(spark, sf_dir)
+    routes = offers.select("origin", "destination", "adults").distinct()
+    first, last = _sweep_ends(offers)
+    names = tables.airports(spark, sf_dir), tables.airlines(spark, sf_dir)
+    for start, stops in ((first, "direct"), (first + (last - first) / 2, "connecting")):
+        requests = stored(landing.request_sweep(routes, start, last))
+        ticket_reexport(requests, offers, *names, path, stops)
+    return _plain(read_export(spark, path))
+
+
 def connecting_price_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offer documents to weekday averages in one plan."""
     tickets = _ticket_table(spark, sf_dir, "connecting")
@@ -521,6 +556,7 @@ QUERIES = {
     "json_offer_scan": json_offer_scan,
     "text_offer_scan": text_offer_scan,
     "date_sweep": date_sweep,
+    "date_sweep_incremental": date_sweep_incremental,
     "bookable_offers": bookable_offers,
     "explode_itineraries": explode_itineraries,
     "explode_travelers": explode_travelers,
@@ -538,6 +574,7 @@ QUERIES = {
     "ticket_table_direct": partial(ticket_table, stops="direct"),
     "ticket_table_connecting": partial(ticket_table, stops="connecting"),
     "ticket_export_roundtrip": ticket_export_roundtrip,
+    "ticket_reexport_roundtrip": ticket_reexport_roundtrip,
     "connecting_price_by_weekday": connecting_price_by_weekday,
     "export_to_stream": export_to_stream,
     "avg_price_30d": avg_price_30d,

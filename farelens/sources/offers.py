@@ -12,7 +12,7 @@ from farelens.sources.tickets import stream_files
 
 
 def read_offers(
-    spark: SparkSession, path: str, fmt: str = "json", corrupt: str | None = None
+    spark: SparkSession, path: str | list[str], fmt: str = "json", corrupt: str | None = None
 ) -> DataFrame:
     """Landed offers. Folders named ``column=value`` fill that column and can be pruned.
 

@@ -44,8 +44,8 @@ def write_ticket_files(
     )
 
 
-def read_tickets(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Ticket files under a folder or matching a glob, as one table.
+def read_tickets(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Ticket files under folders or matching a glob, as one table.
 
     Columns bind by position; header names are skipped, not compared. ``multi_line`` reads
     quoted text with line breaks; such a file cannot be split over tasks.
