@@ -302,6 +302,20 @@ ORACLES = {
         JOIN airport d ON departure_airport = d.iata
         JOIN airport s ON layover_airport = s.iata
         JOIN airport a ON arrival_airport = a.iata""",
+    "airlines_as_of": f"""
+        WITH {_fares("direct")},
+        versions AS (
+          SELECT s_suppkey, s_name AS name, DATE '1900-01-01' AS low, DATE '1995-06-17' AS high
+          FROM supplier WHERE s_acctbal >= 0
+          UNION ALL
+          SELECT s_suppkey, s_name || ' Group',
+                 CASE WHEN s_suppkey % 2 = 0 THEN DATE '1995-01-01' ELSE DATE '1995-06-18' END,
+                 CASE WHEN s_suppkey % 2 = 0 THEN DATE '2900-01-01' ELSE DATE '1997-12-31' END
+          FROM supplier WHERE s_acctbal >= 0
+        )
+        SELECT id, origin, request_date, carrier, name AS "Company"
+        FROM fares JOIN versions ON carrier = CAST(s_suppkey AS varchar)
+          AND CAST(request_date AS date) BETWEEN low AND high""",
     "direct_tickets": f"WITH {_DIRECT_TICKETS} SELECT * EXCLUDE (request_date, adults) FROM tickets",
     "connecting_tickets": (
         f"WITH {_CONNECTING_TICKETS} SELECT * EXCLUDE (request_date, adults) FROM tickets"
@@ -438,3 +452,4 @@ ORACLES = {
 for _name in ("dedup_by_id_direct", "dedup_by_id_connecting", "ticket_table_connecting"):
     ORACLES[f"{_name}_stream"] = ORACLES[_name]
 ORACLES["date_sweep_incremental"] = ORACLES["date_sweep"]
+ORACLES["connecting_tickets_one_pass"] = ORACLES["connecting_tickets"]

@@ -210,6 +210,23 @@ def join_airport_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def connecting_tickets_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connecting tickets whose three cities come from one join with the airports."""
+    fares = ops.offer_fares(tables.offers(spark, sf_dir), "connecting")
+    names = tables.airports(spark, sf_dir), tables.airlines(spark, sf_dir)
+    return _plain(tix.connecting_tickets(fares, *names, one_pass=True))
+
+
+def airlines_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direct fares with the name or names that the airline had on the request date."""
+    fares = ops.offer_fares(tables.offers(spark, sf_dir), "direct")
+    versions = tables.airline_versions(spark, sf_dir).withColumnsRenamed(
+        {"IATA": "carrier", "Airline_name": "Company"}
+    )
+    rows = fares.select("id", "origin", "request_date", "carrier")
+    return _plain(tix.as_of(rows, versions, "carrier", "request_date"))
+
+
 def plane_tickets(spark: SparkSession, sf_dir: str, stops: str) -> DataFrame:
     return _plain(
         tix.plane_tickets(
@@ -569,6 +586,8 @@ QUERIES = {
     "ticket_table_connecting_stream": partial(ticket_table_stream, stops="connecting"),
     "join_airline": join_airline,
     "join_airport_roles": join_airport_roles,
+    "airlines_as_of": airlines_as_of,
+    "connecting_tickets_one_pass": connecting_tickets_one_pass,
     "direct_tickets": partial(plane_tickets, stops="direct"),
     "connecting_tickets": partial(plane_tickets, stops="connecting"),
     "ticket_table_direct": partial(ticket_table, stops="direct"),

@@ -175,6 +175,23 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airline_file_rows(spark, sf_dir).select("Airline_name", "IATA").na.drop("any")
 
 
+def airline_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airlines under the names they had: a first one up to June 1995, then a second. Those with even
+    keys have both for half a year; those with odd keys end with 1997."""
+    names, even = airlines(spark, sf_dir), F.col("IATA").cast("long") % 2 == 0
+    day = {d: F.lit(d).cast("date") for d in ("1995-01-01", "1995-06-17", "1995-06-18", "1997-12-31")}
+    first = names.select(
+        "IATA", "Airline_name", F.lit(None).cast("date").alias("valid_from"), day["1995-06-17"].alias("valid_to")
+    )
+    second = names.select(
+        "IATA",
+        F.concat("Airline_name", F.lit(" Group")).alias("Airline_name"),
+        F.when(even, day["1995-01-01"]).otherwise(day["1995-06-18"]).alias("valid_from"),
+        F.when(~even, day["1997-12-31"]).alias("valid_to"),
+    )
+    return first.union(second)
+
+
 def order_tickets(orders: DataFrame, **extra: Column) -> DataFrame:
     """Orders as tickets: who, when, how much. ``extra`` columns follow those of the layout."""
     at = F.col("o_orderdate")

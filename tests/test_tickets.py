@@ -6,6 +6,7 @@ from samples import AIRLINES, AIRPORTS, DIRECT, VIA_MADRID, airlines, airports,
 from farelens.operators import tickets as tix
 from farelens.schemas import TICKET
 from farelens.sources.offers import offers_from_rows
+from farelens.workspace import stored
 
 
 def build(spark, documents, stops, airport_rows=AIRPORTS, airline_rows=AIRLINES):
@@ -113,3 +114,94 @@ def test_malformed_times_become_null(spark):
     row = tix.ticket_table(build(spark, documents, "direct")).first()
     assert (row.date_de_depart, row.lastTicketingDate) == (None, None)
     assert row.date_darrivee == datetime(2023, 1, 14, 3)
+
+
+ROLES = {
+    "departure_airport": "ville_de_depart",
+    "layover_airport": "ville_descale",
+    "arrival_airport": "ville_darrivee",
+}
+
+
+def legs(spark, *rows):
+    keys = "id string, origin string, destination string, request_date date, adults int"
+    codes = ", ".join(f"{code} string" for code in ROLES)
+    values = [(f"id-{n}", "CDG", None if n % 2 else "LIS", None, 2, *r) for n, r in enumerate(rows)]
+    return spark.createDataFrame(values, f"{keys}, {codes}")
+
+
+def test_cities_of_all_roles_by_one_join(spark):
+    """Unknown and null codes drop a row, codes listed twice multiply it, keys may hold nulls."""
+    fares = legs(
+        spark,
+        ("CDG", "MAD", "LIS"),
+        ("CDG", "XXX", "LIS"),
+        ("MAD", "MAD", "MAD"),
+        (None, "MAD", "LIS"),
+        ("CDG", "MAD", None),
+        *[("CDG", "MAD", "CDG")] * 20,
+    )
+    known = airports(spark, [*AIRPORTS, ("Madrid again", "MAD"), (None, "LIS")])
+    expected = fares
+    for code, city in ROLES.items():
+        expected = tix.with_city(expected, known, code, city)
+    found = tix.with_cities(fares, known, ROLES)
+    assert found.columns == [*fares.columns, *ROLES.values()]
+    assert sorted(map(str, found.collect())) == sorted(
+        map(str, expected.select(*found.columns).collect())
+    )
+    assert found.count() > 40
+    assert tix.with_cities(fares.limit(0), known, ROLES).count() == 0
+
+
+def test_one_join_and_no_shuffle_of_fares_per_role(spark):
+    fares, known = stored(legs(spark, ("CDG", "MAD", "LIS"))), stored(airports(spark))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plans = []
+        role_by_role = fares
+        for code, city in ROLES.items():
+            role_by_role = tix.with_city(role_by_role, known, code, city)
+        for df in (tix.with_cities(fares, known, ROLES), role_by_role):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [p.count("SortMergeJoin") for p in plans] == [1, 3]
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [3, 6]
+
+
+def test_names_as_of_a_day(spark):
+    """Overlapping, open, single-day and empty ranges; days outside, days and keys unknown."""
+    days = [date(2023, 1, 1), date(2023, 6, 30), date(2023, 7, 1), date(2024, 2, 29), None]
+    rows = spark.createDataFrame(
+        [(n, key, day) for n, day in enumerate(days) for key in ("AF", "IB", "ZZ", None)],
+        "n int, carrier string, day date",
+    )
+    versions = [
+        ("AF", None, date(2023, 6, 30), "old"),
+        ("AF", date(2023, 6, 30), None, "new"),
+        ("AF", date(2023, 7, 1), date(2023, 7, 1), "one day"),
+        ("AF", date(2024, 1, 1), date(2023, 1, 1), "never"),
+        ("IB", None, None, "always"),
+        ("ZZ", date(2025, 1, 1), None, "later"),
+        (None, None, None, "nobody"),
+    ]
+    table = spark.createDataFrame(
+        versions, "carrier string, valid_from date, valid_to date, Company string"
+    )
+    expected = [
+        (r.n, r.carrier, r.day, name)
+        for r in rows.collect()
+        for key, low, high, name in versions
+        if None not in (r.day, r.carrier) and key == r.carrier
+        if (low is None or low <= r.day) and (high is None or r.day <= high)
+    ]
+    for bucket_days in (1, 90, 10000):
+        found = tix.as_of(rows, table, "carrier", "day", bucket_days=bucket_days)
+        assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert tix.as_of(rows.limit(0), table, "carrier", "day").count() == 0
+    assert tix.as_of(rows, table.limit(0), "carrier", "day").count() == 0
