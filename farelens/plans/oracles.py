@@ -402,6 +402,7 @@ ORACLES = {
         FROM orders GROUP BY o_orderdate, o_totalprice, o_orderkey""",
     "tickets_by_company": _TICKETS_BY_COMPANY,
     "tickets_by_company_stream": _TICKETS_BY_COMPANY,
+    "tickets_by_company_bounded": _TICKETS_BY_COMPANY,
     "avg_price_by_weekday": _AVG_BY_WEEKDAY,
     "avg_price_by_weekday_stream": _AVG_BY_WEEKDAY,
     "stream_events_by_type": """

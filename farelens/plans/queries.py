@@ -366,6 +366,20 @@ def tickets_by_company_stream(
     return streams.stream_tickets_by_company(_ticket_stream(lines, "line", max_files))
 
 
+def tickets_by_company_bounded(
+    spark: SparkSession, sf_dir: str, max_files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """The same from a state that forgets tickets a day after they arrived."""
+    lines = _by_line(tables.table(spark, sf_dir, "lineitem"))
+    distinct, _ = streams.stream_distinct_for(
+        _ticket_stream(lines, "line", max_files),
+        ("id", "Company"),
+        keep="1 day",
+        path=scratch_dir(spark, "distinct"),
+    )
+    return metrics.company_totals(distinct)
+
+
 def avg_price_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.table(spark, sf_dir, "orders")
     return _plain(metrics.avg_price_by_weekday(tables.order_tickets(orders), exact=CENTS))
@@ -607,6 +621,7 @@ QUERIES = {
     "price_points": price_points,
     "tickets_by_company": tickets_by_company,
     "tickets_by_company_stream": tickets_by_company_stream,
+    "tickets_by_company_bounded": tickets_by_company_bounded,
     "avg_price_by_weekday": avg_price_by_weekday,
     "avg_price_by_weekday_stream": avg_price_by_weekday_stream,
     "stream_events_by_type": stream_events_by_type,

@@ -110,6 +110,39 @@ def stream_closed_windows(
     return table.orderBy("window_start"), progress
 
 
+def stream_distinct_for(
+    tickets: DataFrame,
+    keys: tuple[str, ...],
+    keep: str,
+    path: str,
+    clock: str = "arrival",
+    time: str = "date_de_depart",
+    salts: int = 16,
+    **options,
+) -> tuple[DataFrame, list[dict]]:
+    """Distinct keys from a state that forgets: a key is written when it is first seen, and its
+    copies are left out for ``keep``, such as "1 hour", after that. State is bounded by the keys of
+    about twice that span, whatever the length of the stream.
+
+    The ``clock`` is "arrival", the time of the batch that has a row, or "event", the departure
+    time; then rows later than the watermark are left out and counted. Once forgotten, a key that
+    comes again is written again.
+
+    Spark's de-duplication does not combine before the shuffle, so copies of one key are first
+    reduced per salt, which follows the task that reads a row, and then over salts. Returns the table
+    under ``path`` and the progress of each batch.
+    """
+    if clock not in ("arrival", "event"):
+        raise ValueError(f"clock must be arrival or event, not {clock!r}")
+    now = F.current_timestamp() if clock == "arrival" else as_event_time(tickets, time).cast("timestamp")
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")
+    rows = tickets.select(*keys, now.alias("clock"), salt).withWatermark("clock", keep)
+    once = rows.dropDuplicatesWithinWatermark([*keys, "salt"]).drop("salt")
+    found = once.dropDuplicatesWithinWatermark(list(keys)).select(*keys)
+    progress = append_to_files(found, path, **options)
+    return tickets.sparkSession.read.schema(found.schema).parquet(path), progress
+
+
 def first_seen(tickets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Keys with the time of the first and of the last batch that had them."""
     rows = tickets.select(*keys, F.current_timestamp().alias("batch_time"))

@@ -456,6 +456,46 @@ def test_state_behind_the_watermark_is_forgotten(spark, tmp_path):
     assert max(h for h in held if h is not None) <= 3
 
 
+def test_state_with_an_expiry_stays_flat(spark, tmp_path):
+    """A day per batch; ticket "hot" is in each of them, several times."""
+    for n in range(50):
+        day = f"2023-{1 + n // 25:02d}-{1 + n % 25:02d}"
+        numbered(tmp_path / "in", n, "\n".join([line(n, day, 1.0, "A"), *[line("hot", day, 1.0, "A")] * 3]))
+    found, progress = streams.stream_distinct_for(
+        files.stream_tickets(spark, str(tmp_path / "in"), max_files=1),
+        ("id", "Company"),
+        keep="2 days",
+        clock="event",
+        path=scratch_dir(spark, "distinct"),
+        state_partitions=1,
+    )
+    sizes = [p["state_rows"] for p in progress if p["rows"]]
+    assert len(sizes) == 50 and max(sizes) <= 24 and max(sizes[25:]) <= max(sizes[:25])
+    written = [r.id for r in found.collect()]
+    assert set(written) == {"hot", *map(str, range(50))} and written.count("hot") > 5
+    assert len(written) == 50 + written.count("hot")
+
+
+def test_state_by_arrival_keeps_what_is_young(spark, tmp_path, lines):
+    out, path = scratch_dir(spark, "distinct"), write(tmp_path / "in", lines, 3)
+
+    def run(keep):
+        source = files.stream_tickets(spark, path, max_files=1)
+        found, _ = streams.stream_distinct_for(
+            source, ("id", "Company"), keep=keep, path=out, state_partitions=2
+        )
+        return sorted(rows(found), key=str)
+
+    expected = files.read_tickets(spark, path).select("id", "Company").distinct()
+    assert run("1 hour") == sorted(rows(expected), key=str)
+    later = [HEADER, line(1, "2023-01-14", 9.0, "C1"), line(99, "2023-01-14", 9.0, "C9")]
+    (tmp_path / "in" / "later.csv").write_text("\n".join(later))
+    again = run("1 hour")
+    assert again == sorted(rows(expected), key=str) and ("99", "C9") in again
+    with pytest.raises(ValueError):
+        streams.stream_distinct_for(None, ("id",), keep="1 hour", path=out, clock="moon")
+
+
 def test_scratch_scope_deletes_what_was_made_within(spark):
     with scratch_scope(spark):
         path = scratch_dir(spark, "scoped")
