@@ -21,11 +21,13 @@ there are blocks, a share of one in the number of phrases of a block.
 """
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from re import compile as pattern
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ OVERLAP = MOST_WORDS - 1
 #: Words of a piece that is not parsed.
 SHORT = 16
 PIECES = pattern(rb"[.,;:!?\x0A-\x0D]+").split
+BLANKS = pattern(rb"[\x20\x09]+").sub
 
 CHUNK = pa.schema(
     [("lang", pa.string()), ("begins", pa.int32()), ("chunk", pa.binary()), ("times", pa.int64())]
@@ -89,16 +92,22 @@ class Parser:
         marked = (window >> np.uint64(32)) % np.uint64(self.divisor) == 0
         return (np.flatnonzero(marked[1:]) + 1).tolist()  # the first window begins the first chunk
 
-    def chunks(self, text: bytes):
-        """(words that may begin a phrase, chunk) in the order of the text."""
-        for piece in PIECES(text.lower()):
-            words = piece.split()
-            start = 0
-            for cut in self.cuts(words) if len(words) > SHORT else ():
-                yield cut - start, b" ".join(words[start : cut + OVERLAP])
-                start = cut
-            if words:
-                yield len(words) - start, b" ".join(words[start:])
+    def parse(self, text: bytes) -> tuple[list[bytes], list[tuple[int, bytes]]]:
+        """The pieces that are chunks as they are, and the chunks of longer ones, each with the
+        number of its words that may begin a phrase."""
+        text = text.lower()
+        if b"\t" in text or b"  " in text:
+            text = BLANKS(b" ", text)
+        pieces = [p.strip(b" ") for p in PIECES(text)]
+        whole = [p for p in pieces if p and p.count(b" ") < SHORT]
+        cut = []
+        for piece in (p for p in pieces if p.count(b" ") >= SHORT):
+            words, start = piece.split(b" "), 0
+            for end in self.cuts(words):
+                cut.append((end - start, b" ".join(words[start : end + OVERLAP])))
+                start = end
+            cut.append((len(words) - start, b" ".join(words[start:])))
+        return whole, cut
 
 
 def dictionary(docs: DataFrame, divisor: int, most_bytes: int = 32 << 20) -> DataFrame:
@@ -106,18 +115,20 @@ def dictionary(docs: DataFrame, divisor: int, most_bytes: int = 32 << 20) -> Dat
     about ``most_bytes`` before it hands them on."""
 
     def run(batches):
-        parser, times, size = Parser(divisor), Counter(), 0
+        parser, size = Parser(divisor), 0
+        whole, cut = defaultdict(Counter), defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
                 if not text.is_valid:
                     continue
-                for begins, chunk in parser.chunks(text.as_buffer().to_pybytes()):
-                    times[lang, begins, chunk] += 1
-                    size += len(chunk)
+                pieces, chunks = parser.parse(text.as_buffer().to_pybytes())
+                whole[lang].update(pieces)
+                cut[lang].update(chunks)
+                size += sum(map(len, pieces)) + sum(len(chunk) for _, chunk in chunks)
                 if size > most_bytes:  # of all chunks: distinct ones are fewer
-                    yield chunk_rows(times)
-                    times, size = Counter(), 0
-        yield chunk_rows(times)
+                    yield from chunk_rows(whole, cut)
+                    whole, cut, size = defaultdict(Counter), defaultdict(Counter), 0
+        yield from chunk_rows(whole, cut)
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, F.col("text").cast("string").alias("text"))
@@ -125,9 +136,17 @@ def dictionary(docs: DataFrame, divisor: int, most_bytes: int = 32 << 20) -> Dat
     return chunks.groupBy("lang", "begins", "chunk").agg(F.sum("times").alias("times"))
 
 
-def chunk_rows(times: Counter) -> pa.RecordBatch:
-    lang, begins, chunk = zip(*times) if times else ((), (), ())
-    columns = (lang, begins, chunk, list(times.values()))
+def chunk_rows(whole: dict[str, Counter], cut: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, counted in whole.items():
+        begins = [chunk.count(b" ") + 1 for chunk in counted]
+        yield chunk_batch(lang, begins, list(counted), list(counted.values()))
+    for lang, counted in cut.items():
+        begins, chunks = zip(*counted) if counted else ((), ())
+        yield chunk_batch(lang, begins, chunks, list(counted.values()))
+
+
+def chunk_batch(lang: str, begins, chunks, times) -> pa.RecordBatch:
+    columns = ([lang] * len(times), begins, chunks, times)
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, CHUNK)], schema=CHUNK)
 
 
@@ -139,12 +158,12 @@ def in_blocks(chunks: DataFrame, most_bytes: int) -> DataFrame:
     words, all chunks as numbers of words, and per chunk its size, beginnings and times."""
 
     def run(batches):
-        task, number, held, sizes = TaskContext.get().partitionId(), 0, {}, Counter()
+        task, number, held, sizes = TaskContext.get().partitionId(), 0, defaultdict(list), Counter()
         for batch in batches:
-            rows = zip(*(batch.column(name).to_pylist() for name in CHUNK.names))
-            for lang, begins, chunk, times in rows:
-                held.setdefault(lang, []).append((chunk, begins, times))
-                sizes[lang] += len(chunk) + 8
+            for lang in batch.column("lang").unique().to_pylist():
+                rows = batch.filter(pc.equal(batch.column("lang"), lang))
+                held[lang].append(rows)
+                sizes[lang] += rows.column("chunk").nbytes + 8 * len(rows)
                 if sizes[lang] > most_bytes:
                     yield block_row(task << 32 | number, lang, held.pop(lang))
                     number, sizes[lang] = number + 1, 0
@@ -155,13 +174,14 @@ def in_blocks(chunks: DataFrame, most_bytes: int) -> DataFrame:
     return map_arrow(chunks, run, BLOCK_TYPE)
 
 
-def block_row(block: int, lang: str, rows: list) -> pa.RecordBatch:
-    chunks, begins, times = zip(*rows)
+def block_row(block: int, lang: str, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(parts)
+    chunks = rows.column("chunk").to_pylist()
     words = Words()
     ids = words.numbers(b" ".join(chunks).split(b" ")).astype(np.int32)
-    sizes = np.array([c.count(b" ") + 1 for c in chunks], np.int32)
+    sizes = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int32, len(chunks))
     spelled = np.frombuffer(b" ".join(words.order), np.uint8)
-    arrays = (spelled, ids, sizes, np.array(begins, np.int32), np.array(times, np.int64))
+    arrays = (spelled, ids, sizes, rows.column("begins").to_numpy(), rows.column("times").to_numpy())
     values = (block, lang, *map(dump, arrays))
     return pa.record_batch([pa.array([v], f.type) for v, f in zip(values, BLOCK)], schema=BLOCK)
 
@@ -241,7 +261,9 @@ class Block:
 
 def frequent_in_blocks(counts: DataFrame, least: int, label: str) -> DataFrame:
     """Per block its phrases that are frequent in the corpus, with their frequency ``f``."""
-    f = F.sum("n").over(Window.partitionBy("lang", "phrase"))
+    # The window sorts its rows; by a hash first, as most phrases of a language begin alike.
+    counts = counts.repartition("lang", "phrase").withColumn("hash", F.xxhash64("phrase"))
+    f = F.sum("n").over(Window.partitionBy("hash", "phrase", "lang"))
     frequent = counts.select("block", "lang", "phrase", f.alias("f")).filter(F.col("f") >= least)
     return stored_table(frequent, label)
 

@@ -4,7 +4,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from farelens.llm.phrase_mining import OVERLAP, Block, Parser, block_row, mine_phrases
+from farelens.llm.phrase_mining import (
+    OVERLAP,
+    Block,
+    Parser,
+    block_row,
+    chunk_batch,
+    mine_phrases,
+)
 from tests.llm.samples import ODD_TEXTS, odd_documents
 
 NAMES = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -97,19 +104,22 @@ def test_chunks_overlap_by_a_window_and_begin_each_word_once():
     rng = np.random.default_rng(6)
     for divisor in (1, 2, 7, 50):
         words = [b"%d" % n for n in rng.integers(0, 20, 400)]
-        chunks = [(n, c.split()) for n, c in Parser(divisor).chunks(b" ".join(words))]
+        whole, cut = Parser(divisor).parse(b" ".join(words))
+        chunks = [(n, c.split()) for n, c in cut]
+        assert not whole
         begun = [w for n, c in chunks for w in c[:n]]
         assert begun == words
         for (n, chunk), (_, after) in zip(chunks, chunks[1:]):
             assert chunk[n:] == after[:OVERLAP] and len(chunk) == n + OVERLAP
-    shifted = [c for _, c in Parser(7).chunks(b"other words " * 9 + b" ".join(words))]
-    same = [c for _, c in Parser(7).chunks(b" ".join(words))]
+    shifted = [c for _, c in Parser(7).parse(b"other words " * 9 + b" ".join(words))[1]]
+    same = [c for _, c in Parser(7).parse(b" ".join(words))[1]]
     assert len(set(shifted) & set(same)) >= len(same) - 2
 
 
 def test_weights_past_double_precision():
     big = (1 << 60) + 1
-    row = block_row(7, "en", [(b"a b c d e f", 2, big), (b"a b", 2, 1)]).to_pylist()[0]
+    chunks = chunk_batch("en", [2, 2], [b"a b c d e f", b"a b"], [big, 1])
+    row = block_row(7, "en", [chunks]).to_pylist()[0]
     words = {r["phrase"]: r["n"] for r in Block(row).count_words().to_pylist()}
     assert words == {"a": big + 1, "b": big + 1, "c": 0, "d": 0, "e": 0, "f": 0}
     pairs = {r["phrase"]: r["n"] for r in Block(row).count_pairs(list("abcde")).to_pylist()}
