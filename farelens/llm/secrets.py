@@ -4,7 +4,9 @@ A credential often comes in parts: an identifier (access key id, user, client id
 (a password, a random string) and an endpoint (a URL or host with port). Base patterns report
 what is a secret by its form alone. Weak parts - a random-looking string, a user name, a host -
 say little alone and are common in clean text, so they are only reported when parts that
-complete them lie in the same scope: within ``scope`` characters, in the same document.
+complete them lie in the same scope: within ``scope`` characters, in the same document. The base
+reads a value up to the first character outside its class; a named value that goes on behind
+it, as in a quoted phrase, is reported whole, as its first part is a secret by its name already.
 
 The parts of a document are sorted intervals, and the join is two binary searches in the
 running counts of each other role, so its cost is n log n however many parts share a scope,
@@ -17,6 +19,7 @@ import re
 import string
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,11 +38,13 @@ BASE = ("assign", "access", "hex")
 #: with the colon, which is quick to search for; scheme and bare host are read backwards from it.
 HOST = r"(?:\[[0-9A-Fa-f:.]+\]|[A-Za-z0-9._-]+)(?::[0-9]{1,5})?"
 ENDPOINT = re.compile(
-    r"://(?:([^\s:/@\"'<>]*)(?::([^\s/@\"'<>]*))?@)?"
+    r"://(?:([^\s:/@\"'<>]*)(?::([^\s/\"'<>]*))?@)?"  # a password may hold the sign: the last one counts
     + rf"{HOST}(?:,{HOST})*[A-Za-z0-9/_.-]*"
     + r"|:[0-9]{2,5}(?![A-Za-z0-9_])"
 )
 SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
+#: Longer schemes are not registered, and longer host names are not valid in DNS.
+SCHEME_LENGTH, HOST_LENGTH = 32, 255
 HOST_CHARS = string.ascii_letters + string.digits + ".-"
 BARE_HOST = re.compile(
     r"localhost|(?:[0-9]{1,3}\.){3}[0-9]{1,3}|(?:[A-Za-z0-9-]+\.)+[A-Za-z][A-Za-z0-9-]*"
@@ -63,7 +68,20 @@ IDENTIFIER = re.compile(
 )
 #: Runs are taken whole, from the first character after a name's sign; signs are padding at the end.
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-WEAK = ("identifier", "random", "endpoint", "password")
+#: A value of any characters behind a name of a secret, in quotes or up to white space. What stands
+#: for a value (a variable, a call, a URL, a path) is none.
+NAMED = re.compile(
+    r"((?i:passw(?:or)?d|passphrase|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|api[_-]?key"
+    r"|(?:account|private|auth|signing|encryption)[_-]?key))"
+    r"\\?[\"']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*"
+    r"(?:\\?\"(?P<double>[^\"\r\n]{6,}?)\\?\"|\\?'(?P<single>[^'\r\n]{6,}?)\\?'"
+    r"|(?![/(\[{<*#]|\$[({]|%[({]|[A-Za-z_.]+[(\[]|[A-Za-z+]+://)"
+    r"(?P<plain>(?:(?!&[A-Za-z0-9_.-]+=)[^\s\"'`<>,;]){6,}))",
+    re.ASCII,
+)
+#: Names of which a value may be several words.
+PHRASES = ("passw", "passphrase", "pwd")
+WEAK = ("identifier", "random", "endpoint", "password", "named")
 KINDS = {kind: n for n, kind in enumerate(BASE + WEAK)}
 
 #: What a weak part needs in its scope: any one of these sets of roles, whole.
@@ -72,6 +90,7 @@ NEEDS = {
     "random": ({"identifier"}, {"endpoint"}),
     "endpoint": ({"identifier", "secret"},),
     "password": ({"identifier"}, {"endpoint"}),
+    "named": ({"identifier"}, {"endpoint"}),
 }
 ROLES = {
     "assign": "secret",
@@ -81,6 +100,7 @@ ROLES = {
     "identifier": "identifier",
     "endpoint": "endpoint",
     "password": "secret",
+    "named": "secret",
 }
 
 Span = tuple[int, int, str]
@@ -114,13 +134,13 @@ def endpoint_parts(text: str) -> list[Span]:
     for m in ENDPOINT.finditer(text):
         colon = m.start()
         if m[0].startswith("://"):
-            scheme = SCHEME.search(text[max(0, colon - 32) : colon])
+            scheme = SCHEME.search(text[max(0, colon - SCHEME_LENGTH) : colon])
             if not scheme:
                 continue
             ends[colon - len(scheme[0])] = m.end()
             found += [(*m.span(n), k) for n, k in ((1, "identifier"), (2, "password")) if m[n]]
         else:
-            before = text[max(0, colon - 255) : colon]
+            before = text[max(0, colon - HOST_LENGTH) : colon]
             host = before[len(before.rstrip(HOST_CHARS)) :]
             if BARE_HOST.fullmatch(host) and not SOURCE_FILE.fullmatch(host):
                 ends[colon - len(host)] = m.end()
@@ -129,6 +149,34 @@ def endpoint_parts(text: str) -> list[Span]:
     return found + [(start, end, "endpoint") for start, end in ends.items()]
 
 
+def _reach(base: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts of sorted spans, and how far the first n of them reach."""
+    return [s for s, _, _ in base], [0, *accumulate((e for _, e, _ in base), max)]
+
+
+def named_values(text: str, base: list[Span]) -> tuple[list[Span], list[Span]]:
+    """Values that go on behind a base span, from the start of the value; and values that no base
+    span touches, which are weak parts if they look like a secret."""
+    longer, free = [], []
+    starts, reach = _reach(base)
+    for m in NAMED.finditer(text):
+        kind = m.lastgroup
+        start, end = m.span(kind)
+        if kind == "plain":
+            end = start + len(m[kind].rstrip(")]}.:"))
+        value = text[start:end]
+        covered = reach[bisect_left(starts, end)]
+        if covered > start:
+            if any(map(str.isalnum, text[covered:end])):
+                longer.append((start, end, "named"))
+            continue
+        signs = sum(not c.isalnum() and c not in "._-/ " for c in value)
+        phrase = " " not in value or m[1].lower().startswith(PHRASES)
+        if end - start >= 6 and phrase and (signs > 1 or any(map(str.isdigit, value)) or " " in value):
+            free.append((start, end, "named"))
+    return longer, free
+
+
 def weak_parts(text: str) -> list[Span]:
     found = endpoint_parts(text)
     found += [(*m.span(1), "identifier") for m in IDENTIFIER.finditer(text)]
@@ -145,9 +193,7 @@ def linked_parts(base: list[Span], weak: list[Span], scope: int) -> list[Span]:
 
     A weak part that overlaps a base span is that span and is left out.
     """
-    starts, reach = [s for s, _, _ in base], [0]
-    for _, end, _ in base:
-        reach.append(max(reach[-1], end))
+    starts, reach = _reach(base)
     weak = [p for p in weak if reach[bisect_left(starts, p[1])] <= p[0]]
     parts = base + weak
     by_role: dict[str, tuple[list[int], list[int]]] = {}
@@ -169,8 +215,10 @@ def scan(text: str | None, scope: int = 200) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans: base and linked, by start and then by kind."""
     text = text or ""
     base = base_spans(text)
-    weak = weak_parts(text)
-    return base, sorted(base + linked_parts(base, weak, scope), key=_order) if weak else base
+    longer, free = named_values(text, base)
+    weak = weak_parts(text) + free
+    more = longer + (linked_parts(base, weak, scope) if weak else [])
+    return base, sorted(base + more, key=_order) if more else base
 
 
 def joined(spans: list[Span]) -> str:

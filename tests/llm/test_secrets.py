@@ -127,12 +127,43 @@ STORAGE = "Eby8vdM02xNOcqFlqUwJPLlmEtlCDXJ1OUzFT50uSRZ6IFsuFq2UVErCz4I6tq0K1SZFP
         ),
         ("redis://:pw-1@cache:6379/0", {"pw-1"}),
         ("mongodb+srv://app:pw-1@a:1,b:2/x", {"mongodb+srv://app:pw-1@a:1,b:2/x", "app", "pw-1"}),
+        ("postgres://u:p@ss@host/db", {"postgres://u:p@ss@host/db", "u", "p@ss"}),
+        ("DB_USER=admin\nDB_PASSWORD=p@ss!w0rd#Long\n", {"admin", "p@ss!w0rd#Long"}),
+        (
+            "AZURE_CLIENT_ID=app-17\nAZURE_CLIENT_SECRET=Zx8Q~abcDEF.x\n",
+            {"app-17", "Zx8Q~abcDEF.x"},
+        ),
+        ("user: jane, passphrase: 'correct horse battery'", {"jane", "correct horse battery"}),
+        ('{"user":"jane","pwd":"a$b$c(d"}', {"jane", "a$b$c(d"}),
+        ('{\\"user\\":\\"jane\\",\\"pwd\\":\\"a$b$c(d\\"}', {"jane", "a$b$c(d"}),
     ],
 )
 def test_credentials_as_name_and_value(text, parts):
     assert {part for part, _ in linked(text)} == parts
 
 
+def test_values_that_go_on_behind_the_base_pattern():
+    """The base span alone would leave the rest of the secret in the text."""
+    assert linked('password: "correct horse battery" x') == [("correct horse battery", "named")]
+    assert linked("password=hunter22!x, y") == [("hunter22!x", "named")]
+    assert linked("?token=abcdefgh&user=jane")[0][0] == "jane"
+    text = 'a password: "correct horse battery" b'
+    assert mask(text, scan(text)[1]) == 'a [SECRET]" b'
+
+
+def test_what_stands_for_a_value_is_none():
+    for value in ("${DB_PASSWORD}", "$(cat x.txt)", "<your password>", "{{ secret_1 }}", "/run/secrets/db1",
+                  "a@b!c", "ask!the_admin", "(optional: 1)"):
+        assert linked(f"password: {value}, see https://example.com/docs") == [], value
+    assert linked("token: 'a few words more 1' see https://example.com/docs") == []
+
+
+def test_named_values_take_linear_time():
+    for text in ("password=" * 60000, "password='" * 60000, "token=&a" * 60000, 'pwd:"x' * 60000,
+                 "pwd=" + "&a" * 200000, "secret:" + " " * 400000, "://a:" + "@" * 300000, "://a:@" * 60000):
+        scan(text)
+
+
 def test_text_without_complement_stays():
     for text in (f"KEY={WEAK}", "DB_USER=admin", "at db.example.com:5432", f"in x.py:39 {WEAK}", f"12:30:45 {WEAK}"):
         assert linked(text) == []
