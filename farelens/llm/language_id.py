@@ -6,10 +6,14 @@ counted over every training document and built with DataFrame operations. Its va
 arrays sorted by a number of 64 bits that is different for every entry, so entries never merge and
 what was not seen is never found. The arrays are broadcast whole: 16 bytes an entry, which grows
 with the distinct trigrams of the corpus. A text gets the language
-with the lowest cross-entropy per character. A second pass over the training documents gives
-mean and deviation of that entropy for each language. Texts without letters are rejected, and
-those beyond ``deviations`` of them, with an allowance for short texts, whose entropy varies by
-the root of their length: letters without any pattern of the language, as in encoded data.
+with the lowest cross-entropy per character.
+
+Texts without letters are rejected, and those whose entropy lies too far above what is usual in their
+language: letters without any pattern of it, as in encoded data. What is usual is measured on
+training documents that the measuring model has not counted, an eighth of all, with an allowance for
+short texts, whose entropy varies by the root of their length. The limit is the mean and
+``deviations`` standard deviations, which whatever its distribution at most 1 / (1 + deviations^2)
+of a language's texts exceed. The model that predicts counts that eighth as well.
 """
 
 from functools import lru_cache
@@ -31,6 +35,8 @@ from farelens.llm.common import (
 SPACE = 32
 UNKNOWN = "und"
 MODULUS = 4
+#: One training document of so many is set apart to measure limits.
+APART = 8
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 20
 #: Entries of the hash arrays: full trigrams, contexts of two and one, and lower orders.
@@ -231,10 +237,29 @@ class Model:
         return out, grams.sizes
 
 
-def train(docs: DataFrame, hash_bits: int = 64) -> Model:
-    """A model for each non-null ``lang`` among the documents that are not held out."""
+def training_rows(docs: DataFrame) -> DataFrame:
+    """What may be learnt from, and whether it is set apart to measure limits. Copies of a text are
+    set apart together."""
     rows = documents(docs, "doc_id", "text", "lang").filter("lang is not null and text is not null")
-    counts = stored_table(count_grams(rows.filter(~held_out(F.col("doc_id"), MODULUS))), "grams")
+    rows = rows.filter(~held_out(F.col("doc_id"), MODULUS))
+    return rows.withColumn("apart", F.pmod(F.xxhash64(F.lit("apart"), "text"), F.lit(APART)) == 0)
+
+
+def training_counts(docs: DataFrame) -> DataFrame:
+    """(lang, apart, code, n), stored, from one pass over the texts."""
+    part = F.when(F.col("apart"), "1").otherwise("0")
+    counts = count_grams(training_rows(docs).withColumn("lang", F.concat(part, "lang")))
+    return stored_table(
+        counts.select(
+            F.expr("substring(lang, 2)").alias("lang"), F.expr("lang like '1%'").alias("apart"), "code", "n"
+        ),
+        "grams",
+    )
+
+
+def fit(counts: DataFrame, hash_bits: int = 64) -> Model:
+    """A model for each language of the counts."""
+    counts = stored_table(counts.groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
 
     def hashed(batches):
         for batch in batches:
@@ -246,6 +271,11 @@ def train(docs: DataFrame, hash_bits: int = 64) -> Model:
     return Model(entries.groupBy("lang", "hash").agg(F.max("value").alias("value")).toArrow(), hash_bits)
 
 
+def train(docs: DataFrame, hash_bits: int = 64) -> Model:
+    """A model for each non-null ``lang`` among the documents that are not held out."""
+    return fit(training_counts(docs), hash_bits)
+
+
 #: Nats allowed to a text of one character above the limit of its language.
 SHORT_TEXT = 5.0
 
@@ -267,10 +297,9 @@ def _best(model: Model, texts: list[str | None]):
     return np.where(sizes, best, -1), least, np.where(sizes, share, 0)
 
 
-def calibrate(docs: DataFrame, model: Model, deviations: float = 12.0) -> np.ndarray:
-    """For each language the highest entropy that is still accepted."""
-    rows = documents(docs, "doc_id", "text", "lang").filter("lang is not null and text is not null")
-    rows = rows.filter(~held_out(F.col("doc_id"), MODULUS))
+def calibrate(rows: DataFrame, model: Model, deviations: float = 12.0) -> dict[str, float]:
+    """For each language the highest entropy that is still accepted, from texts that the model has not
+    counted; none for languages that none of them is in."""
     schema = pa.schema([("language", pa.int32()), ("entropy", pa.float64())])
 
     def run(batches):
@@ -278,11 +307,19 @@ def calibrate(docs: DataFrame, model: Model, deviations: float = 12.0) -> np.nda
             best, least, _ = _best(model, batch.column("text").to_pylist())
             yield batch_of({"language": best[best >= 0], "entropy": least[best >= 0]}, schema)
 
-    stats = map_arrow(rows, run, "language int, entropy double").groupBy("language")
-    limits = np.full(max(len(model.langs), 1), np.inf)
-    for r in stats.agg(F.avg("entropy").alias("m"), F.stddev_pop("entropy").alias("s")).collect():
-        limits[r.language] = r.m + deviations * max(r.s, 0.1)
-    return limits
+    stats = map_arrow(rows.select("text"), run, "language int, entropy double").groupBy("language")
+    stats = stats.agg(F.avg("entropy").alias("m"), F.stddev_pop("entropy").alias("s"))
+    return {model.langs[r.language]: r.m + deviations * max(r.s, 0.1) for r in stats.collect()}
+
+
+def learn(docs: DataFrame, hash_bits: int, deviations: float) -> tuple[Model, np.ndarray]:
+    """The model of all training documents, and the limit of each of its languages."""
+    counts = training_counts(docs)
+    limits = calibrate(
+        training_rows(docs).filter("apart"), fit(counts.filter("not apart"), hash_bits), deviations
+    )
+    model = fit(counts, hash_bits)
+    return model, np.array([limits.get(lang, np.inf) for lang in model.langs] or [np.inf])
 
 
 RESULT = pa.schema(
@@ -302,11 +339,10 @@ def identify_languages(
     """One row per document: doc_id, held_out, lang_pred, score in [0, 1], rejected.
 
     Null, empty and letterless texts get ``und``, score 0, rejected; so does every text where no
-    row has a language to learn. Texts are read whole, repeated rows answered each; a null id
+    row has a language to learn. A language without a text set apart has no limit. Texts are read whole, repeated rows answered each; a null id
     is not held out; an empty table gives no rows.
     """
-    model = train(docs, hash_bits)
-    limits = calibrate(docs, model, deviations)
+    model, limits = learn(docs, hash_bits, deviations)
 
     def run(batches):
         for batch in text_slices(batches, SLICE):
@@ -330,8 +366,7 @@ def identify_languages(
 
 def keep_identified(docs: DataFrame, hash_bits: int = 64, deviations: float = 12.0) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is not rejected."""
-    model = train(docs, hash_bits)
-    limits = calibrate(docs, model, deviations)
+    model, limits = learn(docs, hash_bits, deviations)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):

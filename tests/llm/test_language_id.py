@@ -103,6 +103,29 @@ def test_letters_without_pattern_are_rejected(spark):
     assert sorted(r.doc_id for r in found) == list(range(5000, 5005))
 
 
+def test_limits_come_from_texts_that_were_not_counted(spark):
+    """Random letters, the same in number everywhere: a counted text would look far more usual."""
+    rng = random.Random(8)
+    rows = [(4 * i + 1, "".join(rng.choices("abcdefghijklmnopqrst", k=300)), "xx") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rest = lid.training_rows(docs)
+    assert 0 < rest.filter("apart").count() < rest.count() / 4
+    counts = lid.training_counts(docs)
+    part = lid.fit(counts.filter("not apart"))
+    seen = [r.text for r in rest.filter("apart").collect()]
+    _, least, _ = lid._best(part, seen)
+    model, limits = lid.learn(docs, 64, 3.0)
+    assert limits[0] == pytest.approx(least.mean() + 3 * max(least.std(), 0.1), rel=1e-9)
+    assert lid._best(model, seen)[1].mean() < least.mean() - 0.05
+    ids = [r.doc_id for r in lid.identify_languages(docs).filter("rejected").collect()]
+    assert ids == []
+
+
+def test_a_language_of_one_text_has_no_limit(spark):
+    docs = spark.createDataFrame([(1, "one text only", "xx")], "doc_id long, text string, lang string")
+    assert not any(r.rejected for r in lid.identify_languages(docs).collect())
+
+
 def test_odd_texts(spark):
     docs = odd_documents(spark)
     found = {r.doc_id: r for r in lid.identify_languages(docs).collect()}
