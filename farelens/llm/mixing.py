@@ -86,21 +86,17 @@ def rake(
 
 
 def _marked(docs: DataFrame, topic: Column) -> DataFrame:
-    """Cell columns and tokens under names of their own, beside all columns of ``docs``."""
+    """All columns of ``docs`` in one, so that none clashes; beside it the cell's and the tokens."""
     text = F.col("text")
-    return docs.withColumns(
-        {
-            "_mix_source": F.col("source").cast("string"),
-            "_mix_lang": F.col("lang").cast("string"),
-            "_mix_topic": topic,
-            "_mix_tokens": F.coalesce(
-                F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)
-            ).cast("long"),
-            "_mix_draw": F.shiftrightunsigned(
-                F.xxhash64(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), text)), 11
-            )
-            / F.lit(float(1 << 53)),
-        }
+    draw = F.xxhash64(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), text))
+    tokens = F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0))
+    return docs.select(
+        F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"),
+        F.col("source").cast("string").alias("_mix_source"),
+        F.col("lang").cast("string").alias("_mix_lang"),
+        topic.alias("_mix_topic"),
+        tokens.cast("long").alias("_mix_tokens"),
+        (F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))).alias("_mix_draw"),
     )
 
 
@@ -149,7 +145,7 @@ def mixing_probabilities(
     rows = docs.select("doc_id", "text", "source", "lang")
     found = _with_probability(rows, topic, targets, power)
     return found.select(
-        F.col("doc_id").cast("long"),
+        F.col("row.doc_id").cast("long").alias("doc_id"),
         F.col("_mix_source").alias("source"),
         F.col("_mix_lang").alias("lang"),
         F.col("_mix_topic").alias("topic"),
@@ -161,6 +157,11 @@ def mixing_probabilities(
 
 
 def sample_mixture(docs: DataFrame, power: float | None = None) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they are."""
+    """The rows of ``docs`` that are kept, all columns as they are.
+
+    By default cells beyond their target are cut to it and the others are kept whole, without
+    repeats: the shares delivered lie between the present ones and the targets, which are reached only
+    with the weights of :func:`mixing_probabilities`. With ``power`` the targets are met as they are.
+    """
     found = _with_probability(docs, None, None, power)
-    return found.filter("_mix_draw < _mix_p").select(*(f"`{c}`" for c in docs.columns))
+    return found.filter("_mix_draw < _mix_p").select("row.*")
