@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from farelens.streaming import manifests
-from farelens.workspace import folders
+from farelens.workspace import folders, size
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _starting = Lock()
@@ -76,8 +76,10 @@ class StreamTable:
     Every micro-batch writes its changes into a folder of its own, so a batch repeated after a
     failure replaces its own rows, and counts from the moment its manifest is there. ``fold``
     makes the table's rows of all changes, told apart by ``batch_id``. Every ``compact_every``
-    batches the folded rows become a snapshot, and what it covers is deleted once no reader holds
-    it: see :mod:`farelens.streaming.manifests`.
+    batches the folded rows become a snapshot, if the changes since the last one are as large as it:
+    so all snapshots together write no more than twice what the batches have written, however long
+    the stream. What a snapshot covers is deleted once no reader holds it: see
+    :mod:`farelens.streaming.manifests`.
 
     The checkpoint is part of the table: ``path`` holds both, so start again with the same path to
     take up new files. A table that has lost its checkpoint is refused, as a stream that starts
@@ -113,7 +115,7 @@ class StreamTable:
             return
         changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
         after = manifests.Manifest(batch_id, now.snapshot, (*now.batches, batch_id))
-        whole = (batch_id + 1) % self.compact_every == 0
+        whole = (batch_id + 1) % self.compact_every == 0 and self._grown(after)
         if whole:
             rows = self.rows(after).hint("rebalance")
             rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={batch_id}")
@@ -122,6 +124,14 @@ class StreamTable:
         if whole:
             manifests.vacuum(self.spark, self.path)
 
+    def _grown(self, manifest: manifests.Manifest) -> bool:
+        """Whether the changes since the snapshot are as large as it is."""
+        if manifest.snapshot is None:
+            return True
+        snapshot = size(self.spark, f"{self.path}/snapshots/upto={manifest.snapshot}")
+        changes = (size(self.spark, f"{self.path}/changes/batch_id={n}") for n in manifest.batches)
+        return sum(changes) >= snapshot
+
     def rows(self, manifest: manifests.Manifest | None) -> DataFrame:
         """What the table holds in a version."""
         changes = self.spark.createDataFrame([], T.StructType([*self.schema.fields, _BATCH]))
@@ -240,10 +250,10 @@ _BATCH = T.StructField("batch_id", T.LongType())
 def newest_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of the rows written for each key, the one of the last micro-batch."""
     values = [c for c in changes.columns if c not in (*keys, "batch_id")]
-    newest = [F.max_by(c, "batch_id").alias(c) for c in values]
-    if not newest:
+    if not values:
         return changes.select(*keys).distinct()
-    return changes.groupBy(*keys).agg(*newest)
+    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+    return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
 def summed_rows(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -57,6 +57,13 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in store.listStatus(target)]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder; 0 if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.getContentSummary(target).getLength() if store.exists(target) else 0
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small ASCII file that appears whole: written beside its place and renamed."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ import time
 from functools import partial
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from farelens.operators import metrics
@@ -223,6 +224,20 @@ def test_snapshots_bound_the_table(spark, tmp_path):
     assert folders(spark, f"{out}/changes") == ["batch_id=20"]
 
 
+def test_a_large_snapshot_waits_for_as_many_changes(spark):
+    """Else every few batches write the whole table again, which grows with its square."""
+    out, newest = scratch_dir(spark, "table"), partial(newest_rows, keys=["k"])
+    large = spark.range(20_000).selectExpr("id AS k", "id AS n")
+    table = runner.StreamTable(spark, out, large.schema, newest, compact_every=2)
+    for batch in range(10):
+        table.write(large if batch < 2 else large.filter(f"k = {batch}").withColumn("n", -F.col("n")), batch)
+    assert folders(spark, f"{out}/snapshots") == ["upto=1"]
+    assert len(folders(spark, f"{out}/changes")) == 8
+    found = table.read()
+    assert found.count() == 20_000
+    assert sorted(r.k for r in found.filter("n < 0").collect()) == list(range(2, 10))
+
+
 def test_an_incomplete_snapshot_does_not_count(spark, tmp_path):
     out = scratch_dir(spark, "table")
     for n in range(3):
