@@ -20,7 +20,7 @@ from farelens.sources.landing import land_offers, missing_requests, read_landed,
 from farelens.streaming import metrics as streams
 from farelens.streaming import offers as offer_streams
 from farelens.streaming.runner import newest_rows, run_to_memory, start_table
-from farelens.workspace import scratch_dir, stored
+from farelens.workspace import folders, scratch_dir, stored
 
 #: Decimals of prices and of event values, for averages that are exact.
 CENTS, MICROS = 2, 6
@@ -29,6 +29,11 @@ CENTS, MICROS = 2, 6
 #: or day, so every stream takes several batches and keys come again in later ones.
 FILES_PER_BATCH = 4
 
+#: Micro-batches that a stream takes over what has landed. Files follow bytes, so a landing of more
+#: files than these batches hold is taken in larger batches: each costs a commit of every state
+#: partition, and their number must not grow with the table.
+BATCHES = 12
+
 
 # --- sources -------------------------------------------------------------------------
 
@@ -314,7 +319,7 @@ def avg_price_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
 def avg_price_by_company_stream(
     spark: SparkSession, sf_dir: str, max_files: int = 1
 ) -> DataFrame:
-    """One file per micro-batch, the finest rate limit; a large landing area wants more."""
+    """One file per micro-batch, the finest rate limit, while ``BATCHES`` hold the landing."""
     lines = _by_line(tables.table(spark, sf_dir, "lineitem"))
     tickets = _ticket_stream(lines, "line", max_files)
     return streams.stream_avg_price_by_company(tickets, exact=CENTS)
@@ -501,7 +506,15 @@ def _staged_stream(df: DataFrame, by: str, max_files: int) -> DataFrame:
     streamed from there."""
     path = scratch_dir(df.sparkSession, "staged")
     df.hint("rebalance", by).write.partitionBy(by).parquet(path)
-    return files.stream_files(df.sparkSession, path, df.schema, "parquet", max_files=max_files)
+    rate = _files_per_batch(df.sparkSession, path, max_files)
+    return files.stream_files(df.sparkSession, path, df.schema, "parquet", max_files=rate)
+
+
+def _files_per_batch(spark: SparkSession, path: str, at_least: int) -> int:
+    """``at_least`` files per micro-batch, or so many that ``BATCHES`` take all that has landed."""
+    landed = (folders(spark, f"{path}/{folder}") for folder in folders(spark, path) if "=" in folder)
+    n_files = sum(not name.startswith(("_", ".")) for names in landed for name in names)
+    return max(at_least, -(-n_files // BATCHES))
 
 
 def _ticket_stream(tickets: DataFrame, by: str, max_files: int) -> DataFrame:
@@ -514,7 +527,8 @@ def _offer_stream(spark: SparkSession, sf_dir: str, max_files: int) -> DataFrame
     path = scratch_dir(spark, "staged")
     landed = tables.offers(spark, sf_dir).withColumn("landing", n_segments)
     landed.hint("rebalance", "landing").write.partitionBy("landing").parquet(path)
-    return landing.stream_offers(spark, path, "parquet", max_files=max_files)
+    rate = _files_per_batch(spark, path, max_files)
+    return landing.stream_offers(spark, path, "parquet", max_files=rate)
 
 
 def _sweep_ends(offers: DataFrame) -> tuple:

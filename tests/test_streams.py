@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from farelens.operators import metrics
+from farelens.plans import queries
 from farelens.plans.queries import QUERIES
 from farelens.sources import tickets as files
 from farelens.streaming import metrics as streams
@@ -238,6 +239,17 @@ def test_a_large_snapshot_waits_for_as_many_changes(spark):
     assert sorted(r.k for r in found.filter("n < 0").collect()) == list(range(2, 10))
 
 
+def test_batches_do_not_grow_with_the_files(spark):
+    path = scratch_dir(spark, "staged")
+    rows_ = spark.range(100).withColumn("part", F.col("id") % 2).repartition(25)
+    rows_.write.partitionBy("part").parquet(path)
+    n_files = sum(f.endswith(".parquet") for n in (0, 1) for f in folders(spark, f"{path}/part={n}"))
+    assert n_files > 2 * queries.BATCHES
+    rate = queries._files_per_batch(spark, path, 1)
+    assert rate == -(-n_files // queries.BATCHES)
+    assert queries._files_per_batch(spark, path, 40) == 40
+
+
 def test_an_incomplete_snapshot_does_not_count(spark, tmp_path):
     out = scratch_dir(spark, "table")
     for n in range(3):
