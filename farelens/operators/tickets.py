@@ -6,6 +6,8 @@ adaptive execution, from the real size at run time. Beyond that it sort-merges,
 skew handling splits the partition of a carrier or airport that holds much of the data.
 """
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +113,7 @@ def as_of(
     start: str = "valid_from",
     end: str = "valid_to",
     bucket_days: int = 90,
+    span: tuple[date | None, date | None] | None = None,
 ) -> DataFrame:
     """Rows joined to the versions of their ``key`` that hold on their ``day``, a date.
 
@@ -120,10 +123,11 @@ def as_of(
 
     A version is listed once for each bucket of ``bucket_days`` that it touches and that any row can
     fall into, and joined on key and bucket. A row meets the versions of its bucket and not all of
-    its key, and a key with most rows is spread over the days.
+    its key, and a key with most rows is spread over the days. ``span`` is a first and last day between
+    which all rows lie, if the caller knows one; without it the rows are computed once more for it.
     """
     names = [c for c in versions.columns if c not in (key, start, end)]
-    first, last = rows.agg(F.min(day), F.max(day)).first()
+    first, last = span or rows.agg(F.min(day), F.max(day)).first()
 
     def bucket(column):
         return F.floor(F.datediff(column, F.lit("1970-01-01").cast("date")) / bucket_days)

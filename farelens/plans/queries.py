@@ -224,12 +224,13 @@ def connecting_tickets_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def airlines_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Direct fares with the name or names that the airline had on the request date."""
-    fares = ops.offer_fares(tables.offers(spark, sf_dir), "direct")
+    offers = tables.offers(spark, sf_dir)
+    fares = ops.offer_fares(offers, "direct")
     versions = tables.airline_versions(spark, sf_dir).withColumnsRenamed(
         {"IATA": "carrier", "Airline_name": "Company"}
     )
     rows = fares.select("id", "origin", "request_date", "carrier")
-    return _plain(tix.as_of(rows, versions, "carrier", "request_date"))
+    return _plain(tix.as_of(rows, versions, "carrier", "request_date", span=_sweep_ends(offers)))
 
 
 def plane_tickets(spark: SparkSession, sf_dir: str, stops: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from samples import AIRLINES, AIRPORTS, DIRECT, VIA_MADRID, airlines, airports, offer, segment
 
 from farelens.operators import tickets as tix
@@ -205,3 +206,15 @@ def test_names_as_of_a_day(spark):
         assert sorted(map(tuple, found.collect())) == sorted(expected)
     assert tix.as_of(rows.limit(0), table, "carrier", "day").count() == 0
     assert tix.as_of(rows, table.limit(0), "carrier", "day").count() == 0
+
+
+def test_names_as_of_a_day_within_a_known_span_compute_the_rows_once(spark):
+    """Rows that fail when computed: planning with a span must not touch them."""
+    rows = spark.createDataFrame([(1, "AF", date(2023, 1, 1))], "n int, carrier string, day date")
+    versions = spark.createDataFrame(
+        [("AF", None, None, "Air")], "carrier string, valid_from date, valid_to date, Company string"
+    )
+    span = (date(2022, 1, 1), date(2024, 1, 1))
+    assert [r.Company for r in tix.as_of(rows, versions, "carrier", "day", span=span).collect()] == ["Air"]
+    failing = rows.withColumn("day", F.when(F.col("n") > 0, F.raise_error(F.lit("computed")).cast("date")))
+    assert tix.as_of(failing, versions, "carrier", "day", span=span).columns[-1] == "Company"
