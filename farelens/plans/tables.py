@@ -4,6 +4,8 @@ Every mapping is a projection of one table. An offer document is built from one
 so building documents moves no data and no document can grow with the table.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def offers(
+    spark: SparkSession, sf_dir: str, prepare: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One offer document per line item.
 
+    ``prepare`` chooses or orders line items, which then have the columns of the offer's key, before
+    documents are built from them: a document is many times as wide.
+
     Origins follow the supplier, destinations and passenger counts the order. The request
     date is the Monday of the shipping week and the id is the order key, so lines of one order
     shipped in one week from one origin are copies of one offer. The first itinerary has
@@ -44,6 +51,16 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("l_shipdate").cast("date").cast("string").alias("day"),
     )
+    keys = {
+        "origin": _pick(ORIGINS, F.col("l_suppkey") % len(ORIGINS)),
+        "destination": _pick(DESTINATIONS, F.col("l_orderkey") % len(DESTINATIONS)),
+        "request_date": F.trunc("ship_date", "week"),
+        "adults": (1 + F.col("l_orderkey") % MAX_ADULTS).cast("int"),
+        "id": F.col("l_orderkey").cast("string"),
+    }
+    if prepare:
+        lines = prepare(lines.withColumns(keys))
+        keys = {name: F.col(name) for name in keys}
     places = range(1, MAX_SEGMENTS + 1)
     lines = lines.withColumns(
         {
@@ -55,18 +72,12 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     n_segments = (F.col("l_linenumber") - 1) % (MAX_SEGMENTS + 1)
-    numbers = F.slice(F.sequence(F.lit(1), F.lit(MAX_SEGMENTS)), F.lit(1), n_segments.cast("int"))
-    main = F.struct(F.transform(numbers, _segment).alias("segments"))
+    main = F.struct(_segments(n_segments.cast("int")).alias("segments"))
     back = F.struct(F.array(_return_segment()).alias("segments"))
     even = F.col("l_quantity").cast("long") % 2 == 0
 
     n_travelers = (1 + F.col("l_orderkey") % MAX_TRAVELERS).cast("int")
-    columns = {
-        "origin": _pick(ORIGINS, F.col("l_suppkey") % len(ORIGINS)),
-        "destination": _pick(DESTINATIONS, F.col("l_orderkey") % len(DESTINATIONS)),
-        "request_date": F.trunc("ship_date", "week"),
-        "adults": (1 + F.col("l_orderkey") % MAX_ADULTS).cast("int"),
-        "id": F.col("l_orderkey").cast("string"),
+    columns = keys | {
         "lastTicketingDate": F.date_sub("ship_date", 7).cast("string"),
         "numberOfBookableSeats": (1 + F.col("l_orderkey") % 9).cast("int"),
         "itineraries": F.when(even, F.array(main, back)).when(n_segments > 0, F.array(main)),
@@ -86,22 +97,34 @@ def _last(items, n: Column) -> Column:
     return F.slice(F.array(*items), len(items) + 1 - n, n)
 
 
-def _segment(i: Column) -> Column:
-    """Segment ``i`` from 1: the airport moves on, the carrier key is the supplier's over i.
+def _segments(n: Column) -> Column:
+    """Segments 1 to ``n``: the airport moves on, the carrier key is the supplier's over the number.
 
     Line items with flag N name no operating carrier on segment 1, those with A and F on none.
-    Put together from arrays by a number, not written out six times: code generated for that in
-    one method is past the 8,000 bytes up to which the JVM compiles, and runs interpreted.
+    Arrays are zipped and not put together segment by segment, which a higher-order function does
+    interpreted. The one for the operating carriers stays: beside it Spark cuts the code generated for
+    the zips into methods; without it they are one of more than the 8,000 bytes that the JVM compiles.
     """
-    carrier = F.get("carriers", i - 1)
-    silent = F.col("silent") | ((i == 1) & (F.col("l_returnflag") == "N"))
-    return F.struct(
-        F.get(F.lit([str(n) for n in range(1, MAX_SEGMENTS + 1)]), i - 1).alias("id"),
-        _leg_end(F.get("stops", i - 1), F.get("departs", i - 1)).alias("departure"),
-        _leg_end(F.get("stops", i), F.get("arrives", i - 1)).alias("arrival"),
-        carrier.alias("carrierCode"),
-        F.when(~silent, F.struct(carrier.alias("carrierCode"))).alias("operating"),
+    silent = F.col("silent"), F.col("silent") | (F.col("l_returnflag") == "N")
+    operating = F.transform(
+        F.slice("carriers", F.lit(1), n),
+        lambda carrier, i: F.when(
+            ~F.when(i == 0, silent[1]).otherwise(silent[0]), F.struct(carrier.alias("carrierCode"))
+        ),
     )
+    numbers = F.lit([str(i) for i in range(1, MAX_SEGMENTS + 1)])
+    parts = {
+        "id": numbers,
+        "departure": _leg_ends(F.col("stops"), F.col("departs")),
+        "arrival": _leg_ends(F.slice("stops", 2, MAX_SEGMENTS), F.col("arrives")),
+        "carrierCode": F.col("carriers"),
+        "operating": operating,
+    }
+    return F.arrays_zip(*(F.slice(part, F.lit(1), n).alias(name) for name, part in parts.items()))
+
+
+def _leg_ends(codes: Column, at: Column) -> Column:
+    return F.arrays_zip(codes.alias("iataCode"), at.alias("at"))
 
 
 def _return_segment() -> Column:

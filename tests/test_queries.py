@@ -78,6 +78,11 @@ def test_generated_methods_stay_small_enough_to_be_compiled(spark, name):
         assert sizes
 
 
+def test_segments_are_not_put_together_by_interpreted_code(spark):
+    plan = tables.offers(spark, str(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "departure" in plan and "lambdafunction(struct(" not in plan
+
+
 def test_the_export_leaves_out_what_was_not_asked_for(spark):
     offers = tables.offers(spark, str(SF))
     asked = (F.col("adults") == 2) & (F.col("destination") == "BBA")
