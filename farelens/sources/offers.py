@@ -58,8 +58,13 @@ def offers_from_rows(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame:
 
 
 def offers_from_text(df: DataFrame, text: str) -> DataFrame:
-    """Offers from a column of JSON text. Text that is not JSON gives an all-null row."""
-    return df.select(F.from_json(text, OFFER).alias("offer")).select("offer.*")
+    """Offers from a column of JSON text. Text that is not JSON gives an all-null row, and so does none.
+
+    Spark interprets ``from_json`` with all that it merges into it. The text is named twice, which keeps
+    an expression that makes it in a projection of its own, with generated code.
+    """
+    offer = F.when(F.col(text).isNotNull(), F.from_json(text, OFFER))
+    return df.select(offer.alias("offer")).select("offer.*")
 
 
 def request_sweep(

@@ -68,6 +68,15 @@ def test_a_line_break_in_a_city_stays_in_its_field(spark, tmp_path):
     assert (row.ville_de_depart, row.price) == ('Paris\n"Nord"', 3.5)
 
 
+def test_text_is_made_in_a_projection_of_its_own(spark):
+    rows = spark.range(3).select(F.to_json(F.struct(F.col("id").cast("string").alias("id"))).alias("body"))
+    offers = landing.offers_from_text(rows, "body")
+    assert [r.id for r in offers.collect()] == ["0", "1", "2"]
+    plan = offers._jdf.queryExecution().executedPlan().toString().splitlines()
+    parsing = [line for line in plan if "from_json" in line]
+    assert len(parsing) == 1 and "StructsToJson" not in parsing[0] and "to_json" not in parsing[0]
+
+
 def test_offers_from_text(spark):
     text = json.dumps(offer("1", VIA_MADRID), default=str)
     rows = spark.createDataFrame([(text,), ("{broken",), (None,)], "body string")
