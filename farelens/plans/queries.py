@@ -16,7 +16,13 @@ from farelens.schemas import OFFER, REQUEST_KEY, TICKET
 from farelens.sources import dimensions, tickets as files
 from farelens.sources import offers as landing
 from farelens.sources.exports import read_export
-from farelens.sources.landing import land_offers, missing_requests, read_landed, request_index
+from farelens.sources.landing import (
+    in_landing_order,
+    land_offers,
+    missing_requests,
+    read_landed,
+    request_index,
+)
 from farelens.streaming import metrics as streams
 from farelens.streaming import offers as offer_streams
 from farelens.streaming.runner import newest_rows, run_to_memory, start_table
@@ -76,7 +82,7 @@ def csv_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_offer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers landed as JSON files in request order, read back with the fixed schema."""
     path = scratch_dir(spark, "offers")
-    land_offers(tables.offers(spark, sf_dir), path)
+    land_offers(tables.offers(spark, sf_dir, in_landing_order), path, in_order=True)
     return _offer_facts(read_landed(spark, path))
 
 
@@ -110,7 +116,8 @@ def date_sweep_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     for end in (first + (last - first) / 2, last):
         asked = missing_requests(landing.request_sweep(routes, first, end), path)
         asked = stored(asked.select(*REQUEST_KEY))
-        land_offers(offers.join(asked, list(REQUEST_KEY), "left_semi"), path, asked)
+        answers = tables.offers(spark, sf_dir, partial(_answers, asked))
+        land_offers(answers, path, asked, in_order=True)
     answers = request_index(spark, path).groupBy(*REQUEST_KEY).agg(F.sum("n_offers").alias("n_offers"))
     return answers.select(
         "origin",
@@ -121,6 +128,11 @@ def date_sweep_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _answers(asked: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows with the key of an offer that answer one of the requests, in landing order."""
+    return in_landing_order(rows.join(asked, list(REQUEST_KEY), "left_semi"))
+
+
 # --- offers --------------------------------------------------------------------------
 
 

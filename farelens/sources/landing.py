@@ -24,18 +24,31 @@ INDEX = T.StructType(
 )
 
 
+def in_landing_order(rows: DataFrame) -> DataFrame:
+    """Rows with the key of an offer, cut into ranges of request and id and sorted within them."""
+    order = [*REQUEST_KEY, "id"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def land_offers(
-    offers: DataFrame, path: str, asked: DataFrame | None = None, fmt: str = "json"
+    offers: DataFrame,
+    path: str,
+    asked: DataFrame | None = None,
+    fmt: str = "json",
+    in_order: bool = False,
 ) -> None:
     """Add a landing. ``asked`` are its requests (REQUEST_KEY); those that no offer answers are kept
     in the index, so that they are not asked for again.
 
     Files are cut from the order of request and id, so a request that holds much of the data is
-    spread over several.
+    spread over several. With ``in_order`` the offers are as :func:`in_landing_order` leaves them. Who
+    orders what documents are made from saves a sort of whole documents, and making them all once more
+    for the sample that the ranges are cut by.
     """
     spark, name = offers.sparkSession, f"landing-{uuid.uuid4().hex}"
-    order = [*REQUEST_KEY, "id"]
-    files = offers.select(*OFFER.names).repartitionByRange(*order).sortWithinPartitions(*order)
+    files = offers.select(*OFFER.names)
+    if not in_order:
+        files = in_landing_order(files)
     writer = files.write.format(fmt)
     if fmt == "json":
         writer = writer.option("compression", "gzip")

@@ -5,13 +5,20 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from samples import DIRECT, airlines, airports, offer
 
 from farelens.plans import tables
 from farelens.plans.export import ticket_reexport
 from farelens.schemas import OFFER, REQUEST_KEY, TICKET
 from farelens.sources import exports
-from farelens.sources.landing import land_offers, missing_requests, read_landed, request_index
+from farelens.sources.landing import (
+    in_landing_order,
+    land_offers,
+    missing_requests,
+    read_landed,
+    request_index,
+)
 from farelens.sources.offers import offers_from_rows, request_sweep
 from farelens.workspace import delete, folders, scratch_dir
 
@@ -64,6 +71,24 @@ def test_one_request_with_most_offers_is_cut(spark):
     assert request_index(spark, path).filter("adults = 1").select("file").distinct().count() > files
 
 
+def test_line_items_are_ordered_before_documents_are_built(spark):
+    path, offers = scratch_dir(spark, "offers"), tables.offers(spark, SF, in_landing_order)
+    plan = offers._jdf.queryExecution().executedPlan().toString()
+    assert "segments" in plan[: plan.index("rangepartitioning")]
+    assert "segments" not in plan[plan.index("rangepartitioning") :]
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")
+    try:
+        land_offers(offers, path, in_order=True)
+    finally:
+        spark.conf.unset(small)
+    landed = read_landed(spark, path)
+    assert rows(landed) == rows(tables.offers(spark, SF))
+    ends = landed.groupBy(F.input_file_name()).agg(*(f(F.struct(*REQUEST_KEY, "id")) for f in (F.min, F.max)))
+    ends = sorted(tuple(r[1:]) for r in ends.collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
 def test_only_missing_requests_are_asked_for(spark):
     path = scratch_dir(spark, "offers")
     days = [date(2023, 1, n) for n in range(1, 6)]
