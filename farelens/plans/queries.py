@@ -26,7 +26,7 @@ from farelens.sources.landing import (
 from farelens.streaming import metrics as streams
 from farelens.streaming import offers as offer_streams
 from farelens.streaming.runner import newest_rows, run_to_memory, start_table
-from farelens.workspace import folders, scratch_dir, stored
+from farelens.workspace import WRITERS, folders, scratch_dir, session_settings, stored
 
 #: Decimals of prices and of event values, for averages that are exact.
 CENTS, MICROS = 2, 6
@@ -535,15 +535,22 @@ def _ticket_stream(tickets: DataFrame, by: str, max_files: int) -> DataFrame:
 
 
 def _offer_stream(spark: SparkSession, sf_dir: str, max_files: int) -> DataFrame:
-    """Offers landed by the number of their segments, in which copies of an offer differ."""
-    n_segments = F.coalesce(F.size(F.get("itineraries", 0)["segments"]), F.lit(-1))
     path = scratch_dir(spark, "staged")
-    landed = tables.offers(spark, sf_dir).withColumn("landing", n_segments)
-    landed.hint("rebalance", "landing").write.partitionBy("landing").parquet(path)
+    _land_by_segments(tables.offers(spark, sf_dir), path)
     rate = _files_per_batch(spark, path, max_files)
     return landing.stream_offers(spark, path, "parquet", max_files=rate)
 
 
+def _land_by_segments(offers: DataFrame, path: str) -> None:
+    """Offers landed by the number of their segments, in which copies of an offer differ. Each task
+    writes the documents it builds, side by side into a file per number: to shuffle or sort documents
+    takes several times the room of the files."""
+    n_segments = F.coalesce(F.size(F.get("itineraries", 0)["segments"]), F.lit(-1))
+    with session_settings(offers.sparkSession, {WRITERS: str(2 * tables.MAX_SEGMENTS)}):
+        landed = offers.withColumn("landing", n_segments)
+        landed.write.partitionBy("landing").parquet(path, compression="zstd")
+
+
 def _sweep_ends(offers: DataFrame) -> tuple:
     """First and last request date on offer; reads the one column they come from."""
     return tuple(offers.agg(F.min("request_date"), F.max("request_date")).first())

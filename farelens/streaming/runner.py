@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from farelens.streaming import manifests
-from farelens.workspace import folders, size
+from farelens.workspace import RELEASE, folders, session_settings, size
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _starting = Lock()
@@ -31,23 +31,14 @@ def stream_settings(
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        RELEASE: "true",
     }
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     if reports:
         wanted["spark.sql.streaming.numRecentProgressUpdates"] = str(reports)
-    with _starting:
-        before = {key: spark.conf.get(key, None) for key in wanted}
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        try:
-            yield
-        finally:
-            for key, value in before.items():
-                if value is None:
-                    spark.conf.unset(key)
-                else:
-                    spark.conf.set(key, value)
+    with _starting, session_settings(spark, wanted):
+        yield
 
 
 def run_to_memory(
@@ -113,17 +104,21 @@ class StreamTable:
             # batch that has been computed.
             changes.write.format("noop").mode("overwrite").save()
             return
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        self._write(changes, f"changes/batch_id={batch_id}")
         after = manifests.Manifest(batch_id, now.snapshot, (*now.batches, batch_id))
         whole = (batch_id + 1) % self.compact_every == 0 and self._grown(after)
         if whole:
-            rows = self.rows(after).hint("rebalance")
-            rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={batch_id}")
+            # In the session of the batch, which releases its shuffles; the caller's may not.
+            self._write(self.rows(after, changes.sparkSession), f"snapshots/upto={batch_id}")
             after = manifests.Manifest(batch_id, batch_id, ())
         manifests.commit(self.spark, self.path, after)
         if whole:
             manifests.vacuum(self.spark, self.path)
 
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """Files are as even as the shuffle that made the rows; one more would move the table twice."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}", compression="zstd")
+
     def _grown(self, manifest: manifests.Manifest) -> bool:
         """Whether the changes since the snapshot are as large as it is."""
         if manifest.snapshot is None:
@@ -132,13 +127,16 @@ class StreamTable:
         changes = (size(self.spark, f"{self.path}/changes/batch_id={n}") for n in manifest.batches)
         return sum(changes) >= snapshot
 
-    def rows(self, manifest: manifests.Manifest | None) -> DataFrame:
+    def rows(
+        self, manifest: manifests.Manifest | None, spark: SparkSession | None = None
+    ) -> DataFrame:
         """What the table holds in a version."""
-        changes = self.spark.createDataFrame([], T.StructType([*self.schema.fields, _BATCH]))
+        spark = spark or self.spark
+        changes = spark.createDataFrame([], T.StructType([*self.schema.fields, _BATCH]))
         if manifest and manifest.folders():
             number = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:batch_id|upto)=(\d+)/", 1)
             paths = [f"{self.path}/{folder}" for folder in manifest.folders()]
-            files = self.spark.read.schema(self.schema).parquet(*paths)
+            files = spark.read.schema(self.schema).parquet(*paths)
             changes = files.select("*", number.cast("long").alias("batch_id"))
         return self.fold(changes)
 

@@ -7,6 +7,15 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A query deletes its shuffle files when it is done. Else they stay on the executors until the driver
+#: collects its garbage, which plans that are few seldom make it do. For what is planned anew each time:
+#: a result that is computed twice misses its files.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: Fewer partitions than this are written side by side by a task, each row as it comes; at this number
+#: the rows that are left are sorted, and written one partition after the other.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the folder named by ``spark.checkpoint.dir``.
@@ -28,6 +37,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 _open: list[list[str]] = []
 
 
+@contextmanager
+def session_settings(spark: SparkSession, wanted: dict[str, str]):
+    """Settings of the session within the block. A query that another thread plans meanwhile sees
+    them too."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Delete, at the end, the scratch directories made within: results that read them must

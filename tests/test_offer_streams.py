@@ -8,6 +8,7 @@ from samples import DIRECT, VIA_MADRID, airlines, airports, offer, segment, trav
 
 from farelens.operators import offers as ops
 from farelens.operators import tickets as tix
+from farelens.plans import queries, tables
 from farelens.sources.offers import offers_from_rows, stream_offers
 from farelens.streaming.offers import stream_offer_fares, stream_plane_tickets
 from farelens.workspace import folders, scratch_dir
@@ -64,6 +65,39 @@ def test_stream_equals_batch_over_batches_and_restarts(spark, tmp_path, document
     assert folders(spark, f"{table}/snapshots") == ["upto=4"]
 
 
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for name in blocks.mkString(" ").split() if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("stops", ["direct", "connecting"])
+def test_the_table_is_all_that_is_kept(spark, tmp_path, documents, stops):
+    """Offers are neither in a state beside the table nor in shuffle files of batches that are done."""
+    for n in range(5):
+        land(spark, tmp_path / "in", n, *documents[n::5])
+    table, before = scratch_dir(spark, "fares"), shuffle_files(spark)
+    found = stream_offer_fares(stream(spark, tmp_path / "in"), stops, path=table, compact_every=5)
+    assert shuffle_files(spark) <= before
+    assert not folders(spark, f"{table}/_checkpoint/state")
+    assert folders(spark, f"{table}/snapshots") == ["upto=4"] and not folders(spark, f"{table}/changes")
+    assert rows(found) == rows(ops.offer_fares(offers_from_rows(spark, documents), stops))
+
+
+def test_documents_land_without_a_shuffle(spark):
+    path, offers = scratch_dir(spark, "staged"), tables.offers(spark, "/root/testdata/sf0.001")
+    spark.sparkContext.setJobGroup("landing by segments", "")
+    try:
+        queries._land_by_segments(offers, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(n) for n in tracker.getJobIdsForGroup("landing by segments")]
+    assert sum(len(job.stageIds) for job in jobs) == 1
+    assert sorted(folders(spark, path)) == ["_SUCCESS", "landing=-1", *(f"landing={n}" for n in range(7))]
+    found = spark.read.schema(offers.schema).parquet(path).select(*offers.columns)
+    assert found.exceptAll(offers).count() == offers.exceptAll(found).count() == 0
+
+
 def test_smallest_rows_are_the_survivors(spark, documents):
     for stops in ops.STOPS:
         its = ops.itineraries(ops.bookable_offers(offers_from_rows(spark, documents)))
