@@ -26,7 +26,7 @@ from farelens.sources.landing import (
 from farelens.streaming import metrics as streams
 from farelens.streaming import offers as offer_streams
 from farelens.streaming.runner import newest_rows, run_to_memory, start_table
-from farelens.workspace import WRITERS, folders, scratch_dir, session_settings, stored
+from farelens.workspace import RELEASE, WRITERS, folders, scratch_dir, session_settings, stored
 
 #: Decimals of prices and of event values, for averages that are exact.
 CENTS, MICROS = 2, 6
@@ -518,7 +518,8 @@ def _staged_stream(df: DataFrame, by: str, max_files: int) -> DataFrame:
     """A table landed as one folder per value of a column, large ones in several files, and
     streamed from there."""
     path = scratch_dir(df.sparkSession, "staged")
-    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    with session_settings(df.sparkSession, {RELEASE: "true"}):
+        df.hint("rebalance", by).write.partitionBy(by).parquet(path)
     rate = _files_per_batch(df.sparkSession, path, max_files)
     return files.stream_files(df.sparkSession, path, df.schema, "parquet", max_files=rate)
 

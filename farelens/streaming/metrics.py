@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 
 from farelens.functions import as_date, as_event_time
 from farelens.operators import metrics
-from farelens.streaming.runner import append_to_files, run_table, run_to_table, summed_rows
+from farelens.streaming.runner import (
+    append_to_files,
+    run_table,
+    run_to_table,
+    start_table,
+    summed_rows,
+)
 from farelens.workspace import scratch_dir
 
 
@@ -121,20 +127,40 @@ def stream_distinct_for(
     **options,
 ) -> tuple[DataFrame, list[dict]]:
     """Distinct keys from a state that forgets: a key is written when it is first seen, and its
-    copies are left out for ``keep``, such as "1 hour", after that. State is bounded by the keys of
-    about twice that span, whatever the length of the stream.
+    copies are left out for ``keep``, such as "1 hour", after that. Once forgotten, a key that comes
+    again is written again.
 
     The ``clock`` is "arrival", the time of the batch that has a row, or "event", the departure
-    time; then rows later than the watermark are left out and counted. Once forgotten, a key that
-    comes again is written again.
+    time; then rows later than the watermark are left out and counted.
 
-    Spark's de-duplication does not combine before the shuffle, so copies of one key are first
-    reduced per salt, which follows the task that reads a row, and then over salts. Returns the table
-    under ``path`` and the progress of each batch.
+    By arrival all rows of a batch are of one age, so the state is what the table has of the last
+    ``keep``: a batch writes its keys that are not among those. Keys are combined before the shuffle, so
+    one that comes very often is no more than one row per task. A batch reads the keys of that span, in
+    sequence; a state store is asked for each row and goes through all its keys to forget some.
+
+    By departure state is in Spark's de-duplication, bounded by the keys of about twice the span. That does
+    not combine before the shuffle, so copies of one key are first reduced per salt, which follows the
+    task that reads a row, and then over salts.
+
+    Returns the table under ``path`` and the progress of each batch, in which ``state_rows`` are those of
+    a state store.
     """
     if clock not in ("arrival", "event"):
         raise ValueError(f"clock must be arrival or event, not {clock!r}")
-    now = F.current_timestamp() if clock == "arrival" else as_event_time(tickets, time).cast("timestamp")
+    if clock == "arrival":
+        rows = tickets.select(*keys, F.current_timestamp().alias("arrived"))
+        running = start_table(
+            rows,
+            path,
+            _all_rows,
+            against=partial(_unseen, keys=keys, keep=keep),
+            order=("arrived", *keys),
+            reports=100_000,
+            **options,
+        )
+        running.wait()
+        return running.table.read().select(*keys), running.progress()
+    now = as_event_time(tickets, time).cast("timestamp")
     salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")
     rows = tickets.select(*keys, now.alias("clock"), salt).withWatermark("clock", keep)
     once = rows.dropDuplicatesWithinWatermark([*keys, "salt"]).drop("salt")
@@ -143,6 +169,22 @@ def stream_distinct_for(
     return tickets.sparkSession.read.schema(found.schema).parquet(path), progress
 
 
+def _all_rows(changes: DataFrame) -> DataFrame:
+    return changes.drop("batch_id")
+
+
+def _unseen(batch: DataFrame, table: DataFrame, keys: tuple[str, ...], keep: str) -> DataFrame:
+    """The distinct keys of a batch that the table has not had for ``keep``. Nulls are equal."""
+    first = batch.select(F.unix_micros("arrived")).first()
+    if first is None:
+        return batch
+    now = F.timestamp_micros(F.lit(first[0]))
+    held = table.filter(F.col("arrived") >= now - F.lit(keep).cast("interval"))
+    both = batch.select(*keys, F.lit(False).alias("held")).union(held.select(*keys, F.lit(True)))
+    known = both.groupBy(*keys).agg(F.max("held").alias("held"))
+    return known.filter(~F.col("held")).select(*keys, now.alias("arrived"))
+
+
 def first_seen(tickets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Keys with the time of the first and of the last batch that had them."""
     rows = tickets.select(*keys, F.current_timestamp().alias("batch_time"))

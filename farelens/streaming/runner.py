@@ -70,7 +70,8 @@ class StreamTable:
     batches the folded rows become a snapshot, if the changes since the last one are as large as it:
     so all snapshots together write no more than twice what the batches have written, however long
     the stream. What a snapshot covers is deleted once no reader holds it: see
-    :mod:`farelens.streaming.manifests`.
+    :mod:`farelens.streaming.manifests`. With ``order``, snapshots are sorted by these columns, so that
+    a reader of some of their values skips the rest.
 
     The checkpoint is part of the table: ``path`` holds both, so start again with the same path to
     take up new files. A table that has lost its checkpoint is refused, as a stream that starts
@@ -84,9 +85,10 @@ class StreamTable:
         schema: T.StructType,
         fold: Callable[[DataFrame], DataFrame],
         compact_every: int = 10,
+        order: Sequence[str] = (),
     ) -> None:
         self.spark, self.path, self.schema = spark, path, schema
-        self.fold, self.compact_every = fold, compact_every
+        self.fold, self.compact_every, self.order = fold, compact_every, order
 
     @property
     def checkpoint(self) -> str:
@@ -109,7 +111,10 @@ class StreamTable:
         whole = (batch_id + 1) % self.compact_every == 0 and self._grown(after)
         if whole:
             # In the session of the batch, which releases its shuffles; the caller's may not.
-            self._write(self.rows(after, changes.sparkSession), f"snapshots/upto={batch_id}")
+            rows = self.rows(after, changes.sparkSession)
+            if self.order:
+                rows = rows.repartitionByRange(*self.order).sortWithinPartitions(*self.order)
+            self._write(rows, f"snapshots/upto={batch_id}")
             after = manifests.Manifest(batch_id, batch_id, ())
         manifests.commit(self.spark, self.path, after)
         if whole:
@@ -140,10 +145,10 @@ class StreamTable:
             changes = files.select("*", number.cast("long").alias("batch_id"))
         return self.fold(changes)
 
-    def read(self) -> DataFrame:
+    def read(self, spark: SparkSession | None = None) -> DataFrame:
         """What the table holds now. While the stream runs, use :meth:`pinned`: a compaction may
         delete what this reads before it is computed."""
-        return self.rows(manifests.newest(self.spark, self.path))
+        return self.rows(manifests.newest(self.spark, self.path), spark)
 
     @contextmanager
     def pinned(self):
@@ -210,22 +215,36 @@ def start_table(
     state_partitions: int | None = None,
     compact_every: int = 10,
     every: str | None = None,
+    against: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    order: Sequence[str] = (),
+    reports: int | None = None,
 ) -> RunningTable:
     """Start a stream in update mode whose batches, by way of ``change``, go into a table.
 
+    What goes in may depend on what the table holds before the batch: ``against`` makes it of what
+    ``change`` gives and that. ``order`` is as in :class:`StreamTable`; ``reports`` is the number of
+    batches whose progress Spark keeps.
+
     ``every`` is the time between batches, such as "10 seconds", of a stream that keeps running;
     without it the stream takes what is there now, in several batches, and ends.
     """
     spark = result.sparkSession
     empty = spark.createDataFrame([], result.schema)
-    table = StreamTable(spark, path, change(empty).schema, fold, compact_every)
+    table = StreamTable(spark, path, change(empty).schema, fold, compact_every, order)
     table.check()
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        changes = change(batch)
+        if against:
+            changes = against(changes, table.read(batch.sparkSession))
+        table.write(changes, batch_id)
+
     writer = result.writeStream.outputMode("update").option("checkpointLocation", table.checkpoint)
-    writer = writer.foreachBatch(lambda batch, batch_id: table.write(change(batch), batch_id))
+    writer = writer.foreachBatch(take)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with stream_settings(spark, state_partitions):
+    with stream_settings(spark, state_partitions, reports):
         return RunningTable(writer.start(), table)
 
 

@@ -523,6 +523,57 @@ def test_state_by_arrival_keeps_what_is_young(spark, tmp_path, lines):
         streams.stream_distinct_for(None, ("id",), keep="1 hour", path=out, clock="moon")
 
 
+def test_by_arrival_the_table_is_the_state(spark, tmp_path, monkeypatch):
+    """Keys once each over batches, a crash, snapshots and restarts, null ones too, until forgotten."""
+    out, folder = scratch_dir(spark, "distinct"), tmp_path / "in"
+
+    def run(keep):
+        source = files.stream_tickets(spark, str(folder), max_files=1)
+        found, progress = streams.stream_distinct_for(
+            source, ("id", "Company"), keep=keep, path=out, compact_every=3
+        )
+        assert len(progress) == len([p for p in progress if p["rows"]])
+        return sorted(rows(found), key=str)
+
+    for n in range(7):
+        text = [line(n, "2023-01-14", 1.0, "A"), *[line("hot", "2023-01-14", 1.0, "A")] * 3]
+        numbered(folder, n, "\n".join([*text, line("", "2023-01-14", 1.0, "")]))
+    once = sorted([("hot", "A"), (None, None), *((str(n), "A") for n in range(7))], key=str)
+    with monkeypatch.context() as patch:
+        patch.setattr(manifests, "vacuum", failing)
+        with pytest.raises(Exception, match="lost on the way"):
+            run("1 hour")
+    assert run("1 hour") == once
+    assert not folders(spark, f"{out}/_checkpoint/state")
+    assert folders(spark, f"{out}/changes") == ["batch_id=6"]
+    held = spark.read.parquet(f"{out}/snapshots/upto=5").select("arrived", "id", "Company")
+    assert rows(held) == rows(held.orderBy("arrived", "id", "Company"))
+    numbered(folder, 7, f"{line('hot', '2023-01-14', 1.0, 'A')}\n{line(7, '2023-01-14', 1.0, 'A')}")
+    assert run("1 hour") == sorted([*once, ("7", "A")], key=str)
+    time.sleep(2)
+    numbered(folder, 8, f"{line('hot', '2023-01-14', 1.0, 'A')}\n{line('hot', '2023-01-14', 1.0, 'A')}")
+    assert run("1 second") == sorted([*once, ("7", "A"), ("hot", "A")], key=str)
+
+
+def test_keys_are_forgotten_by_their_arrival(spark):
+    table = spark.sql(
+        """
+        SELECT k, CAST(t AS timestamp) AS arrived FROM VALUES
+            ('old', '2023-01-14 10:59:59.999999'), ('edge', '2023-01-14 11:00:00'),
+            ('both', '2023-01-14 08:00:00'), ('both', '2023-01-14 11:30:00'),
+            (NULL, '2023-01-14 11:59:00') AS v(k, t)
+        """
+    )
+    now = F.lit("2023-01-14 12:00:00").cast("timestamp").alias("arrived")
+    batch = spark.createDataFrame([("old",), ("edge",), ("both",), (None,), ("new",), ("new",)], "k string")
+    found = streams._unseen(batch.select("k", now), table, ("k",), "1 hour")
+    assert sorted(r.k for r in found.collect()) == ["new", "old"]
+    assert found.columns == table.columns and found.select("arrived").distinct().collect() == (
+        batch.select(now).distinct().collect()
+    )
+    assert streams._unseen(batch.limit(0).select("k", now), table, ("k",), "1 hour").count() == 0
+
+
 def test_scratch_scope_deletes_what_was_made_within(spark):
     with scratch_scope(spark):
         path = scratch_dir(spark, "scoped")
