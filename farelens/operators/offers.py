@@ -107,7 +107,7 @@ def add_fare(leg_rows: DataFrame) -> DataFrame:
     """
     ranked = F.transform("travelerPricings", lambda t: F.struct(*_rank(t)))
     return (
-        leg_rows.filter(F.size("travelerPricings") > 0)
+        leg_rows.filter(_some_travelers(leg_rows))
         .withColumn("traveler", F.array_min(ranked))
         .withColumns(
             {
@@ -178,6 +178,15 @@ def _rank(t: Column) -> tuple[Column, ...]:
     )
 
 
+def _some_travelers(leg_rows: DataFrame) -> Column:
+    """Whether travellers are listed. Compared by way of the itinerary's position, as Spark moves a filter
+    on the list alone to below the explode, where it makes what :func:`lowest_traveler` gives twice."""
+    n = F.size("travelerPricings")
+    if "itinerary_pos" not in leg_rows.columns:
+        return n > 0
+    return n + F.col("itinerary_pos") > F.col("itinerary_pos")
+
+
 def _dropping_empty(exploded: DataFrame, position: str) -> DataFrame:
     """Turn an outer explode into an inner one: only an empty or null list has no position.
 

@@ -203,3 +203,16 @@ def test_passenger_counts_are_part_of_the_key(spark):
     documents = [offer("1", DIRECT, adults=n) for n in (1, 2, 4, 5)]
     fares = ops.offer_fares(spark.createDataFrame(documents, OFFER), "direct").collect()
     assert sorted(r.adults for r in fares) == [1, 2, 4]
+
+
+def test_no_filter_ranks_travelers(spark):
+    """Spark moves a filter on the cut list below the explode, and ranks the travellers there once more."""
+    people = [None, [], [traveler(2, "B"), traveler(1, "A")]]
+    documents = [
+        offer(f"id-{n}", DIRECT, travelerPricings=listed) for n, listed in enumerate(people)
+    ]
+    bookable = ops.lowest_traveler(ops.bookable_offers(offers_from_rows(spark, documents)))
+    fares = ops.add_fare(ops.legs(ops.itineraries(bookable), "direct"))
+    plan = fares._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [step for step in plan if "Filter" in step and "array_min" in step]
+    assert [(r.id, r.Cabin) for r in fares.collect()] == [("id-2", "A")]
