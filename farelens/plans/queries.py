@@ -545,11 +545,12 @@ def _offer_stream(spark: SparkSession, sf_dir: str, max_files: int) -> DataFrame
 def _land_by_segments(offers: DataFrame, path: str) -> None:
     """Offers landed by the number of their segments, in which copies of an offer differ. Each task
     writes the documents it builds, side by side into a file per number: to shuffle or sort documents
-    takes several times the room of the files."""
+    takes several times the room of the files. Open files hold a row group each, so these are small."""
     n_segments = F.coalesce(F.size(F.get("itineraries", 0)["segments"]), F.lit(-1))
     with session_settings(offers.sparkSession, {WRITERS: str(2 * tables.MAX_SEGMENTS)}):
         landed = offers.withColumn("landing", n_segments)
-        landed.write.partitionBy("landing").parquet(path, compression="zstd")
+        writer = landed.write.partitionBy("landing").option("parquet.block.size", 16 * 2**20)
+        writer.parquet(path, compression="zstd")
 
 
 def _sweep_ends(offers: DataFrame) -> tuple:
